@@ -38,7 +38,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < n:
         size = max(n, 1 << 20)
-        _powers[:] = [np.cumprod(np.concatenate([[1], np.full(size - 1, b, np.uint64)]).astype(np.uint64), dtype=np.uint64) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
+        for b in (_BASE, pow(_BASE, -1, 1 << 64)):
+            table = np.full(size, b, np.uint64)
+            table[0] = 1
+            _powers.append(np.cumprod(table, dtype=np.uint64))
+        del _powers[:-2]
     return _powers[0], _powers[1]
 
 

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from . import line_dedup, sharding
+from . import language_id, line_dedup, quality_classifier, quality_rules, sharding
 
-QUERIES = {"op1_line_dedup": line_dedup.op1_line_dedup, "op4_sharding": sharding.op4_sharding}
+QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_language_id": language_id.op2_language_id,
+    "op4_sharding": sharding.op4_sharding,
+    "op9_quality_rules": quality_rules.op9_quality_rules,
+    "op10_quality_classifier": quality_classifier.op10_quality_classifier,
+}
 ORACLE_SQL = {"op1_line_dedup": line_dedup.SQL}
