@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import language_id, line_dedup, quality_classifier, quality_rules, sharding
+from . import jaccard_join, language_id, line_dedup, quality_classifier, quality_rules, sharding
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_language_id": language_id.op2_language_id,
     "op4_sharding": sharding.op4_sharding,
+    "op7_jaccard_join": jaccard_join.op7_jaccard_join,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_quality_classifier": quality_classifier.op10_quality_classifier,
 }
