@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from . import jaccard_join, language_id, line_dedup, quality_classifier, quality_rules, sharding
+from . import decontamination, jaccard_join, language_id, line_dedup, mixing, quality_classifier, quality_rules, sharding, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_language_id": language_id.op2_language_id,
+    "op3_decontamination": decontamination.op3_decontamination,
     "op4_sharding": sharding.op4_sharding,
+    "op5_mixing": mixing.op5_mixing,
     "op7_jaccard_join": jaccard_join.op7_jaccard_join,
+    "op8_warc": warc.op8_warc,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_quality_classifier": quality_classifier.op10_quality_classifier,
 }
-ORACLE_SQL = {"op1_line_dedup": line_dedup.SQL}
+ORACLE_SQL = {"op1_line_dedup": line_dedup.SQL, "op8_warc": warc.SQL}
