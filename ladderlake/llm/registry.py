@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, jaccard_join, language_id, line_dedup, mixing, quality_classifier, quality_rules, sharding, warc
+from . import decontamination, jaccard_join, language_id, line_dedup, mixing, ngram_lm, quality_classifier, quality_rules, sharding, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_decontamination": decontamination.op3_decontamination,
     "op4_sharding": sharding.op4_sharding,
     "op5_mixing": mixing.op5_mixing,
+    "op6_lm_scoring": ngram_lm.op6_lm_scoring,
     "op7_jaccard_join": jaccard_join.op7_jaccard_join,
     "op8_warc": warc.op8_warc,
     "op9_quality_rules": quality_rules.op9_quality_rules,
