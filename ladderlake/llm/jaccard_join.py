@@ -301,5 +301,15 @@ def jaccard_join(docs: DataFrame, **options) -> DataFrame:
     return out.select(back("id").alias("doc_id"), "n_shingles", back("component_id").alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The rows of docs with the smallest doc_id of their class; of rows that share it, one."""
+    from pyspark.sql import Window as W
+
+    out = Join(docs, **options).run()
+    keep = out.filter("id = component_id").select("id").distinct()
+    own = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).join(keep.withColumnRenamed("id", "_id"), "_id", "left_semi")
+    return own.withColumn("_row", F.row_number().over(W.partitionBy("_id").orderBy("_id"))).filter("_row = 1").select(*docs.columns)
+
+
 def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_join(spark.read.parquet(f"{sf_dir}/documents.parquet"))

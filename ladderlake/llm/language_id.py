@@ -208,35 +208,48 @@ def label_words(model: dict, text: str) -> list[tuple[str, str, float]]:
     return [(raw[a:b].decode(), model["names"][x.argmax()], float(x.max())) for a, b, x in zip(w.start, w.end, p)]
 
 
-def predict(docs: DataFrame, model: dict | None, keep: list[str] = ()) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score, *keep) of every row."""
+def verdicts(column: pa.Array, model: dict | None) -> tuple[list[str], np.ndarray]:
+    """(language, score) of each text of a column."""
+    buf, offs = byte_view(column)
+    total = np.zeros((len(column), 1))
+    if model:
+        w = Words(buf, offs)
+        v = Vocabulary(w, model["lexicon"])
+        p = marginals(v.scores(model["weights"])[v.of], w.first, model["transitions"]) * v.lettered[v.of][:, None]
+        total = np.column_stack([np.bincount(w.doc, weights=p[:, x], minlength=len(column)) for x in range(len(model["names"]))])
+    score = total.max(1) / np.maximum(total.sum(1), 1e-300)
+    lettered = np.concatenate([[0], np.cumsum(_LETTER[buf] & (buf < 128))])
+    plain = lettered[offs[1:]] > lettered[offs[:-1]]
+    known = [bool(model) and (bool(ok) or any(c.isalpha() for c in (column[i].as_py() or ""))) for i, ok in enumerate(plain)]
+    return [model["names"][b] if ok else "und" for b, ok in zip(total.argmax(1), known)], np.where(known, np.clip(score, 0, 1), 0.0)
+
+
+def predict(docs: DataFrame, model: dict | None) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS + lexicon_size rows at most, whatever the input
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
             for lo, hi in slices(batch.column(2), 2 << 20):
-                column = batch.column(2)[lo:hi]
-                buf, offs = byte_view(column)
-                total = np.zeros((hi - lo, 1))
-                if model:
-                    w = Words(buf, offs)
-                    v = Vocabulary(w, model["lexicon"])
-                    p = marginals(v.scores(model["weights"])[v.of], w.first, model["transitions"]) * v.lettered[v.of][:, None]
-                    total = np.column_stack([np.bincount(w.doc, weights=p[:, x], minlength=hi - lo) for x in range(p.shape[1])])
-                best = total.argmax(1)
-                score = total.max(1) / np.maximum(total.sum(1), 1e-300)
-                lettered = np.concatenate([[0], np.cumsum(_LETTER[buf] & (buf < 128))])
-                plain = lettered[offs[1:]] > lettered[offs[:-1]]
-                known = [bool(model) and (bool(ok) or any(c.isalpha() for c in (column[i].as_py() or ""))) for i, ok in enumerate(plain)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[lo:hi], batch.column(1)[lo:hi], pa.array([model["names"][b] if ok else "und" for b, ok in zip(best, known)], pa.string()), pa.array(np.where(known, np.clip(score, 0, 1), 0.0)), *(batch.column(3 + i)[lo:hi] for i in range(len(keep)))],
-                    ["doc_id", "held_out", "lang_pred", "score", *keep],
-                )
-
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("_text"), *keep)
-    types = dict(slim.dtypes)
-    return slim.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double" + "".join(f", `{c}` {types[c]}" for c in keep))
+                lang, score = verdicts(batch.column(2)[lo:hi], shared.value)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], batch.column(1)[lo:hi], pa.array(lang, pa.string()), pa.array(score)], ["doc_id", "held_out", "lang_pred", "score"])
+
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
+    return slim.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def accepted(docs: DataFrame, model: dict | None, least_score: float = 0.4) -> DataFrame:
+    """The rows of docs, with all their columns, that have a language with at least this score."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi in slices(batch.column(at), 2 << 20):
+                lang, score = verdicts(batch.column(at)[lo:hi], shared.value)
+                yield batch.slice(lo, hi - lo).filter(pa.array([x != "und" and s >= least_score for x, s in zip(lang, score)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op2_language_id(spark, sf_dir: str) -> DataFrame:
