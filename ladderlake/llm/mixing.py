@@ -16,23 +16,54 @@ Rows that share an id share their fate. Empty table: empty result. Columns of th
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._scratch import written
+from ._text import SPACE, byte_view, slices
 
 DIMS = ("source", "lang", "topic")
-
-
-def topic_of(text: str = "text") -> Column:
-    """A coarse topic by a text's form: table, code-like, shouting, notice or prose."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    share = lambda chars: (F.length(t) - F.length(F.translate(t, chars, ""))) / F.greatest(F.length(t), F.lit(1))
-    return F.when(share("|") > 0.02, "table").when(share("#*$%&<>{}=") > 0.03, "marked").when(share("!") > 0.03, "shouting").when(F.lower(t).contains("license") | F.lower(t).contains("copyright"), "notice").otherwise("prose")
-
-
-def tokens_of(text: str = "text") -> Column:
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+ADDED = ("topic", "n_tokens", "weight", "probability", "kept")
+_FORM = np.zeros((3, 256), bool)
+for _k, _chars in enumerate([b"|", b"#*$%&<>{}=", b"!"]):
+    _FORM[_k, list(_chars)] = True
+
+
+def measure(column: pa.Array) -> tuple[list[str], np.ndarray]:
+    """(topic, number of words) of each text: the topic is coarse, from its form: table, marked, shouting, notice or prose."""
+    buf, offs = byte_view(column)
+    inside = ~SPACE[buf]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    at = offs[:-1][offs[:-1] < len(buf)]
+    begins[at] = inside[at]
+    many = lambda mask: np.diff(np.concatenate([[0], np.cumsum(mask)])[offs])
+    size = np.maximum(np.diff(offs), 1)
+    bars, marks, shouts = (many(_FORM[k][buf]) / size for k in range(3))
+    notice = [bool(x) for x in pc.fill_null(pc.match_substring_regex(column.cast(pa.large_string()), "(?i)license|copyright"), False).to_pylist()]
+    topics = ["table" if a > 0.02 else "marked" if b > 0.03 else "shouting" if c > 0.03 else "notice" if d else "prose" for a, b, c, d in zip(bars, marks, shouts, notice)]
+    return topics, many(begins)
+
+
+def measured(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """Columns `keep` of docs with topic and n_tokens."""
+    keep = [c for c in keep if c not in ADDED]
+    slim = docs.select(F.col("text").cast("string").alias("_text"), *keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi in slices(batch.column(0)):
+                topics, n = measure(batch.column(0)[lo:hi])
+                yield pa.RecordBatch.from_arrays([*(batch.column(i + 1)[lo:hi] for i in range(len(keep))), pa.array(topics, pa.string()), pa.array(n.astype(np.int64))], [*keep, "topic", "n_tokens"])
+
+    schema = T.StructType([*(slim.schema[c] for c in keep), T.StructField("topic", T.StringType()), T.StructField("n_tokens", T.LongType())])
+    return slim.mapInArrow(run, schema)
 
 
 def rake(cells: DataFrame, targets: dict, rounds: int = 50, tolerance: float = 1e-6, few_cells: int = 100_000) -> DataFrame:
@@ -88,10 +119,10 @@ def chance(id_col: str = "doc_id", seed: int = 5) -> Column:
     return F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(1 << 52)) / F.lit(float(1 << 52))
 
 
-def mix(docs: DataFrame, targets: dict, keep_share: float = 0.8, few_cells: int = 100_000) -> DataFrame:
-    """docs with topic, n_tokens, weight, probability, kept."""
-    own = docs.drop("topic", "n_tokens", "weight", "probability", "kept").withColumn("topic", topic_of()).withColumn("n_tokens", tokens_of())
-    cells = own.groupBy(*DIMS).agg(F.sum("n_tokens").alias("tokens"))
+def mix(docs: DataFrame, targets: dict, keep_share: float = 0.8, few_cells: int = 100_000, columns: list[str] | None = None) -> DataFrame:
+    """docs (or these columns of it) with topic, n_tokens, weight, probability, kept."""
+    own = measured(docs, columns or docs.columns)
+    cells = measured(docs, ["source", "lang"]).groupBy(*DIMS).agg(F.sum("n_tokens").alias("tokens"))
     rates = calibrate(written(rake(written(cells, "cells"), targets, few_cells=few_cells), "raked"), keep_share)
     keys = [F.col(d).alias(f"_{d}") for d in DIMS]
     rates = written(rates.select(*keys, "weight", "probability"), "rates")
@@ -108,5 +139,5 @@ TARGETS = {"source": 0.7, "lang": {"en": 0.55, "de": 0.17, "fr": 0.16, "es": 0.1
 
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source", "lang")
-    return mix(docs, TARGETS).select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "kept")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return mix(docs, TARGETS, columns=["doc_id", "source", "lang"]).select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "kept")
