@@ -5,13 +5,16 @@
    a token among the first n - ceil(t n) + 1 of each, so those prefixes are indexed: token -> list of (set, size, position).
 3. Index lists are sorted by size and cut into blocks with ranges of size and position; pairs of blocks whose sizes differ too
    much, or whose positions leave too few tokens behind, are skipped whole, then pairs one by one (index-level skipping).
-4. Short lists give their pairs at once. A long list first gives each set's pair with a leader of about its size. What is found
-   there answers for similar sets: within one component nothing is left to ask; between sets x, y of leaders p, q the distance is
-   at least d(p, q) - d(p, x) - d(q, y), so pairs where that is beyond the threshold are answered from their leaders' answer
-   (answer-level skipping); only the rest is compared. No link between components can be lost.
-5. Pairs are compared on whole sets; components of the links give the classes.
+4. Short lists give their pairs at once. A long list first gives each set's pair with a leader of about its size. Parity bitmaps
+   of 2 to 4 bits a token bound a pair's overlap from above (half of what sizes and Hamming distance leave), so pairs are
+   settled without their sets: those that may have a similarity of 0.5 form groups, which are compared inside: sets are taken so that each is highly similar to one whose
+   answers are known, and its overlaps with all others of the group are derived from those by the index lists of the tokens in
+   which the two differ only (answer-level skipping). No pair of a group is written out; links come out as a forest.
+   Between groups, long lists give the pairs that can link, and bitmaps leave few to compare.
+5. Comparisons are on whole sets; components of the links give the classes. Every pair that can link is compared in a group
+   or as a pair, so no link is lost.
 
-Long lists are dealt out in cells of at most `cell` entries by pairs of chunks, so no list has to fit a task.
+Long lists and groups are dealt out in cells by pairs of chunks (`cell` entries, `block` sets), so none has to fit a task.
 
 Empty or null texts have no shingles and link with nothing. Fewer words than a shingle count as one shingle. Rows that share
 a doc_id are one document for links; a null doc_id counts as the smallest. Repeated rows come back each. An empty table gives
@@ -109,9 +112,86 @@ def first_pairs(token: np.ndarray, ids: np.ndarray, n: np.ndarray, p: np.ndarray
     return pair[:, 0], pair[:, 1], o[of > SHORT]
 
 
+def parities(doc: np.ndarray, h: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """A bitmap of each set: whether an odd number of its tokens falls on a bit; a power of two of bits, 2 to 4 a token, at least 64."""
+    bits = 1 << np.maximum(6, np.ceil(np.log2(np.maximum(2 * n, 1))).astype(np.int64))
+    first = np.concatenate([[0], np.cumsum(bits)])
+    at = first[doc] + (mix(h ^ np.uint64(0xD6E8FEB86659FD93)) & (bits[doc] - 1).astype(np.uint64)).astype(np.int64)
+    packed = np.packbits((np.bincount(at, minlength=first[-1]) & 1).astype(np.uint8), bitorder="little").tobytes()
+    return [packed[a // 8 : b // 8] for a, b in zip(first[:-1], first[1:])]
+
+
+def most_common(x: bytes, nx: int, y: bytes, ny: int) -> int:
+    """What two sets can have in common at most, by their bitmaps; the longer is folded to the shorter."""
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    if len(x) != len(y):
+        x, y = (x, y) if len(x) < len(y) else (y, x)
+        y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return (nx + ny - int(np.bitwise_count(x ^ y).sum())) // 2
+
+
+def group_links(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """A forest of the links between sets of side 0 and of side 1 (of all sets if side is 0 throughout): set i's overlaps with all sets are those of the most similar set done before, less the index lists of tokens that i lacks, plus those of tokens that it adds."""
+    n = np.array([len(x) for x in sets])
+    m = len(sets)
+    tokens, of = np.unique(np.concatenate(sets), return_inverse=True)
+    cut = np.concatenate([[0], np.cumsum(n)])
+    coded = [np.sort(of[a:b]) for a, b in zip(cut[:-1], cut[1:])]
+    order = np.argsort(of, kind="stable")
+    owner = np.repeat(np.arange(m), n)[order]
+    begin = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(tokens)))])
+
+    def along(t: np.ndarray) -> np.ndarray:
+        """Overlaps that the index lists of tokens t add."""
+        size = begin[t + 1] - begin[t]
+        at = np.repeat(begin[t] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return np.bincount(owner[at], minlength=m)
+
+    parent = list(range(m))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    both = side.any()
+    best, base = np.zeros(m), np.full(m, -1)  # the most similar set that is done, for each set
+    done = np.zeros(m, bool)
+    rows: dict[int, np.ndarray] = {}
+    out = []
+    todo = np.flatnonzero(side == 0)
+    for _ in range(len(todo)):
+        left = todo[~done[todo]]
+        i = int(left[np.argmax(best[left])])
+        b = int(base[i])
+        gone = new = None
+        if b >= 0 and b in rows:
+            gone, new = np.setdiff1d(coded[b], coded[i], True), np.setdiff1d(coded[i], coded[b], True)
+        if gone is not None and len(gone) + len(new) < n[i]:
+            row = rows[b] - along(gone) + along(new)
+        else:
+            row = along(coded[i])
+        done[i] = True
+        rows[i] = row
+        if len(rows) > 64:  # what is kept of answers is bounded
+            rows.pop(next(iter(rows)))
+        union = n[i] + n - row
+        hit = np.flatnonzero((100 * row >= percent * union) & (side == 1 if both else ~done))
+        for j in hit.tolist():
+            x, y = find(i), find(j)
+            if x != y:
+                parent[x] = y
+                out.append((i, j))
+        near = row / union
+        closer = near > best
+        best[closer], base[closer] = near[closer], i
+    return out
+
+
 class Join:
-    def __init__(self, docs: DataFrame, k: int = 5, percent: int = 80, heavy: int = 200_000, cell: int = 1 << 15, id_col: str = "doc_id", text_col: str = "text") -> None:
-        self.spark, self.k, self.percent, self.heavy, self.cell = docs.sparkSession, k, percent, heavy, cell
+    def __init__(self, docs: DataFrame, k: int = 5, percent: int = 80, heavy: int = 200_000, cell: int = 1 << 15, block: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> None:
+        self.spark, self.k, self.percent, self.heavy, self.cell, self.block = docs.sparkSession, k, percent, heavy, cell, block
         self.docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def _common(self) -> np.ndarray:
@@ -141,7 +221,7 @@ class Join:
         return np.array([r["h"] for r in rows][::-1], np.int64).view(np.uint64)
 
     def nodes(self) -> DataFrame:
-        """(id, n, s1, s2, prefix) of every document; prefix: fingerprints as bytes."""
+        """(id, n, s1, s2, prefix, bits) of every document; prefix: fingerprints as bytes."""
         common = self._common()
         by_h = np.argsort(common)
         shared = self.spark.sparkContext.broadcast((common[by_h], by_h + 1))
@@ -160,14 +240,15 @@ class Join:
                     n = np.bincount(doc, minlength=hi - lo)
                     first = np.concatenate([[0], np.cumsum(n)])
                     sums = [np.diff(np.concatenate([[np.uint64(0)], np.cumsum(mix(h ^ np.uint64(c)), dtype=np.uint64)])[first]) for c in (0x51ED270B, 0xA0761D6478BD642F)]
+                    bits = parities(doc, h, n)
                     if rank.any():
                         h = h[np.lexsort((h, rank, doc))]
                     long = n - -(-percent * n // 100) + (n > 0)
                     ends = first[:-1] + long
                     prefix = [h[a:b].tobytes() for a, b in zip(first[:-1], ends)]
-                    yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(n.astype(np.int64)), *(pa.array(s.view(np.int64)) for s in sums), pa.array(prefix, pa.binary())], ["id", "n", "s1", "s2", "prefix"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(n.astype(np.int64)), *(pa.array(s.view(np.int64)) for s in sums), pa.array(prefix, pa.binary()), pa.array(bits, pa.binary())], ["id", "n", "s1", "s2", "prefix", "bits"])
 
-        return self.docs.mapInArrow(run, "id long, n long, s1 long, s2 long, prefix binary")
+        return self.docs.mapInArrow(run, "id long, n long, s1 long, s2 long, prefix binary, bits binary")
 
     def lists(self, nodes: DataFrame, reps: DataFrame) -> DataFrame:
         """(kind, token, a, b, n, p): kind 0, pairs to compare; kind 1, entries of long lists."""
@@ -205,10 +286,10 @@ class Join:
         packed = own.mapInArrow(pack, "bucket long, token binary, ids binary, n binary, p binary")
         return packed.groupBy("bucket").applyInArrow(meet, "kind long, token long, a long, b long, n long, p long")
 
-    def compare(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, both, na, nb) of every pair (a, b): sizes of the sets and of their intersection. Sets are made of the texts of those documents only, found by a Bloom filter of bounded size."""
+    def sets(self, pairs: DataFrame) -> DataFrame:
+        """(id, s) of the documents of pairs (a, b): sorted fingerprints as bytes. A Bloom filter of bounded size finds the texts; it lets a few more through."""
         k = self.k
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        ids = pairs.select("a").unionAll(pairs.select("b")).distinct().withColumnRenamed("a", "id")
         bits = _bloom.bits_for(2 * ids.count(), most=26)
 
         def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +301,7 @@ class Join:
 
         wanted = self.spark.sparkContext.broadcast(_bloom.merge(ids.coalesce(max(2, self.spark.sparkContext.defaultParallelism)).mapInArrow(build, _bloom.CHUNKS_SCHEMA), bits, "once"))
 
-        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if not batch.num_rows:
                     continue
@@ -230,6 +311,25 @@ class Join:
                     first = np.searchsorted(doc, np.arange(hi - lo + 1))
                     yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array([h[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())], ["id", "s"])
 
+        return self.docs.mapInArrow(run, "id long, s binary")
+
+    def bounded(self, pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+        """The pairs (a, b) whose bitmaps allow the similarity."""
+
+        def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = []
+                for x, nx, y, ny in zip(*(batch.column(c).to_pylist() for c in ("xa", "na", "xb", "nb"))):
+                    most = min(most_common(x, nx, y, ny), nx, ny)
+                    keep.append(100 * most >= percent * (nx + ny - most))
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+        side = lambda c: nodes.select(F.col("id").alias(c), F.col("bits").alias(f"x{c}"), F.col("n").alias(f"n{c}"))
+        return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "xa", "na", "xb", "nb").mapInArrow(meet, "a long, b long")
+
+    def compare(self, pairs: DataFrame, made: DataFrame) -> DataFrame:
+        """(a, b, both, na, nb) of every pair (a, b): sizes of the sets and of their intersection."""
+
         def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 common, na, nb = [], [], []
@@ -241,7 +341,6 @@ class Join:
                     nb.append(len(y))
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *(pa.array(v, pa.int64()) for v in (common, na, nb))], ["a", "b", "both", "na", "nb"])
 
-        made = self.docs.mapInArrow(sets, "id long, s binary")
         joined = pairs.join(made.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(made.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
         return joined.select("a", "b", "sa", "sb").mapInArrow(meet, "a long, b long, both long, na long, nb long")
 
@@ -262,37 +361,40 @@ class Join:
 
         return dealt.groupBy("token", "x", "y").applyInArrow(meet, "a long, b long").distinct()
 
+    def _inside(self, groups: DataFrame, made: DataFrame) -> DataFrame:
+        """Links (a, b) of sets of one group; groups: (id, comp)."""
+        percent, block = self.percent, self.block
+        sizes = groups.groupBy("comp").agg(F.count("*").alias("m")).select("comp", F.ceil(F.col("m") / block).cast("int").alias("g"))
+        dealt = groups.join(sizes, "comp").join(made, "id").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("g")).cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1))).select("comp", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "id", "s")
+
+        def meet(key, table):
+            ids, mine = table.column("id").to_numpy(), table.column("mine").to_numpy()
+            sets = [np.frombuffer(v, np.uint64) for v in table.column("s").to_pylist()]
+            found = group_links(sets, (mine != key[1].as_py()).astype(np.int64), percent)
+            return pa.table({"a": pa.array([ids[i] for i, _ in found], pa.int64()), "b": pa.array([ids[j] for _, j in found], pa.int64())})
+
+        return dealt.groupBy("comp", "x", "y").applyInArrow(meet, "a long, b long")
+
     def run(self) -> DataFrame:
         """(id, n_shingles, component_id) of every row."""
         nodes = written(self.nodes(), "sets")
         reps = nodes.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"))
         lists = written(self.lists(nodes, reps), "lists")
-        first = written(self.compare(lists.filter("kind = 0").select("a", "b").distinct()), "compared")
-        linked = f"100 * both >= {self.percent} * (na + nb - both)"
-        links = first.filter(linked).select("a", "b")
-        known = components(links)
+        pairs = written(lists.filter("kind = 0").select("a", "b").distinct(), "pairs")
+        near = written(self.bounded(pairs, nodes, 50), "near")
+        groups = components(near)
+        links = written(self._inside(groups, self.sets(near)), "inside")
         entries = lists.filter("kind = 1").select("token", "a", "n", "p")
-        later = written(self._later(entries, known).join(first.select("a", "b"), ["a", "b"], "left_anti"), "later")
+        later = written(self.bounded(self._later(entries, groups).join(pairs, ["a", "b"], "left_anti"), nodes, self.percent), "later")
         if later.limit(1).count():
-            links = links.unionAll(self._answer(later, first).filter(linked).select("a", "b"))
-            known = components(written(links, "links"))
+            linked = f"100 * both >= {self.percent} * (na + nb - both)"
+            links = links.unionAll(self.compare(later, self.sets(later)).filter(linked).select("a", "b"))
+        known = components(written(links, "links"))
         rep = nodes.select("id", "n", "s1", "s2").join(reps, ["s1", "s2", "n"], "left")
         out = rep.join(known.withColumnRenamed("id", "rep"), "rep", "left")
         return out.select("id", F.col("n").alias("n_shingles"), F.coalesce("comp", "rep", "id").alias("component_id"))
 
-    def _answer(self, pairs: DataFrame, first: DataFrame) -> DataFrame:
-        """Compares pairs that their leaders' answers leave open. A set's leader is the first of the sets that it was found to link with."""
-        beyond = 1 - self.percent / 100
-        distance = 1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
-        led = first.filter(f"100 * both >= {self.percent} * (na + nb - both)").groupBy(F.col("b").alias("id")).agg(F.min(F.struct(F.col("a").alias("leader"), distance.alias("d"))).alias("l")).select("id", "l.leader", "l.d")
-        for side in ("a", "b"):
-            pairs = pairs.join(led.select(F.col("id").alias(side), F.col("leader").alias(f"l{side}"), F.col("d").alias(f"d{side}")), side, "left")
-        pairs = written(pairs.select("a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb"), F.coalesce("da", F.lit(0.0)).alias("da"), F.coalesce("db", F.lit(0.0)).alias("db")), "led")
-        asked = pairs.filter("la <> lb and not (la = a and lb = b)").groupBy(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).agg(F.count("*").alias("m")).filter("m > 1").select("a", "b")
-        told = written(self.compare(asked), "asked").select(F.col("a").alias("x"), F.col("b").alias("y"), distance.alias("dxy"))
-        open_ = pairs.join(told, (F.least("la", "lb") == F.col("x")) & (F.greatest("la", "lb") == F.col("y")), "left").filter(F.col("dxy").isNull() | (F.col("dxy") - F.col("da") - F.col("db") <= beyond + 1e-9)).select("a", "b")
-        return self.compare(written(open_, "open"))
-
 
 def jaccard_join(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs; see Join for the options."""

@@ -294,8 +294,8 @@ def test_ngram_lm(spark, docs):
 
 
 # 7
-@pytest.mark.parametrize("cell", [1 << 15, 8])
-def test_jaccard_join(spark, cell):
+@pytest.mark.parametrize("cell, block", [(1 << 15, 1024), (8, 5)])
+def test_jaccard_join(spark, cell, block):
     rng = random.Random(4)
     base = [[f"w{rng.randrange(400)}" for _ in range(rng.randrange(6, 80))] for _ in range(30)]
     hot = [f"h{i}" for i in range(9)]
@@ -329,7 +329,7 @@ def test_jaccard_join(spark, cell):
                 parent[b] = a
     want = sorted(((i, len(s), None if find(j) == -1 else find(j)) for (i, _), s, j in zip(data, sets, ids)), key=str)
     df = spark.createDataFrame([(*r, 1, 2) for r in data], "doc_id long, text string, id int, rep int").repartition(4)
-    assert table(jaccard_join.jaccard_join(df, cell=cell), "doc_id", "n_shingles", "component_id") == want
+    assert table(jaccard_join.jaccard_join(df, cell=cell, block=block), "doc_id", "n_shingles", "component_id") == want
     left = [r["doc_id"] for r in jaccard_join.one_of_each(df).collect()]
     assert sorted(map(str, left)) == sorted(map(str, {c for _, _, c in want}))
     assert jaccard_join.jaccard_join(df.limit(0)).count() == 0
@@ -345,6 +345,42 @@ def test_list_pairs_skip_no_pair():
     assert set(zip(i.tolist(), j.tolist())) == all_
 
 
+def test_bitmaps_bound_what_sets_share():
+    rng = np.random.default_rng(9)
+    pool = rng.choice(2**50, 4000, replace=False).astype(np.uint64)
+    sets = [np.sort(rng.choice(pool, n, replace=False)) for n in rng.integers(1, 900, 60)] + [pool[:500], np.sort(pool[:510])]
+    bits = jaccard_join.parities(np.repeat(np.arange(62), [len(x) for x in sets]), np.concatenate(sets), np.array([len(x) for x in sets]))
+    for i in range(62):
+        for j in range(62):
+            most = jaccard_join.most_common(bits[i], len(sets[i]), bits[j], len(sets[j]))
+            assert most >= len(np.intersect1d(sets[i], sets[j]))
+    assert jaccard_join.most_common(bits[60], 500, bits[61], 510) == 500
+
+
+def test_group_links_connect_what_all_pairs_connect():
+    rng = np.random.default_rng(8)
+    base = rng.choice(2**40, 120, replace=False).astype(np.uint64)
+    sets = []
+    for _ in range(90):
+        x = base.copy()
+        at = rng.choice(120, rng.integers(0, 30), replace=False)
+        x[at] = rng.choice(2**40, len(at)).astype(np.uint64)
+        sets.append(np.unique(x))
+    for side in (np.zeros(90, np.int64), rng.integers(0, 2, 90)):
+
+        def classes(pairs):
+            c = list(range(90))
+            for i, j in pairs:
+                a, b = c[i], c[j]
+                c = [min(a, b) if x in (a, b) else x for x in c]
+            return c
+
+        two = side.any()
+        want = [(i, j) for i in range(90) for j in range(90) if i != j and (not two or (side[i], side[j]) == (0, 1)) and 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))]
+        got = jaccard_join.group_links(sets, side, 80)
+        assert set(got) <= set(want) and classes(got) == classes(want) and want
+
+
 # 8
 def test_warc(spark, tmp_path):
     rows = [(r["page_id"], r["url"], r["html"]) for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
