@@ -1,4 +1,283 @@
-"""Queries over the tables and their SQL."""
+"""Queries over the tables and their SQL. Code texts, attempt logs and JSON values are derived from the tables by the SQL in SOURCES, which both engines read."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from ..functions import code as C
+
+CODE = """SELECT p_partkey, CASE p_partkey % 7 WHEN 5 THEN 'Here:' || chr(10) || '```st' || chr(10) || code || chr(10) || '```' || chr(10) || 'done' WHEN 6 THEN '```' || code ELSE code END AS code FROM (
+  SELECT p_partkey, CASE WHEN p_partkey % 11 = 0 THEN '  import os' WHEN p_partkey % 13 = 0 THEN '' ELSE
+  'FUNCTION_BLOCK FB_' || CAST(p_partkey AS VARCHAR(20)) || chr(10) || 'VAR x : INT; y : INT; END_VAR' || chr(10) || CASE p_partkey % 6 WHEN 0 THEN 'x = y;' WHEN 1 THEN 'x := y; // copy' WHEN 2 THEN 'x : ARRAY[*] OF INT;' WHEN 3 THEN 'z := x; (* note: z' || chr(10) || ' *)' WHEN 4 THEN 'IF x > 1 THEN' || chr(10) || '  x := 2;' || chr(10) || 'END_IF;' ELSE 'IF x > 1 THEN' || chr(10) || 'WHILE y > 2 DO y := 1; END_WHILE;' END || chr(10) || CASE WHEN p_partkey % 9 = 0 THEN 'END_FB' ELSE 'END_FUNCTION_BLOCK' END END AS code FROM {part}) t"""
+ATTEMPTS = "SELECT user_id AS task, event_id AS seq, 'c' || CAST(event_id % 97 AS VARCHAR(9)) AS code, event_type = 'purchase' AS accepted, event_type = 'error' AS rejected, event_type, ts FROM {events}"
+TYPED = "SELECT user_id AS f, event_id AS line, CASE event_id % 5 WHEN 0 THEN '1' WHEN 1 THEN '2.5' WHEN 2 THEN '\"s\"' WHEN 3 THEN 'null' ELSE '[1]' END AS v FROM {events}"
+
+
+def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def _sql(spark: SparkSession, sf_dir: str, sql: str, table: str) -> DataFrame:
+    return spark.sql(sql, **{table: _read(spark, sf_dir, table)})
+
+
+def _code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sql(spark, sf_dir, CODE, "part")
+
+
+def _attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sql(spark, sf_dir, ATTEMPTS, "events")
+
+
+def _duck(sql: str) -> str:
+    for t in ("part", "events"):
+        sql = sql.replace("{%s}" % t, t)
+    return sql
+
+
+D_CODE, D_ATT, D_TYPED = f"({_duck(CODE)})", f"({_duck(ATTEMPTS)})", f"({_duck(TYPED)})"
+STRIP = lambda x: f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+D_BODY = STRIP(r"CASE WHEN regexp_matches(code, '(?s)```[a-zA-Z]*\n.*?```') THEN regexp_extract(code, '(?s)```[a-zA-Z]*\n(.*?)```', 1) ELSE code END")
+D_REPAIRED = rf"(SELECT p_partkey, CASE WHEN regexp_matches(b, '(?i)^(variables|import|def\s|class\s|#\s)') THEN '' ELSE b END AS code FROM (SELECT p_partkey, {D_BODY} AS b FROM {D_CODE} c) d)"
+D_FAST = r"""CASE WHEN regexp_matches(code, '[\p{L}\p{N}_]\s*=\s*[\p{L}\p{N}_]+;') THEN 'Illegal assignment ''=''' WHEN NOT (contains(code, 'FUNCTION_BLOCK') AND contains(code, 'END_FUNCTION_BLOCK') AND contains(code, 'VAR') AND contains(code, 'END_VAR')) THEN 'Missing structure keywords' WHEN regexp_matches(upper(code), 'ARRAY ?\[\*\]') THEN 'Dynamic arrays not supported' ELSE 'Passed' END"""
+D_PLAIN = r"regexp_replace(regexp_replace({0}, '(?s)\(\*.*?\*\)', '', 'g'), '//[^\n]*', '', 'g')"
+D_STATUS = f"(SELECT p_partkey, CASE WHEN code = '' THEN 'empty' WHEN {D_FAST} <> 'Passed' THEN 'basic_error' ELSE 'golden' END AS quality FROM {D_REPAIRED} r)"
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def with_status(code: DataFrame) -> DataFrame:
+    """Two layers of the funnel: repair, then rules."""
+    r = code.withColumn("code", C.auto_repair(F.col("code")))
+    return r.withColumn("quality", F.when(F.col("code") == "", "empty").when(C.fast_validate(F.col("code")) != "Passed", "basic_error").otherwise("golden"))
+
+
+@query(f"SELECT quality, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 2) AS pct FROM {D_STATUS} s GROUP BY quality")
+def quality_funnel(spark, sf_dir):
+    n = with_status(_code(spark, sf_dir)).groupBy("quality").agg(F.count("*").alias("n"))
+    total = n.agg(F.sum("n").alias("t"))  # one row
+    return n.crossJoin(F.broadcast(total)).select("quality", "n", F.round(F.lit(100.0) * F.col("n") / F.col("t"), 2).alias("pct"))
+
+
+@query(f"SELECT p_partkey, code FROM {D_REPAIRED} r")
+def code_fence_repair(spark, sf_dir):
+    return _code(spark, sf_dir).select("p_partkey", C.auto_repair(F.col("code")).alias("code"))
+
+
+@query(rf"""SELECT p_partkey, upper(regexp_replace(code, '(?s)(''[^'']*''|"[^"]*")|//[^\n]*|\(\*.*?\*\)', '\1', 'g')) AS upper_code, {D_PLAIN.format('code')} AS plain FROM {D_CODE} c""")
+def strip_comments(spark, sf_dir):
+    c = F.col("code")
+    return _code(spark, sf_dir).select("p_partkey", C.remove_comments(c).alias("upper_code"), C.strip_comments(c).alias("plain"))
+
+
+@query(f"SELECT p_partkey, {D_FAST} AS message FROM {D_CODE} c")
+def fast_validate(spark, sf_dir):
+    return _code(spark, sf_dir).select("p_partkey", C.fast_validate(F.col("code")).alias("message"))
+
+
+def _count(word: str) -> str:
+    return rf"len(regexp_extract_all(upper(p), '\b{word}\b'))"
+
+
+_IMBALANCE = "CASE " + " ".join(f"WHEN {_count(a)} <> {_count(b)} THEN 'Structural imbalance: {a}(' || {_count(a)} || ') vs {b}(' || {_count(b)} || ')'" for a, b in C.PAIRS) + " ELSE 'Passed' END"
+
+
+@query(rf"SELECT p_partkey, CASE WHEN regexp_matches(p, '(^|[^:<>])=([^=]|$)') THEN 'Assignment Error' ELSE {_IMBALANCE} END AS message FROM (SELECT p_partkey, {D_PLAIN.format('code')} AS p FROM {D_CODE} c) q")
+def strict_legacy_checks(spark, sf_dir):
+    return _code(spark, sf_dir).select("p_partkey", C.strict_validate(F.col("code")).alias("message"))
+
+
+D_DECL = r"list_sort(list_distinct(flatten(list_transform(regexp_extract_all(code, '(?is)VAR.*?END_VAR'), lambda b: regexp_extract_all(b, '(\w+)\s*:\s*\w+', 1)))))"
+D_USED = r"list_distinct(list_concat(regexp_extract_all(code, '(\w+)\s*:=\s*\w+', 1), list_filter(regexp_extract_all(code, '\w+\s*:=\s*(\w+)', 1), lambda x: regexp_matches(x, '^[A-Za-z_]'))))"
+
+
+@query(f"SELECT p_partkey, array_to_string({D_DECL}, ',') AS vars, len({D_DECL}) AS n FROM {D_CODE} c")
+def declared_vars(spark, sf_dir):
+    v = C.declared_vars(F.col("code"))
+    return _code(spark, sf_dir).select("p_partkey", F.array_join(v, ",").alias("vars"), F.size(v).cast("long").alias("n"))
+
+
+@query(f"SELECT p_partkey, array_to_string(u, ',') AS undefined, len(u) = 0 AS passed FROM (SELECT p_partkey, list_sort(list_filter({D_USED}, lambda x: NOT list_contains({D_DECL}, x))) AS u FROM {D_CODE} c) q")
+def undefined_vars(spark, sf_dir):
+    u = F.array_sort(F.array_except(C.used_vars(F.col("code")), C.declared_vars(F.col("code"))))
+    return _code(spark, sf_dir).select("p_partkey", F.array_join(u, ",").alias("undefined"), (F.size(u) == 0).alias("passed"))
+
+
+@query("SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN '{\"n\":' || turn || '}' WHEN 1 THEN '[1,' || turn || ']' WHEN 2 THEN '{\"a\":[1, 2]}' ELSE 'no json ' || role END AS clean FROM conversations")
+def llm_json_clean(spark, sf_dir):
+    raw = F.expr("CASE turn % 4 WHEN 0 THEN concat('<think>{x}</think> Sure: ```json\n{\"n\":', turn, '}\n```') WHEN 1 THEN concat('[1,', turn, ',]') WHEN 2 THEN 'x {\"a\":[1, 2,],} y' ELSE concat(' no json ', role, ' ') END")
+    return _read(spark, sf_dir, "conversations").select("conv_id", "turn", C.clean_json(raw).alias("clean"))
+
+
+@query("SELECT k AS task, count(*) AS n, min(doc_id) AS first_id FROM (SELECT split_part('write for: a for: ' || source || '-' || (doc_id % 100), 'for: ', -1) AS k, doc_id FROM documents) t WHERE k NOT IN (SELECT 'src' || (doc_id % 20) || '-' || (doc_id % 100) FROM labels WHERE quality = 0) GROUP BY k")
+def task_dedup(spark, sf_dir):
+    tasks = _read(spark, sf_dir, "documents").select("doc_id", C.task_key(F.concat(F.lit("write for: a for: "), "source", F.lit("-"), F.col("doc_id") % 100)).alias("task"))
+    done = _read(spark, sf_dir, "labels").filter("quality = 0").select(F.concat(F.lit("src"), F.col("doc_id") % 20, F.lit("-"), F.col("doc_id") % 100).alias("task")).distinct()
+    return tasks.join(done, "task", "left_anti").groupBy("task").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id"))
+
+
+@query("SELECT conv_id, turn, task FROM (SELECT conv_id, turn, unnest(['do ' || role, 'Explain ' || role || ' ' || turn, role]) AS task FROM conversations) t WHERE length(task) > 10")
+def task_filter(spark, sf_dir):
+    reply = F.to_json(F.struct(F.array(F.concat(F.lit("do "), "role"), F.concat(F.lit("Explain "), "role", F.lit(" "), "turn"), F.col("role")).alias("tasks")))
+    tasks = F.from_json(reply, "tasks array<string>")["tasks"]
+    return _read(spark, sf_dir, "conversations").select("conv_id", "turn", F.explode(F.filter(tasks, lambda x: F.length(x) > 10)).alias("task"))
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
+def pending_resume(spark, sf_dir):
+    return _read(spark, sf_dir, "documents").join(_read(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", "source")
+
+
+@query("SELECT doc_id, length(text) AS size FROM documents WHERE length(text) > 200 AND length(text) < 2000 ORDER BY doc_id DESC LIMIT 50")
+def golden_fifo(spark, sf_dir):
+    return _read(spark, sf_dir, "documents").select("doc_id", F.length("text").cast("long").alias("size")).filter("size > 200 AND size < 2000").orderBy(F.desc("doc_id")).limit(50)
+
+
+@query("SELECT doc_id, (doc_id * 7919) % 1009 AS k FROM documents WHERE length(text) > 200 AND length(text) < 2000 ORDER BY 2, 1 LIMIT 3")
+def golden_sample(spark, sf_dir):
+    return _read(spark, sf_dir, "documents").filter(F.length("text").between(201, 1999)).select("doc_id", ((F.col("doc_id") * 7919) % 1009).alias("k")).orderBy("k", "doc_id").limit(3)
+
+
+D_FIRST = f"(SELECT task, min(seq) AS seq FROM {D_ATT} a WHERE accepted GROUP BY task)"
+
+
+def _first_pass(a: DataFrame) -> DataFrame:
+    """Each task's first accepted attempt, with how many attempts went before and the last rejected one of these."""
+    w = W.partitionBy("task").orderBy("seq")
+    b = a.withColumn("retries", (F.row_number().over(w) - 1).cast("long")).withColumn("bad", F.last(F.when(F.col("rejected"), F.col("code")), ignorenulls=True).over(w))
+    return b.filter("accepted").withColumn("k", F.row_number().over(w)).filter("k = 1").drop("k")
+
+
+@query(f"SELECT s.task, a.code AS chosen, (SELECT arg_max(r.code, r.seq) FROM {D_ATT} r WHERE r.task = s.task AND r.rejected AND r.seq < s.seq) AS rejected_code FROM {D_FIRST} s JOIN {D_ATT} a ON a.task = s.task AND a.seq = s.seq WHERE EXISTS (SELECT 1 FROM {D_ATT} r WHERE r.task = s.task AND r.rejected AND r.seq < s.seq)")
+def dpo_pairs(spark, sf_dir):
+    return _first_pass(_attempts(spark, sf_dir)).filter("bad IS NOT NULL").select("task", F.col("code").alias("chosen"), F.col("bad").alias("rejected_code"))
+
+
+@query(f"SELECT s.task, a.code AS output, (SELECT count(*) FROM {D_ATT} b WHERE b.task = s.task AND b.seq < s.seq) AS retries FROM {D_FIRST} s JOIN {D_ATT} a ON a.task = s.task AND a.seq = s.seq")
+def sft_records(spark, sf_dir):
+    return _first_pass(_attempts(spark, sf_dir)).select("task", F.col("code").alias("output"), "retries")
+
+
+@query(f"SELECT task, count(*) FILTER (rejected) AS n_rejected, max(seq) AS last_seq, 'Max retries' AS final_reason FROM {D_ATT} a GROUP BY task HAVING NOT bool_or(accepted) AND bool_or(rejected)")
+def failed_tasks(spark, sf_dir):
+    return _attempts(spark, sf_dir).groupBy("task").agg(F.count_if("rejected").alias("n_rejected"), F.max("seq").alias("last_seq"), F.bool_or("accepted").alias("ok")).filter("NOT ok AND n_rejected > 0").select("task", "n_rejected", "last_seq", F.lit("Max retries").alias("final_reason"))
+
+
+@query(f"SELECT task, seq, code AS output FROM {D_ATT} a WHERE rejected AND code <> 'c0' AND task NOT IN (SELECT task FROM {D_ATT} b WHERE accepted)")
+def explode_rejects(spark, sf_dir):
+    a = _attempts(spark, sf_dir)
+    lists = a.groupBy("task").agg(F.collect_list(F.when(F.col("rejected"), F.struct("seq", F.when(F.col("code") != "c0", F.col("code")).otherwise(" ").alias("code")))).alias("rejected_samples"), F.bool_or("accepted").alias("ok")).filter("NOT ok")
+    return lists.select("task", F.explode("rejected_samples").alias("r")).filter(F.trim("r.code") != "").select("task", "r.seq", F.col("r.code").alias("output"))
+
+
+@query(f"SELECT seq, 'Task ' || task AS prompt, '<TODO>' AS chosen, code AS rejected_code, CASE WHEN seq % 3 = 0 THEN 'Unknown Error' ELSE event_type END AS reason FROM {D_ATT} a WHERE rejected AND seq % 5 <> 0")
+def dpo_negatives(spark, sf_dir):
+    a = _attempts(spark, sf_dir).withColumn("error", F.when(F.col("seq") % 3 != 0, F.col("event_type"))).withColumn("output", F.when(F.col("seq") % 5 != 0, F.col("code")).otherwise(""))
+    return a.filter("rejected AND output <> ''").select("seq", F.concat(F.lit("Task "), "task").alias("prompt"), F.lit("<TODO>").alias("chosen"), F.col("output").alias("rejected_code"), F.coalesce("error", F.lit("Unknown Error")).alias("reason"))
+
+
+@query("SELECT u.conv_id, u.turn, u.text AS instruction, '' AS input, '<think>' || chr(10) || 'turn ' || u.turn || chr(10) || '</think>' || chr(10) || chr(10) || a.text AS output, 'You are an expert.' AS system FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant' WHERE u.role = 'user'")
+def chat_to_alpaca(spark, sf_dir):
+    c = _read(spark, sf_dir, "conversations")
+    a = c.filter("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
+    thought = F.concat(F.lit("turn "), F.col("turn"))
+    return c.filter("role = 'user'").join(a, ["conv_id", "turn"]).select("conv_id", "turn", F.col("text").alias("instruction"), F.lit("").alias("input"), F.concat(F.lit("<think>\n"), thought, F.lit("\n</think>\n\n"), "answer").alias("output"), F.lit("You are an expert.").alias("system"))
+
+
+@query("SELECT doc_id, CASE WHEN (doc_id * 7919) % 100 < 30 THEN source ELSE 'Rewrite ' || source || ' ' || CASE doc_id % 4 WHEN 0 THEN 'with more constraints' WHEN 1 THEN 'with deeper reasoning' WHEN 2 THEN 'for a concrete plant' ELSE 'with error handling' END END AS prompt FROM documents")
+def evolve_prompt(spark, sf_dir):
+    how = F.element_at(F.array(*map(F.lit, ["with more constraints", "with deeper reasoning", "for a concrete plant", "with error handling"])), (F.col("doc_id") % 4 + 1).cast("int"))
+    return _read(spark, sf_dir, "documents").select("doc_id", F.when((F.col("doc_id") * 7919) % 100 < 30, F.col("source")).otherwise(F.format_string("Rewrite %s %s", F.col("source"), how)).alias("prompt"))
+
+
+D_MSG = "CASE event_id % 6 WHEN 0 THEN 'Quota exceeded 429' WHEN 1 THEN 'HTTP 429 Rate limit' WHEN 2 THEN 'RPM limit' WHEN 3 THEN 'Identity verification needed' WHEN 4 THEN 'timeout' ELSE 'invalid API key' END"
+
+
+@query(f"SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'fatal' WHEN 5 THEN 'fatal' WHEN 4 THEN 'other' ELSE 'rate_limit' END AS kind, CASE event_id % 6 WHEN 1 THEN 3 * (event_id % 3 + 1) WHEN 2 THEN 60 WHEN 3 THEN 60 END AS wait_s FROM events")
+def error_triage(spark, sf_dir):
+    m = F.expr(D_MSG)
+    return _read(spark, sf_dir, "events").select("event_id", C.triage(m).alias("kind"), C.wait_seconds(m, F.col("event_id") % 3).alias("wait_s"))
+
+
+D_CLASS = "CASE WHEN v IN ('1', '2.5') THEN 'num' WHEN v = '\"s\"' THEN 'str' WHEN v = '[1]' THEN 'list' END"
+
+
+@query(f"SELECT f, count(*) AS conflicts FROM (SELECT f, cls, lag(cls) OVER (PARTITION BY f ORDER BY line) AS prev FROM (SELECT f, line, {D_CLASS} AS cls FROM {D_TYPED} t) u WHERE cls IS NOT NULL) w WHERE prev <> cls GROUP BY f")
+def json_schema_drift(spark, sf_dir):
+    t = _sql(spark, sf_dir, TYPED, "events").select("f", "line", C.schema_class(F.try_parse_json("v")).alias("cls")).filter("cls IS NOT NULL")
+    return t.withColumn("prev", F.lag("cls").over(W.partitionBy("f").orderBy("line"))).filter("prev <> cls").groupBy("f").agg(F.count("*").alias("conflicts"))
+
+
+@query(f"SELECT f, line, CASE v WHEN 'null' THEN NULL WHEN '\"s\"' THEN 's' ELSE v END AS fixed, v NOT IN ('null', '\"s\"') AS changed FROM {D_TYPED} t")
+def json_schema_fix(spark, sf_dir):
+    t = _sql(spark, sf_dir, TYPED, "events").withColumn("x", F.try_parse_json("v"))
+    cls = C.schema_class(F.col("x"))
+    return t.select("f", "line", F.when(cls == "str", F.try_variant_get("x", "$", "string")).when(cls.isNotNull(), F.to_json("x")).alias("fixed"), (cls.isNotNull() & (cls != "str")).alias("changed"))
+
+
+@query(r"SELECT k AS md5_key, min(doc_id) AS keeper, count(*) AS n FROM (SELECT doc_id, md5(regexp_replace(text, '[ \t]+(\n|$)', '\1', 'g')) AS k FROM documents WHERE text <> '') t GROUP BY k")
+def dedup_blocks(spark, sf_dir):
+    return _read(spark, sf_dir, "documents").filter("text <> ''").select("doc_id", F.md5(F.regexp_replace("text", r"[ \t]+(\n|\z)", "$1")).alias("md5_key")).groupBy("md5_key").agg(F.min("doc_id").alias("keeper"), F.count("*").alias("n"))
+
+
+D_LINES = f"(SELECT p_partkey, unnest(string_split(code, chr(10))) AS line, generate_subscripts(string_split(code, chr(10)), 1) AS ln FROM {D_CODE} c)"
+D_DELTA = r"((CASE WHEN regexp_matches(u, '^\s*(IF|CASE|FOR|WHILE|REPEAT)\b') THEN 1 ELSE 0 END) - len(regexp_extract_all(u, '\bEND_(?:IF|CASE|FOR|WHILE|REPEAT)\b')))"
+
+
+def _lines(code: DataFrame) -> DataFrame:
+    return code.select("p_partkey", F.posexplode(F.split("code", "\n")).alias("ln", "line")).withColumn("ln", (F.col("ln") + 1).cast("long"))
+
+
+@query(f"SELECT p_partkey, count(*) AS n_lines, min(d) AS lowest, arg_max(d, ln) AS last, min(d) >= 0 AND arg_max(d, ln) = 0 AS balanced FROM (SELECT p_partkey, ln, CAST(sum(x) OVER (PARTITION BY p_partkey ORDER BY ln) AS BIGINT) AS d FROM (SELECT p_partkey, ln, {D_DELTA} AS x FROM (SELECT p_partkey, ln, upper({D_PLAIN.format('line')}) AS u FROM {D_LINES} l) a) b) c GROUP BY p_partkey")
+def ctrl_depth(spark, sf_dir):
+    d = F.sum(C.ctrl_delta(F.col("line"))).over(W.partitionBy("p_partkey").orderBy("ln"))
+    g = _lines(_code(spark, sf_dir)).withColumn("d", d).groupBy("p_partkey").agg(F.count("*").alias("n_lines"), F.min("d").alias("lowest"), F.max_by("d", "ln").alias("last"))
+    return g.withColumn("balanced", (F.col("lowest") >= 0) & (F.col("last") == 0))
+
+
+@query("SELECT user_id, seg, count(*) AS n, min(event_id) AS first_id FROM (SELECT user_id, event_id, CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id) AS BIGINT) AS seg FROM events) t GROUP BY user_id, seg")
+def stage_segments(spark, sf_dir):
+    seg = F.sum(F.when(F.col("event_type") == "purchase", 1).otherwise(0)).over(W.partitionBy("user_id").orderBy("event_id"))
+    return _read(spark, sf_dir, "events").withColumn("seg", seg).groupBy("user_id", "seg").agg(F.count("*").alias("n"), F.min("event_id").alias("first_id"))
+
+
+@query("SELECT event_type AS stage, count(*) AS n, count(*) FILTER (value < 5) AS failed, min(event_id) FILTER (value < 5) AS first_failure FROM events GROUP BY event_type")
+def stage_report(spark, sf_dir):
+    bad = F.col("value") < 5
+    return _read(spark, sf_dir, "events").groupBy(F.col("event_type").alias("stage")).agg(F.count("*").alias("n"), F.count_if(bad).alias("failed"), F.min(F.when(bad, F.col("event_id"))).alias("first_failure"))
+
+
+D_RW = "(SELECT l_orderkey, l_linenumber, ['v' || (l_suppkey % 5), 'v' || (l_partkey % 5)] AS reads, ['v' || (l_partkey % 4)] AS writes FROM lineitem)"
+
+
+@query(f"SELECT a.l_orderkey, a.l_linenumber, len(list_intersect(a.writes, b.reads)) > 0 AS raw, len(list_intersect(a.reads, b.writes)) > 0 AS war, len(list_intersect(a.writes, b.writes)) > 0 AS waw FROM {D_RW} a JOIN {D_RW} b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1")
+def hazard_pairs(spark, sf_dir):
+    v = lambda c, n: F.concat(F.lit("v"), F.col(c) % n)
+    t = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.array(v("l_suppkey", 5), v("l_partkey", 5)).alias("reads"), F.array(v("l_partkey", 4)).alias("writes"))
+    after = t.select("l_orderkey", (F.col("l_linenumber") - 1).alias("l_linenumber"), F.col("reads").alias("r2"), F.col("writes").alias("w2"))
+    n = t.join(after, ["l_orderkey", "l_linenumber"])
+    return n.select("l_orderkey", "l_linenumber", F.arrays_overlap("writes", "r2").alias("raw"), F.arrays_overlap("reads", "w2").alias("war"), F.arrays_overlap("writes", "w2").alias("waw"))
+
+
+@query(f"SELECT quality, kind, count(*) AS n FROM (SELECT quality, p_partkey % 3 AS kind FROM {D_STATUS} s) t GROUP BY CUBE (quality, kind)")
+def funnel_stats_cube(spark, sf_dir):
+    return with_status(_code(spark, sf_dir)).withColumn("kind", F.col("p_partkey") % 3).cube("quality", "kind").agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN 'x1' ELSE 'm_fb' END AS var, event_id % 4 = 3 AS is_fb FROM events")
+def normal_vars(spark, sf_dir):
+    name = F.expr("CASE event_id % 4 WHEN 0 THEN 'true' WHEN 1 THEN '-1.5e3' WHEN 2 THEN 'x1' ELSE 'm_fb' END")
+    return _read(spark, sf_dir, "events").select("event_id", C.normal_var(name).alias("var"), C.is_fb_type(name).alias("is_fb"))
+
