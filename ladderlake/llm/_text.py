@@ -103,7 +103,7 @@ def sequence_hashes(h: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def slices(column: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def slices(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a string column with about `most` bytes each; a longer text stands alone."""
     n = len(column)
     if not n:

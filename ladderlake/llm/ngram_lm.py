@@ -39,7 +39,7 @@ from .elias_fano import EliasFano, pack, unpack
 
 END = np.uint64(0x1D8AF066F6C2B5A7)
 DISCOUNT = 0.75
-SLICE = 6 << 20
+SLICE = 3 << 20
 BLOCKS = "bucket long, n long, keys binary, counts binary"
 U64 = np.uint64
 
@@ -116,7 +116,7 @@ def counted(docs: DataFrame, keys_of, bucket_of, least: int) -> DataFrame:
             for lo, hi in slices(batch.column(0), SLICE):
                 held.append(keys_of(batch.column(0)[lo:hi]))
                 size += len(held[-1][0])
-                if size > 6_000_000:
+                if size > 3_000_000:
                     yield out()
                     held, size = [], 0
         if size:

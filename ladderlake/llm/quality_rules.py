@@ -7,7 +7,7 @@ that no earlier start extends are maximal; the union of their spans gives the co
 repeat. A document is rejected when either passes its limit.
 
 Null and empty texts have no words and fail the base rule. Repeated rows are judged each by itself. An empty table gives an
-empty result; other columns are ignored. Texts are whole; memory follows the longest text or a slice of 4 MB.
+empty result; other columns are ignored. Texts are whole; memory follows the longest text or a slice of 1 MB.
 """
 
 from __future__ import annotations
