@@ -1,6 +1,6 @@
 """A corpus pipeline of the operators in ladderlake.llm: each stage works on what its predecessor wrote.
 
-1. language ID: documents without a language, or with a spread of languages none of which has 0.4 of the words, go.
+1. language ID: documents without a language, or with a spread of languages none of which has 0.35 of the words, go.
 2. n-gram Jaccard join: of each class of near copies, the document of smallest id stays.
 3. benchmark decontamination: documents that hold a copy of a test item, edited or not, go.
 4. mixing: documents are sampled to target weights of sources, languages and topics (0.9 of the tokens are expected to stay).

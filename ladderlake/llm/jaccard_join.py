@@ -190,7 +190,7 @@ def group_links(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[
 
 
 class Join:
-    def __init__(self, docs: DataFrame, k: int = 5, percent: int = 80, heavy: int = 200_000, cell: int = 1 << 15, block: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> None:
+    def __init__(self, docs: DataFrame, k: int = 5, percent: int = 80, heavy: int = 50_000, cell: int = 1 << 15, block: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> None:
         self.spark, self.k, self.percent, self.heavy, self.cell, self.block = docs.sparkSession, k, percent, heavy, cell, block
         self.docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
 
@@ -211,14 +211,14 @@ class Join:
                     h, c = np.unique(shingle_sets(*byte_view(batch.column(0)[lo:hi]), k)[1], return_counts=True)
                     held.append((h, c))
                     size += len(h)
-                    if size > 3_000_000:
+                    if size > 1_500_000:
                         yield out()
                         held, size = [], 0
             if held:
                 yield out()
 
-        rows = self.docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(self.heavy).collect()
-        return np.array([r["h"] for r in rows][::-1], np.int64).view(np.uint64)
+        rows = self.docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(self.heavy).toArrow()
+        return rows.column("h").to_numpy()[::-1].astype(np.int64).view(np.uint64)
 
     def nodes(self) -> DataFrame:
         """(id, n, s1, s2, prefix, bits) of every document; prefix: fingerprints as bytes."""

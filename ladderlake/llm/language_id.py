@@ -68,9 +68,9 @@ class Vocabulary:
         if len(lexicon):
             found = np.minimum(np.searchsorted(lexicon, h[own]), len(lexicon) - 1)
             hit = lexicon[found] == h[own]
-            ids.append(BUCKETS + found[hit])
+            ids.append((BUCKETS + found[hit]).astype(np.int32))
             owners.append(np.flatnonzero(hit))
-        self.feature, self.owner, self.size = np.concatenate(ids), own[np.concatenate(owners)], len(h)
+        self.feature, self.owner, self.size = np.concatenate(ids), own.astype(np.int32)[np.concatenate(owners)], len(h)
 
     def scores(self, weights: np.ndarray) -> np.ndarray:
         return np.column_stack([np.bincount(self.owner, weights=weights[self.feature, k], minlength=self.size) for k in range(weights.shape[1])]) if self.size else np.zeros((0, weights.shape[1]))
@@ -78,7 +78,7 @@ class Vocabulary:
 
 def _bucket(code: np.ndarray, kind: int) -> np.ndarray:
     x = (code + np.uint64(kind << 40)) * np.uint64(0x9E3779B97F4A7C15)
-    return (x >> np.uint64(48)).astype(np.int64)
+    return (x >> np.uint64(48)).astype(np.int32)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -140,7 +140,8 @@ def fit(texts: list[str], langs: list[str], steps: int = 220, batch: int = 96, s
     lexicon = np.sort(np.intersect1d(common, h[count >= lexicon_count]))
     v = Vocabulary(w, lexicon)
     order = np.argsort(v.owner, kind="stable")
-    features, bounds = v.feature[order], np.searchsorted(v.owner[order], np.arange(v.size + 1))
+    features, bounds = v.feature[order], np.concatenate([[0], np.cumsum(np.bincount(v.owner, minlength=v.size))])
+    v.feature = v.owner = order = None
     weights, moved = np.zeros((BUCKETS + len(lexicon), k)), np.full((BUCKETS + len(lexicon), k), 1e-3)
     transitions, moved_t = np.zeros((k, k)), np.full((k, k), 1e-3)
     rng = np.random.default_rng(seed)
@@ -189,7 +190,7 @@ def fit(texts: list[str], langs: list[str], steps: int = 220, batch: int = 96, s
     return {"names": names, "lexicon": lexicon, "weights": weights.astype(np.float32), "transitions": transitions}
 
 
-def train(docs: DataFrame, most_docs: int = 1500) -> dict | None:
+def train(docs: DataFrame, most_docs: int = 400) -> dict | None:
     """fit() on a bounded sample of the rows that may be learned from; None without any."""
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), "lang").filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     share = min(1.0, most_docs / max(1, rows.count()))
@@ -230,7 +231,7 @@ def predict(docs: DataFrame, model: dict | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in slices(batch.column(2), 2 << 20):
+            for lo, hi in slices(batch.column(2)):
                 lang, score = verdicts(batch.column(2)[lo:hi], shared.value)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], batch.column(1)[lo:hi], pa.array(lang, pa.string()), pa.array(score)], ["doc_id", "held_out", "lang_pred", "score"])
 
@@ -238,14 +239,14 @@ def predict(docs: DataFrame, model: dict | None) -> DataFrame:
     return slim.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, model: dict | None, least_score: float = 0.4) -> DataFrame:
+def accepted(docs: DataFrame, model: dict | None, least_score: float = 0.35) -> DataFrame:
     """The rows of docs, with all their columns, that have a language with at least this score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in slices(batch.column(at), 2 << 20):
+            for lo, hi in slices(batch.column(at)):
                 lang, score = verdicts(batch.column(at)[lo:hi], shared.value)
                 yield batch.slice(lo, hi - lo).filter(pa.array([x != "und" and s >= least_score for x, s in zip(lang, score)], pa.bool_()))
 
