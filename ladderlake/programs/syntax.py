@@ -21,7 +21,7 @@ ASSIGN = {":=", "?=", "+=", "-=", "REF="}
 _TOKEN = re.compile(
     r"""(?P<skip>[\s﻿]+|//[^\n]*|\(\*.*?\*\)|/\*.*?\*/|\{[^}\n]*\})
     |(?P<text>'(?:\$.|[^'$])*'|"(?:\$.|[^"$])*")
-    |(?P<number>(?:L?DT|DATE_AND_TIME|L?TOD|TIME_OF_DAY|L?D|L?DATE)\#[\d:.\-]+|[A-Za-z_]\w*\#(?:\d+\#)?[+-]?\w+(?:\.\d\w*)?|\d+\#\w+|\d[\d_]*\.\d[\d_]*(?:[eE][+-]?\d+)?|\d[\d_]*(?:[eE][+-]?\d+)?)
+    |(?P<number>(?:L?DT|DATE_AND_TIME|L?TOD|TIME_OF_DAY|L?D|L?DATE)\#[\d:.\-]+|W?STRING\#(?:'(?:\$.|[^'$])*'|"(?:\$.|[^"$])*")|[A-Za-z_]\w*\#(?:\d+\#)?[+-]?\w+(?:\.\d\w*)?|\d+\#\w+|\d[\d_]*\.\d[\d_]*(?:[eE][+-]?\d+)?|\d[\d_]*(?:[eE][+-]?\d+)?)
     |(?P<word>[^\W\d]\w*|%[IQM][XBWDL*]?[\d.]*)
     |(?P<sign>:=|=>|<>|<=|>=|\*\*|\?=|\+=|-=|\.\.|[-+*/=<>&^:;,.()\[\]\#|])""",
     re.S | re.X | re.I,
@@ -136,7 +136,7 @@ class _Parser:
                 raise self.fault("END_TYPE")
             if fresh and self.at(":") and t.type == "word":
                 names.append(t.text)
-            fresh = t.key in (";", "END_STRUCT") or (not words and False)
+            fresh = t.key in (";", "END_STRUCT")
             words.append(t.text)
             if t.key == "STRUCT":
                 while not self.at("END_STRUCT") and self.now.type != "end":
