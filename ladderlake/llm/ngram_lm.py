@@ -1,7 +1,7 @@
 """An n-gram language model in an Elias-Fano trie, built from a corpus and read by all tasks from mapped files.
 
 Tokens are lower-cased words and one end for each text; the end before a text is the context of its first word. Unigrams are
-kept whole (exact counts); bigrams and trigrams that occur at least `min_count` times. Their absolutely discounted, interpolated
+kept whole (exact counts), and so are bigrams and trigrams, unless `min_count` above 1 prunes those seen less often. Their absolutely discounted, interpolated
 probabilities are quantised to 256 levels a level of the trie:
 
     p(w | v)    = (c(vw) - D) / c(v) + b(v) p(w)             b(v), b(uv): what discounts and pruned n-grams leave
@@ -12,7 +12,7 @@ context as context * V + word, with monotone pointers to where each context's ch
 A query takes the pointers of its context and seeks the successor of its word, relative to the context, between them.
 
 The trie is cut into shards by the fingerprint of its first word; each is built by a task of its own and is a file in the
-shared folder. Workers copy files to local disk, map and unlink them. Counts are pre-aggregated by tasks, moved as blocks of
+shared folder. Workers map the files, or an unlinked local copy where the folder is remote. Counts are pre-aggregated by tasks, moved as blocks of
 sorted keys and merged by bucket. An n-gram can reach min_count only if its parts do, so counting skips the others: nothing
 that the model keeps is lost.
 
@@ -164,7 +164,10 @@ class Trie:
 
     @staticmethod
     def _map(fs, path: str) -> dict[str, np.ndarray]:
-        """A file's arrays; the local copy has no name once it is mapped."""
+        """A file's arrays. A file in reach is mapped in place; the local copy of another has no name once it is mapped."""
+        if fs.type_name == "local":
+            with open(path, "rb") as f:
+                return unpack(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
         handle, name = tempfile.mkstemp()
         try:
             with os.fdopen(handle, "wb") as out, fs.open_input_stream(path, compression=None) as source:
@@ -277,8 +280,8 @@ def _save(folder: str, name: str, arrays: dict[str, np.ndarray]) -> str:
     return path
 
 
-def build(docs: DataFrame, min_count: int = 4, shard_words: int = 1_000_000) -> dict:
-    """The model of a table of texts (column text): its files are in the shared folder; what is returned has a line for each shard."""
+def build(docs: DataFrame, min_count: int = 1, shard_words: int = 1_000_000, shard_mb: int = 16) -> dict:
+    """The model of a table of texts (column text): its files are in the shared folder; what is returned has a line for each shard. There are as many shards as the words and the texts' size ask for."""
     spark = docs.sparkSession
     folder = f"{shared_dir(spark)}/lm-{uuid.uuid4().hex}"
     size, rows = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
@@ -291,7 +294,7 @@ def build(docs: DataFrame, min_count: int = 4, shard_words: int = 1_000_000) ->
 
     ones = counted(docs, words, lambda h: (h >> U64(64 - power)).astype(np.int64), 1)
     found = ones.agg(F.sum("n")).first()[0] or 0
-    shards = 1 << min(power, max(3, int(np.ceil(np.log2(max(1, found / shard_words))))))
+    shards = 1 << min(power, max(3, int(np.ceil(np.log2(max(1, found / shard_words, (size or 0) / (shard_mb << 20)))))))
     info = {"folder": folder, "files": {}, "words": [0] * shards, "total": 0, "min_count": min_count}
     shape = "shard long, words long, total long, path string"
     shard_of = F.shiftright("bucket", power - (shards.bit_length() - 1))
@@ -321,8 +324,8 @@ def build(docs: DataFrame, min_count: int = 4, shard_words: int = 1_000_000) ->
     word0 = np.concatenate([[0], np.cumsum(info["words"])]).astype(np.int64)
     sub = max(1, buckets // shards)
 
-    def bucket_of(begin: np.ndarray):
-        return lambda key: (np.searchsorted(begin, (key >> U64(32)).astype(np.int64), "right") - 1) * sub + (mix(key) % U64(sub)).astype(np.int64)
+    def bucket_of(begin: np.ndarray, bits: int):
+        return lambda key: (np.searchsorted(begin, (key >> U64(bits)).astype(np.int64), "right") - 1) * sub + (mix(key) % U64(sub)).astype(np.int64)
 
     one = dict(info)
 
@@ -331,7 +334,7 @@ def build(docs: DataFrame, min_count: int = 4, shard_words: int = 1_000_000) ->
         _, _, v, w, both = _pairs(model, t, min_count)
         return np.unique((v[both].astype(U64) << U64(32)) | w[both].astype(U64), return_counts=True)
 
-    twos = counted(docs, pairs, bucket_of(word0), min_count).withColumn("shard", F.floor(F.col("bucket") / sub).cast("long"))
+    twos = counted(docs, pairs, bucket_of(word0, 32), min_count).withColumn("shard", F.floor(F.col("bucket") / sub).cast("long"))
 
     def level2(shard: int, key: np.ndarray, counts: np.ndarray) -> dict:
         model = trie(one)
@@ -357,6 +360,9 @@ def build(docs: DataFrame, min_count: int = 4, shard_words: int = 1_000_000) ->
     info["files"] = info["files"] | {2: [made[s]["path"] if s in made else bare(2, s, info["words"][s]) for s in range(shards)]}
     node0 = np.concatenate([[0], np.cumsum(info["nodes"])]).astype(np.int64)
     two = dict(info)
+    bits = max(1, int(word0[-1]).bit_length())  # a trigram's key: the bigram's number, then this many bits of its last word
+    if int(node0[-1]).bit_length() + bits > 64:
+        raise ValueError(f"{node0[-1]} bigrams of {word0[-1]} words don't fit the 64-bit keys of trigrams")
 
     def triples(column: pa.Array):
         model, t = trie(two), Tokens(column)
@@ -367,14 +373,14 @@ def build(docs: DataFrame, min_count: int = 4, shard_words: int = 1_000_000) ->
         node[at] = model.find(2, (key >> U64(32)).astype(np.int64), (key & U64(0xFFFFFFFF)).astype(np.int64))[back]
         before = t.before(node, -1)
         ok = (before >= 0) & (node >= 0)
-        return np.unique((before[ok].astype(U64) << U64(32)) | w[ok].astype(U64), return_counts=True)
+        return np.unique((before[ok].astype(U64) << U64(bits)) | w[ok].astype(U64), return_counts=True)
 
-    threes = counted(docs, triples, bucket_of(node0), min_count).withColumn("shard", F.floor(F.col("bucket") / sub).cast("long"))
+    threes = counted(docs, triples, bucket_of(node0, bits), min_count).withColumn("shard", F.floor(F.col("bucket") / sub).cast("long"))
 
     def level3(shard: int, key: np.ndarray, counts: np.ndarray) -> dict:
         model = trie(two)
         n = model.children[2][shard].n
-        node, w = (key >> U64(32)).astype(np.int64) - node0[shard], (key & U64(0xFFFFFFFF)).astype(np.int64)
+        node, w = (key >> U64(bits)).astype(np.int64) - node0[shard], (key & U64((1 << bits) - 1)).astype(np.int64)
         cn = model.node_counts(node0[shard] + np.arange(n))
         spent = np.bincount(node, weights=counts - DISCOUNT, minlength=n)
         left = np.clip(1 - spent / np.maximum(cn, 1), 1e-6, 1)

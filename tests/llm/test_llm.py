@@ -293,6 +293,20 @@ def test_ngram_lm(spark, docs):
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 for r in none)
 
 
+def test_ngram_lm_keeps_what_was_seen_once(spark):
+    texts = ["one two three", "two three four", None, "five one two six"]
+    info = ngram_lm.build(spark.createDataFrame([(t,) for t in texts], "text string"))
+    two, three = set(), set()
+    for t in texts:
+        p = ["END", *words(t), "END"]
+        two.update(zip(p, p[1:]))
+        three.update(zip(p, p[1:], p[2:]))
+    assert info["ngrams"] == [7, len(two), len(three)]
+    held = spark.createDataFrame([(1, "five one two six"), (2, "six two one five")], "doc_id long, text string")
+    seen, unseen = (r["score"] for r in ngram_lm.score(held, info).orderBy("doc_id").collect())
+    assert seen > unseen + 1
+
+
 # 7
 @pytest.mark.parametrize("cell, block", [(1 << 15, 1024), (8, 5)])
 def test_jaccard_join(spark, cell, block):
