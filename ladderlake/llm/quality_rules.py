@@ -6,6 +6,10 @@ longest repeated substring that begins there (the deepest LCP interval that hold
 that no earlier start extends are maximal; the union of their spans gives the covered fraction, and their longest the longest
 repeat. A document is rejected when either passes its limit.
 
+Words in repeats of `min_repeat` words are in repeated windows of three, too, of which the base rule allows half of the words, so
+only a limit below 0.5 adds to it. 0.2 is chosen, not learned. Both places of a repeat are covered, so it also weighs the longest
+repeat against the text: two places apart may each take a tenth of the words; `most_longest` binds beyond 1,000 words.
+
 Null and empty texts have no words and fail the base rule. Repeated rows are judged each by itself. An empty table gives an
 empty result; other columns are ignored. Texts are whole; memory follows the longest text or a slice of 1 MB.
 """
@@ -107,7 +111,7 @@ def _dup_lines(raw: bytes) -> int:
     return n
 
 
-def judge(docs: DataFrame, min_repeat: int = 8, most_covered: float = 0.5, most_longest: int = 100, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def judge(docs: DataFrame, min_repeat: int = 8, most_covered: float = 0.2, most_longest: int = 100, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of figures and a verdict for each row of docs: rejected if repeats of at least min_repeat words cover more than most_covered of its words, or one is longer than most_longest words."""
     symbol = np.zeros(256, np.int64)
     symbol[list(SYMBOLS)] = 1

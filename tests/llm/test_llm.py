@@ -466,6 +466,22 @@ def test_quality_rules(spark, docs):
     assert quality_rules.judge(docs.limit(0)).count() == 0
 
 
+def test_covered_fraction_rejects_what_the_base_rule_lets_through(spark):
+    new = (f"w{i}" for i in range(100_000))
+    take = lambda n: [next(new) for _ in range(n)]
+    passage, line, short = take(90), take(12), take(6)
+    texts = {
+        1: sum((passage + take(110) for _ in range(5)), []),  # 45% in repeats
+        2: sum((line + take(28) for _ in range(10)), []),  # 30%
+        3: sum((line + take(88) for _ in range(10)), []),  # 12%
+        4: sum((short + take(14) for _ in range(20)), []),  # 30%, in repeats too short to count
+        5: passage + take(500) + passage,  # 26%, one repeat
+    }
+    rows = quality_rules.judge(spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")).collect()
+    assert not any(r["base_failed"] for r in rows) and max(r["longest_repeat"] for r in rows) <= 100
+    assert {r["doc_id"]: r["kept"] for r in rows} == {1: False, 2: False, 3: True, 4: True, 5: False}
+
+
 # 10
 def test_quality_classifier(spark, docs):
     rng = np.random.default_rng(0)
