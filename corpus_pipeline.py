@@ -3,7 +3,7 @@
 1. language ID: documents without a language, or with a spread of languages none of which has 0.35 of the words, go.
 2. n-gram Jaccard join: of each class of near copies, the document of smallest id stays.
 3. benchmark decontamination: documents that hold a copy of a test item, edited or not, go.
-4. mixing: documents are sampled to target weights of sources, languages and topics (0.9 of the tokens are expected to stay).
+4. mixing: documents are sampled to target weights of sources, languages and topics (0.9 of the tokens are expected to stay, or as many as the targets allow).
 5. sharding: every document left gets a shard and a place in it.
 """
 
@@ -30,7 +30,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs, mixing.TARGETS, keep_share=0.9).filter("kept").select(*docs.columns)
+    return mixing.mix(docs, mixing.TARGETS, keep_share=0.9, exact=True).filter("kept").select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Token counts of the cells (source, language, topic) are raked until their sums match the target share of every source,
-language and topic. A cell's weight is raked over original tokens; documents are then kept with probability
-min(1, scale * weight), the scale being calibrated so that the expected tokens are `keep_share` of all. Whether a document is
+language and topic. A cell's weight is raked over original tokens. Documents are kept with a probability that is raked again under
+the bound 1, so that the expected kept tokens meet the targets and are `keep_share` of all. A target that asks for more of a value
+than there is can't be met at that share: `exact` then lowers the share until all are met, otherwise they are missed. Whether a document is
 kept depends on a hash of its id only.
 
 Targets: a dictionary for each margin (value -> weight), or a power: target share = (token share) ** power, renormalised, which
@@ -97,21 +98,64 @@ def rake(cells: DataFrame, targets: dict, rounds: int = 50, tolerance: float = 1
     return cells.select(*DIMS, "tokens", "w")
 
 
-def calibrate(cells: DataFrame, keep_share: float) -> DataFrame:
-    """cells with p: min(1, scale * w / tokens), the scale such that sum(tokens * p) is keep_share of all tokens. Each step fixes cells that reach 1; there are few steps."""
-    cells = cells.withColumn("g", F.when(F.col("tokens") > 0, F.col("w") / F.col("tokens")).otherwise(0.0))
-    budget = keep_share * (cells.agg(F.sum("tokens")).first()[0] or 0)
-    scale = 0.0
-    for _ in range(100):
-        full, rest = cells.agg(F.sum(F.when(F.col("g") * scale >= 1, F.col("tokens")).otherwise(0)), F.sum(F.when(F.col("g") * scale >= 1, 0.0).otherwise(F.col("w")))).first()
-        if not rest or budget <= full:
+def bounded(tokens: np.ndarray, w: np.ndarray, margins: list[np.ndarray], share: float, rounds: int = 500) -> tuple[np.ndarray, float]:
+    """(kept tokens of each cell, none above its tokens; largest miss as a part of all tokens) when the margins of w are raked to `share` of them. margins: number of each cell's value, by dimension."""
+    total = max(tokens.sum(), 1)
+    goals = [np.bincount(m, weights=w) * share for m in margins]
+    x = np.minimum(w * share, tokens)
+    for _ in range(rounds):
+        for m, goal in zip(margins, goals):
+            own = np.bincount(m, weights=x)
+            x = np.minimum(x * np.divide(goal, own, out=np.ones(len(goal)), where=own > 0)[m], tokens)
+        miss = max(np.abs(np.bincount(m, weights=x) - goal).max(initial=0) for m, goal in zip(margins, goals)) / total
+        if miss < 1e-7:
             break
-        better = (budget - full) / rest
+    return x, miss
+
+
+def probabilities(tokens: np.ndarray, w: np.ndarray, margins: list[np.ndarray], keep_share: float, exact: bool) -> tuple[np.ndarray, float]:
+    """(probability of each cell, share that is kept): raked under the bound 1. Where the targets can't be met at keep_share, exact keeps the largest share (to 0.001) at which they are; otherwise the share is kept and the targets are met as far as they can be."""
+    some = tokens > 0
+    g = np.divide(w, tokens, out=np.zeros(len(w)), where=some)
+    if not g.any():
+        return np.zeros(len(w)), keep_share
+    x, miss = bounded(tokens, w, margins, keep_share)
+    if exact and miss > 1e-5:
+        low, high = min(keep_share, tokens.sum() / w.sum() / g.max()), keep_share
+        for m in margins:
+            own, goal = np.bincount(m, weights=tokens), np.bincount(m, weights=w)
+            high = min(high, (own[goal > 0] / goal[goal > 0]).min())
+        low = min(low, high)
+        while high - low > 1e-3:
+            middle = (low + high) / 2
+            low, high = (middle, high) if bounded(tokens, w, margins, middle)[1] <= 1e-5 else (low, middle)
+        keep_share, x = low, bounded(tokens, w, margins, low)[0]
+    budget, scale, p = keep_share * tokens.sum(), 1.0, np.divide(x, tokens, out=np.zeros(len(w)), where=some)
+    for _ in range(100):
+        full = p * scale >= 1
+        rest = x[~full].sum()
+        better = (budget - tokens[full].sum()) / rest if rest else scale
         if better <= scale * (1 + 1e-12):
             break
         scale = better
-    # Rounded, so that the order in which floating sums met can't show.
-    return cells.select(*DIMS, "tokens", F.round(F.col("g"), 9).alias("weight"), F.when(F.col("tokens") > 0, F.round(F.least(F.lit(1.0), F.col("g") * scale), 9)).otherwise(F.lit(keep_share)).alias("probability"))
+    return np.minimum(p * scale, 1), keep_share
+
+
+def calibrate(cells: DataFrame, keep_share: float, exact: bool = False) -> DataFrame:
+    """cells with weight and probability; see probabilities. One task reads all cells (numbers of 40 bytes each beside their values)."""
+    schema = T.StructType([*(cells.schema[d] for d in DIMS), T.StructField("tokens", T.LongType()), T.StructField("weight", T.DoubleType()), T.StructField("probability", T.DoubleType())])
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(d, "ascending") for d in DIMS])
+        tokens, w = (table.column(c).to_numpy().astype(float) for c in ("tokens", "w"))
+        w = np.where(tokens > 0, w, 0.0)
+        margins = [np.asarray(table.column(d).combine_chunks().dictionary_encode(null_encoding="encode").indices) for d in DIMS]
+        p, share = probabilities(tokens, w, margins, keep_share, exact)
+        # Rounded, so that the order in which floating sums met can't show.
+        weight = np.round(np.divide(w, tokens, out=np.zeros(len(w)), where=tokens > 0), 9)
+        return pa.table([*(table.column(d) for d in DIMS), table.column("tokens"), pa.array(weight), pa.array(np.round(np.where(tokens > 0, p, share), 9))], names=schema.names)
+
+    return cells.groupBy().applyInArrow(run, schema)
 
 
 def chance(id_col: str = "doc_id", seed: int = 5) -> Column:
@@ -119,11 +163,11 @@ def chance(id_col: str = "doc_id", seed: int = 5) -> Column:
     return F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(1 << 52)) / F.lit(float(1 << 52))
 
 
-def mix(docs: DataFrame, targets: dict, keep_share: float = 0.8, few_cells: int = 100_000, columns: list[str] | None = None) -> DataFrame:
-    """docs (or these columns of it) with topic, n_tokens, weight, probability, kept."""
+def mix(docs: DataFrame, targets: dict, keep_share: float = 0.8, few_cells: int = 100_000, columns: list[str] | None = None, exact: bool = False) -> DataFrame:
+    """docs (or these columns of it) with topic, n_tokens, weight, probability, kept. exact: the targets come before keep_share, which is lowered as far as they need."""
     own = measured(docs, columns or docs.columns)
     cells = measured(docs, ["source", "lang"]).groupBy(*DIMS).agg(F.sum("n_tokens").alias("tokens"))
-    rates = calibrate(written(rake(written(cells, "cells"), targets, few_cells=few_cells), "raked"), keep_share)
+    rates = calibrate(written(rake(written(cells, "cells"), targets, few_cells=few_cells), "raked"), keep_share, exact)
     keys = [F.col(d).alias(f"_{d}") for d in DIMS]
     rates = written(rates.select(*keys, "weight", "probability"), "rates")
     if rates.count() <= few_cells:
@@ -140,4 +184,4 @@ TARGETS = {"source": 0.7, "lang": {"en": 0.55, "de": 0.17, "fr": 0.16, "es": 0.1
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return mix(docs, TARGETS, columns=["doc_id", "source", "lang"]).select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "kept")
+    return mix(docs, TARGETS, columns=["doc_id", "source", "lang"], exact=True).select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "kept")

@@ -248,6 +248,25 @@ def test_mixing(spark, docs):
     assert sorted((str(r["doc_id"]), round(r["probability"], 6)) for r in spread) == sorted((str(r["doc_id"]), round(r["probability"], 6)) for r in got)
 
 
+def test_mixing_keeps_tokens_in_the_target_shares(spark):
+    rng = random.Random(11)
+    rows = [(i, "w " * rng.randrange(20, 60), "hot" if rng.random() < 0.33 else f"s{rng.randrange(6)}", rng.choices(["en", "de", "fr", "es"], [70, 10, 10, 10])[0]) for i in range(3000)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string"), mixing.TARGETS, keep_share=0.9, exact=True).collect()
+    stays = sum(r["n_tokens"] * r["probability"] for r in got)
+    assert all(0 <= r["probability"] <= 1 for r in got)
+    assert 0.5 * sum(r["n_tokens"] for r in got) < stays
+    for d in mixing.DIMS:
+        want, have, own = collections.Counter(), collections.Counter(), collections.Counter()
+        for r in got:
+            own[r[d]] += r["n_tokens"]
+            have[r[d]] += r["n_tokens"] * r["probability"] / stays
+        for k, n in own.items():
+            t = mixing.TARGETS[d]
+            want[k] = t[k] if isinstance(t, dict) else (n / sum(own.values())) ** t
+        for k in own:
+            assert have[k] == pytest.approx(want[k] / sum(want.values()), abs=1e-3)
+
+
 # 6
 def test_ngram_lm(spark, docs):
     from pyspark.sql import functions as F
