@@ -95,7 +95,7 @@ def first_pairs(token: np.ndarray, ids: np.ndarray, n: np.ndarray, p: np.ndarray
     size = np.diff(np.append(start, len(token)))
     of = np.repeat(size, size)
     left, right = [], []
-    for k in range(1, SHORT):
+    for k in range(1, min(SHORT, max(2, len(token) + 1))):
         i = np.flatnonzero((of[: len(of) - k] <= SHORT) & (token[k:] == token[: len(token) - k]))
         left.append(i)
         right.append(i + k)
@@ -404,13 +404,15 @@ def jaccard_join(docs: DataFrame, **options) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs with the smallest doc_id of their class; of rows that share it, one."""
-    from pyspark.sql import Window as W
-
-    out = Join(docs, **options).run()
-    keep = out.filter("id = component_id").select("id").distinct()
-    own = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).join(keep.withColumnRenamed("id", "_id"), "_id", "left_semi")
-    return own.withColumn("_row", F.row_number().over(W.partitionBy("_id").orderBy("_id"))).filter("_row = 1").select(*docs.columns)
+    """One row of docs for each class of texts: that of the smallest doc_id (null is the smallest), of the least hash of id and text among those, of the least other columns among equal ones. Rows that share an id or have none are joined by their texts only."""
+    rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    keyed = docs.withColumn("_key", F.xxhash64(rank, F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    out = Join(keyed.select(F.col("_key").alias("doc_id"), "text"), **options).run().select(F.col("id").alias("_key"), "component_id").distinct()
+    ids = keyed.select("_key", rank.alias("_rank")).distinct()
+    keep = ids.join(out, "_key").groupBy("component_id").agg(F.min(F.struct("_rank", "_key"))["_key"].alias("_key")).select("_key")
+    others = [c for c, t in docs.dtypes if c not in ("doc_id", "text") and "map<" not in t and t != "variant"]
+    least = keyed.join(keep, "_key", "left_semi").groupBy("_key").agg(F.min_by(F.struct(*docs.columns), F.struct(F.lit(0), *others)).alias("_row"))
+    return least.select("_row.*")
 
 
 def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:

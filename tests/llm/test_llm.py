@@ -368,6 +368,14 @@ def test_jaccard_join(spark, cell, block):
     assert jaccard_join.jaccard_join(df.limit(0)).count() == 0
 
 
+def test_one_of_each_drops_only_rows_whose_texts_link(spark):
+    text = lambda k: " ".join(f"t{k}w{i}" for i in range(20))
+    rows = [(None, text(0), 1), (None, text(1), 2), (None, text(1), 1), (7, text(2), 1), (7, text(3), 1), (8, text(3), 1), (9, text(4), 1), (None, text(4) + " more", 1)]
+    left = jaccard_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, part int")).collect()
+    want = [(None, text(0), 1), (None, text(1), 1), (7, text(2), 1), (7, text(3), 1), (None, text(4) + " more", 1)]
+    assert sorted(map(str, map(tuple, left))) == sorted(map(str, want))
+
+
 def test_list_pairs_skip_no_pair():
     rng = np.random.default_rng(6)
     n = np.sort(rng.integers(1, 300, 400))
