@@ -3,8 +3,8 @@
 Seeds are word n-grams of the test items that chance seldom makes: by the counts of their words over all documents, a text
 holds one at a given place with a probability of at most `most_chance`. (Counts of the n-grams themselves would call a seed
 common because an item leaked often.) Items with too few such seeds use their rarest. Each seed that a document shares with an
-item proposes a window of the document around the place where the item would lie; the window is aligned with the item by local
-alignment with gaps. A document is contaminated by an item whose alignment reaches `least_score` of a perfect copy's score, so
+item proposes a window of the document around the place where the item would lie, as wide to either side as the insertions that
+a passing score can afford; the window is aligned with the item by local alignment with gaps. A document is contaminated by an item whose alignment reaches `least_score` of a perfect copy's score, so
 edited, cut and paraphrased copies count, too.
 
 Items are taken in blocks of a bounded size against all documents; a block's seeds are sent to the executors. Documents are read
@@ -107,8 +107,9 @@ class Seeds:
         rough = np.unique(np.column_stack([windows[:, :2], (windows[:, 2] - first) // pad]), axis=0)  # one window for seeds that agree about the place
         rows, item = rough[:, 0], rough[:, 1]
         pad = self.length[item] // 3 + 3
-        begin = np.searchsorted(doc, rows) + rough[:, 2] * pad - pad
-        stop = np.minimum(begin + self.length[item] + 3 * pad, np.searchsorted(doc, rows, "right"))
+        reach = np.ceil(MATCH * self.length[item] * (1 - least_score) / -GAP).astype(np.int64)  # no passing score affords more inserted words
+        begin = np.searchsorted(doc, rows) + rough[:, 2] * pad - reach
+        stop = np.minimum(begin + self.length[item] + pad + 2 * reach, np.searchsorted(doc, rows, "right"))
         begin = np.maximum(begin, np.searchsorted(doc, rows))
         score, end = np.zeros(len(rows)), np.zeros(len(rows), np.int64)
         order = np.argsort(self.length[item], kind="stable")

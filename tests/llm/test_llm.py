@@ -167,6 +167,15 @@ def test_decontamination(spark, docs):
     assert decontamination.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_finds_a_stretched_copy_at_every_offset(spark):
+    item = [f"i{k}" for k in range(45)]
+    copy = [f"e{k}" if k in (4, 13, 31, 40) else w for k, w in enumerate(item)]
+    copy = copy[:22] + [f"n{k}" for k in range(30)] + copy[22:]
+    rows = [(i, " ".join([f"b{k}" for k in range(i)] + copy + [f"a{k}" for k in range(60)])) for i in range(40)] + [(99, " ".join(f"c{k}" for k in range(20_000)))]
+    got = decontamination.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()
+    assert {r["doc_id"] for r in got} == set(range(40)) and len({r["score"] for r in got}) == 1
+
+
 # 4
 @pytest.mark.parametrize("slack", [0.0, 0.1])
 def test_sharding(spark, docs, slack):
