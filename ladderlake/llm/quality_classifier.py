@@ -5,9 +5,10 @@ estimated from how the two groups' scores compare (the least ratio of their uppe
 minimises prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives)) with logistic loss, and its margin is turned
 into a probability by a one-dimensional logistic fit on the training rows whose label is known.
 
-Features are figures of form and repetition computed from each whole text in Arrow batches. Fitting takes a sample of at most
-`most_rows` training rows (chosen by a hash of the id) to the driver: most_rows * about 40 numbers. Scoring is one pass
-without a shuffle.
+Features are figures of form and repetition computed from each whole text in Arrow batches. Fitting takes three samples of about
+`most_rows` training rows at most (chosen by a hash of the id) to the driver: of all rows (the unlabelled), of those labelled 1 and
+of those labelled 0; so labels aren't thinned as the input grows. That is 3 * most_rows * about 40 numbers. The calibration weighs
+labelled rows by their samples' rates. Scoring is one pass without a shuffle.
 
 Null and empty texts get the features of an empty text and a score. Several labels of one document count as their mean; null
 labels as none. Repeated rows are scored each. Empty tables give an empty result. Other columns are ignored.
@@ -113,32 +114,39 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = N
 def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000, label: str = "quality") -> dict:
     """The model, from training rows (crc32(doc_id) mod 3 other than 1): centre and scale of the features, weights, and the calibration's two numbers."""
     train = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).filter(~held_out())
-    share = min(1.0, most_rows / max(1, train.count()))
-    sample = train.filter(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-    known = labels.groupBy(F.col("doc_id").alias("_id")).agg(F.avg(F.col(label)).alias("y"))
+    known = labels.groupBy(F.col("doc_id").alias("_id")).agg(F.avg(F.col(label)).alias("y")).filter("y is not null")
+    marked = train.select("doc_id").join(known, F.col("doc_id") == F.col("_id")).groupBy((F.col("y") >= 0.5).alias("good")).count()
+    n = {r["good"]: r["count"] for r in marked.collect()}
+    share = {k: min(1.0, most_rows / max(1, m)) for k, m in ((None, train.count()), (True, n.get(True, 0)), (False, n.get(False, 0)))}
+    drawn = {k: F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < int(s * 1_000_000) + 1 for k, s in share.items()}
+    chosen = known.select("_id", "y").filter(F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(1_000_000)) < F.when(F.col("y") >= 0.5, int(share[True] * 1_000_000) + 1).otherwise(int(share[False] * 1_000_000) + 1))
+    sample = train.join(chosen, F.col("doc_id") == F.col("_id"), "left").filter(drawn[None] | F.col("_id").isNotNull()).select("doc_id", "text", F.coalesce(drawn[None], F.lit(False)).alias("any"), "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in slices(batch.column(1)):
                 x = features(*byte_view(batch.column(1)[lo:hi]))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "x"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], batch.column(2)[lo:hi], batch.column(3)[lo:hi], pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "any", "y", "x"])
 
-    rows = sample.mapInArrow(run, "doc_id long, x array<double>").join(known, F.col("doc_id") == F.col("_id"), "left").orderBy("doc_id").select("x", "y").collect()
+    rows = sample.mapInArrow(run, "doc_id long, any boolean, y double, x array<double>").orderBy("doc_id").select("x", "y", "any").collect()
     if not rows:
         return {"centre": [], "scale": [], "w": [0.0], "a": 1.0, "b": 0.0, "prior": 0.5}
     x = np.array([r["x"] for r in rows])
     y = np.array([np.nan if r["y"] is None else r["y"] for r in rows])
-    centre, scale = x.mean(0), x.std(0) + 1e-9
+    drawn_of_all = np.array([r["any"] for r in rows])
+    if not drawn_of_all.any():
+        drawn_of_all[:] = True
+    centre, scale = x[drawn_of_all].mean(0), x[drawn_of_all].std(0) + 1e-9
     z = np.column_stack([np.clip((x - centre) / scale, -8, 8), np.ones(len(x))])
     positive = y >= 0.5
     if not positive.any():
         return {"centre": centre, "scale": scale, "w": np.zeros(z.shape[1]), "a": 1.0, "b": 0.0, "prior": 0.5}
-    w, prior = fit_pu(z[positive], z)
+    w, prior = fit_pu(z[positive], z[drawn_of_all])
     s = z @ w
     seen = ~np.isnan(y)
     a, b = 1.0, 0.0
     if (y[seen] < 0.5).any():
-        fit2 = logistic(np.column_stack([s[seen], np.ones(seen.sum())]), (y[seen] >= 0.5).astype(float), np.ones(seen.sum()), decay=0, steps=1500)
+        fit2 = logistic(np.column_stack([s[seen], np.ones(seen.sum())]), (y[seen] >= 0.5).astype(float), np.where(y[seen] >= 0.5, 1 / share[True], 1 / share[False]), decay=0, steps=1500)
         a, b = float(fit2[0]), float(fit2[1])
     return {"centre": centre, "scale": scale, "w": w, "a": max(a, 1e-3), "b": b, "prior": prior}
 

@@ -540,6 +540,18 @@ def test_quality_classifier(spark, docs):
     assert quality_classifier.score(docs, quality_classifier.fit(docs.limit(0), odd)).count() == docs.count()
 
 
+def test_quality_classifier_keeps_the_labels_beside_many_unlabelled(spark, monkeypatch):
+    bad, good = "$$ ## BUY || NOW !! " * 12, "A calm sentence follows another one, and nothing in it is odd. "
+    rows = [(i, f"{good * (1 + i % 3)}{i}" if i % 2 else f"{bad}{i}") for i in range(6000)]
+    labels = [(i, i % 2) for i in range(40)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    sizes, plain = [], quality_classifier.fit_pu
+    monkeypatch.setattr(quality_classifier, "fit_pu", lambda p, u: (sizes.append((len(p), len(u))), plain(p, u))[1])
+    model = quality_classifier.fit(docs, labels, most_rows=60)
+    assert np.any(model["w"])
+    assert sizes[0][0] == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(1, 40, 2)) and 20 < sizes[0][1] < 120
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
