@@ -3,16 +3,21 @@
 Token counts of the cells (source, language, topic) are raked until their sums match the target share of every source,
 language and topic. A cell's weight is raked over original tokens. Documents are kept with a probability that is raked again under
 the bound 1, so that the expected kept tokens meet the targets and are `keep_share` of all. A target that asks for more of a value
-than there is can't be met at that share: `exact` then lowers the share until all are met, otherwise they are missed. Whether a document is
-kept depends on a hash of its id only.
+than there is can't be met at that share: `exact` then lowers the share until all are met, otherwise they are missed. Whether a
+document is kept depends on a hash of its id and text only.
 
-Targets: a dictionary for each margin (value -> weight), or a power: target share = (token share) ** power, renormalised, which
-1 leaves as it is and 0 makes equal. Values that no target names keep their token share. The cells (one row a combination) stay
-a table; only sums for the stopping rule reach the driver. When the cells are few (`few_cells`), they are kept in one
-partition, so that rounds need no shuffle; with more, the same steps run distributed.
+Targets: a dictionary for each margin (value -> weight; None is the null value), or a power: target share = (token share) ** power,
+renormalised, which 1 leaves as it is and 0 makes equal. Values that no target names keep their token share.
+
+Documents are read twice: for the cells, and to be weighed. Nothing but cells is shuffled. The cells (one row for each combination
+that occurs) meet in one task, which runs all rounds on arrays; rates go back by a join, broadcast up to `few_cells` of them.
+
+topic: a column that the caller names; without one, a class by form (table, marked, shouting, notice, prose), since the
+tables that this was made for have no topics.
 
 Null source, language or topic are a value of their own. A null or empty text has no tokens; it takes its cell's probability.
-Rows that share an id share their fate. Empty table: empty result. Columns of the same names as the added ones are replaced.
+Rows that share id and text share their fate. Empty table: empty result. mix() replaces columns of the same names as the added
+ones; sample() returns all columns as they came.
 """
 
 from __future__ import annotations
@@ -30,6 +35,7 @@ from ._scratch import written
 from ._text import SPACE, byte_view, slices
 
 DIMS = ("source", "lang", "topic")
+MOST_ROUNDS = 200_000
 ADDED = ("topic", "n_tokens", "weight", "probability", "kept")
 _FORM = np.zeros((3, 256), bool)
 for _k, _chars in enumerate([b"|", b"#*$%&<>{}=", b"!"]):
@@ -52,65 +58,65 @@ def measure(column: pa.Array) -> tuple[list[str], np.ndarray]:
     return topics, many(begins)
 
 
-def measured(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """Columns `keep` of docs with topic and n_tokens."""
-    keep = [c for c in keep if c not in ADDED]
-    slim = docs.select(F.col("text").cast("string").alias("_text"), *keep)
+def quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def measured(docs: DataFrame, keep: list[Column], topic: Column | None = None) -> DataFrame:
+    """Columns `keep` of docs as c0, c1, ..., so that no name of theirs can clash, with topic and n_tokens."""
+    own = [f"c{i}" for i in range(len(keep))]
+    slim = docs.select(F.col("text").cast("string").alias("text"), (F.lit(None) if topic is None else topic).cast("string").alias("topic"), *(c.alias(o) for c, o in zip(keep, own)))
+    by_form = topic is None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in slices(batch.column(0)):
                 topics, n = measure(batch.column(0)[lo:hi])
-                yield pa.RecordBatch.from_arrays([*(batch.column(i + 1)[lo:hi] for i in range(len(keep))), pa.array(topics, pa.string()), pa.array(n.astype(np.int64))], [*keep, "topic", "n_tokens"])
+                given = pa.array(topics, pa.string()) if by_form else batch.column(1)[lo:hi]
+                yield pa.RecordBatch.from_arrays([*(batch.column(i + 2)[lo:hi] for i in range(len(own))), given, pa.array(n.astype(np.int64))], [*own, "topic", "n_tokens"])
 
-    schema = T.StructType([*(slim.schema[c] for c in keep), T.StructField("topic", T.StringType()), T.StructField("n_tokens", T.LongType())])
+    schema = T.StructType([*(slim.schema[c] for c in own), T.StructField("topic", T.StringType()), T.StructField("n_tokens", T.LongType())])
     return slim.mapInArrow(run, schema)
 
 
-def rake(cells: DataFrame, targets: dict, rounds: int = 50, tolerance: float = 1e-6, few_cells: int = 100_000) -> DataFrame:
-    """cells (source, lang, topic, tokens) with w: raked tokens. Each round is cut from its lineage."""
-    share = {}
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    few = cells.count() <= few_cells
-    cells = cells.withColumn("w", F.col("tokens").cast("double"))
-    for d in DIMS:
-        sums = cells.groupBy(d).agg(F.sum("tokens").alias("t")).withColumn("own", F.col("t") / F.lit(float(max(total, 1))))
-        target = targets.get(d, 1.0)
-        if isinstance(target, dict):
-            goal = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in target.items() for x in (kv[0], float(kv[1]))]), F.coalesce(F.col(d), F.lit("\0"))), F.col("own")) if target else F.col("own")
-        else:
-            goal = F.pow("own", F.lit(float(target)))
-        share[d] = sums.filter("t > 0").withColumn("goal", goal).select(F.col(d).alias("_k"), "goal")
-        norm = share[d].agg(F.sum("goal")).first()[0] or 1.0
-        share[d] = written((share[d].coalesce(1) if few else share[d]).withColumn("goal", F.col("goal") / norm * total), "margin")
-    one = lambda df: df.coalesce(1) if few else df
-    cells = written(one(cells), "cells")
-    for _ in range(rounds):
-        step = one(cells)
-        for i, d in enumerate(DIMS):
-            sums = step.groupBy(d).agg(F.sum("w").alias("_s"))
-            factor = one(sums).join(one(share[d]), F.col(d).eqNullSafe(F.col("_k"))).select(F.col(d).alias("_k"), F.when(F.col("_s") > 0, F.col("goal") / F.col("_s")).otherwise(0.0).alias("_f"))
-            step = step.join(factor, F.col(d).eqNullSafe(F.col("_k")), "left").withColumn("w", F.col("w") * F.coalesce("_f", F.lit(0.0))).withColumn("_first", F.abs(F.coalesce("_f", F.lit(1.0)) - 1) if i == 0 else F.greatest("_first", F.abs(F.coalesce("_f", F.lit(1.0)) - 1))).drop("_k", "_f")
-        cells = written(one(step), "cells")
-        if (cells.filter("tokens > 0").agg(F.max("_first")).first()[0] or 0.0) < tolerance:
-            break
-        cells = cells.drop("_first")
-    return cells.select(*DIMS, "tokens", "w")
-
-
-def bounded(tokens: np.ndarray, w: np.ndarray, margins: list[np.ndarray], share: float, rounds: int = 500) -> tuple[np.ndarray, float]:
-    """(kept tokens of each cell, none above its tokens; largest miss as a part of all tokens) when the margins of w are raked to `share` of them. margins: number of each cell's value, by dimension."""
+def goals(values: list, own: np.ndarray, target: dict | float) -> np.ndarray:
+    """Target share of each value, from its own share; a value without tokens has none."""
+    if isinstance(target, dict):
+        goal = np.array([float(target.get(v, s)) for v, s in zip(values, own)])
+    else:
+        goal = own ** float(target)
+    goal = np.where(own > 0, goal, 0.0)
+    return goal / (goal.sum() or 1.0)
+
+
+def rake(tokens: np.ndarray, margins: list[np.ndarray], goal: list[np.ndarray], tolerance: float = 1e-9) -> np.ndarray:
+    """Tokens of each cell, scaled margin by margin until a whole round moves no more than `tolerance` of all tokens. margins: number of each cell's value, by dimension; goal: target share of each value. Targets that contradict each other settle, too: on what fits the last margin."""
+    total = max(tokens.sum(), 1.0)
+    w = tokens.astype(float)
+    for _ in range(MOST_ROUNDS):
+        before = w
+        for m, g in zip(margins, goal):
+            own = np.bincount(m, weights=w, minlength=len(g))
+            w = w * np.divide(g * total, own, out=np.zeros(len(g)), where=own > 0)[m]
+        if np.abs(w - before).sum() <= tolerance * total:
+            return w
+    raise ArithmeticError(f"raking did not settle in {MOST_ROUNDS} rounds")
+
+
+def bounded(tokens: np.ndarray, w: np.ndarray, margins: list[np.ndarray], share: float, tolerance: float = 1e-8) -> tuple[np.ndarray, float]:
+    """(kept tokens of each cell, none above its tokens; largest miss as a part of all tokens) when the margins of w are raked to `share` of them, until they are met or a round moves no more."""
     total = max(tokens.sum(), 1)
-    goals = [np.bincount(m, weights=w) * share for m in margins]
+    goal = [np.bincount(m, weights=w) * share for m in margins]
     x = np.minimum(w * share, tokens)
-    for _ in range(rounds):
-        for m, goal in zip(margins, goals):
+    for _ in range(MOST_ROUNDS):
+        before = x
+        for m, g in zip(margins, goal):
             own = np.bincount(m, weights=x)
-            x = np.minimum(x * np.divide(goal, own, out=np.ones(len(goal)), where=own > 0)[m], tokens)
-        miss = max(np.abs(np.bincount(m, weights=x) - goal).max(initial=0) for m, goal in zip(margins, goals)) / total
-        if miss < 1e-7:
-            break
-    return x, miss
+            x = np.minimum(x * np.divide(g, own, out=np.ones(len(g)), where=own > 0)[m], tokens)
+        miss = max(np.abs(np.bincount(m, weights=x) - g).max(initial=0) for m, g in zip(margins, goal)) / total
+        if miss < 1e-7 or np.abs(x - before).sum() <= tolerance * total:
+            return x, miss
+    raise ArithmeticError(f"raking under the bound did not settle in {MOST_ROUNDS} rounds")
 
 
 def probabilities(tokens: np.ndarray, w: np.ndarray, margins: list[np.ndarray], keep_share: float, exact: bool) -> tuple[np.ndarray, float]:
@@ -131,51 +137,64 @@ def probabilities(tokens: np.ndarray, w: np.ndarray, margins: list[np.ndarray],
             low, high = (middle, high) if bounded(tokens, w, margins, middle)[1] <= 1e-5 else (low, middle)
         keep_share, x = low, bounded(tokens, w, margins, low)[0]
     budget, scale, p = keep_share * tokens.sum(), 1.0, np.divide(x, tokens, out=np.zeros(len(w)), where=some)
-    for _ in range(100):
+    while True:  # each step fills a cell or ends
         full = p * scale >= 1
         rest = x[~full].sum()
         better = (budget - tokens[full].sum()) / rest if rest else scale
         if better <= scale * (1 + 1e-12):
-            break
+            return np.minimum(p * scale, 1), keep_share
         scale = better
-    return np.minimum(p * scale, 1), keep_share
 
 
-def calibrate(cells: DataFrame, keep_share: float, exact: bool = False) -> DataFrame:
-    """cells with weight and probability; see probabilities. One task reads all cells (numbers of 40 bytes each beside their values)."""
+def rates(cells: DataFrame, targets: dict, keep_share: float, exact: bool = False) -> DataFrame:
+    """cells (source, lang, topic, tokens) with weight (raked tokens over tokens) and probability. One task takes all cells: about 150 bytes for each combination of source, language and topic that occurs, whatever the number of documents."""
     schema = T.StructType([*(cells.schema[d] for d in DIMS), T.StructField("tokens", T.LongType()), T.StructField("weight", T.DoubleType()), T.StructField("probability", T.DoubleType())])
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([(d, "ascending") for d in DIMS])
-        tokens, w = (table.column(c).to_numpy().astype(float) for c in ("tokens", "w"))
-        w = np.where(tokens > 0, w, 0.0)
-        margins = [np.asarray(table.column(d).combine_chunks().dictionary_encode(null_encoding="encode").indices) for d in DIMS]
+        table = table.sort_by([(d, "ascending") for d in DIMS])  # one order of sums, whoever counted the cells
+        tokens = table.column("tokens").to_numpy().astype(float)
+        coded = [table.column(d).combine_chunks().dictionary_encode(null_encoding="encode") for d in DIMS]
+        margins = [np.asarray(c.indices) for c in coded]
+        goal = []
+        for d, c, m in zip(DIMS, coded, margins):
+            own = np.bincount(m, weights=tokens, minlength=len(c.dictionary)) / max(tokens.sum(), 1)
+            goal.append(goals(c.dictionary.to_pylist(), own, targets.get(d, 1.0)))
+        w = rake(tokens, margins, goal)
         p, share = probabilities(tokens, w, margins, keep_share, exact)
-        # Rounded, so that the order in which floating sums met can't show.
         weight = np.round(np.divide(w, tokens, out=np.zeros(len(w)), where=tokens > 0), 9)
         return pa.table([*(table.column(d) for d in DIMS), table.column("tokens"), pa.array(weight), pa.array(np.round(np.where(tokens > 0, p, share), 9))], names=schema.names)
 
     return cells.groupBy().applyInArrow(run, schema)
 
 
-def chance(id_col: str = "doc_id", seed: int = 5) -> Column:
-    """A number in [0, 1) from a hash of the id."""
-    return F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(1 << 52)) / F.lit(float(1 << 52))
+def chance(seed: int = 5) -> Column:
+    """A number in [0, 1) from a hash of the id and the text."""
+    return F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(1 << 52)) / F.lit(float(1 << 52))
 
 
-def mix(docs: DataFrame, targets: dict, keep_share: float = 0.8, few_cells: int = 100_000, columns: list[str] | None = None, exact: bool = False) -> DataFrame:
+def _drawn(docs: DataFrame, targets: dict, keep_share: float, exact: bool, columns: list[str], topic_col: str | None, few_cells: int) -> DataFrame:
+    """columns as c0, c1, ... with topic, n_tokens, weight, probability, kept."""
+    topic = quoted(topic_col) if topic_col else None
+    place = [F.col(d).cast("string") for d in DIMS[:2]]
+    cells = measured(docs, place, topic).groupBy(F.col("c0").alias("source"), F.col("c1").alias("lang"), "topic").agg(F.sum("n_tokens").alias("tokens"))
+    rate = written(rates(written(cells, "cells"), targets, keep_share, exact).select(*(F.col(d).alias(f"of_{d}") for d in DIMS), "weight", "probability"), "rates")
+    if rate.count() <= few_cells:  # about 50 bytes a row
+        rate = F.broadcast(rate)
+    n = len(columns)
+    own = measured(docs, [*map(quoted, columns), *place, chance()], topic)
+    meet = F.col(f"c{n}").eqNullSafe(F.col("of_source")) & F.col(f"c{n + 1}").eqNullSafe(F.col("of_lang")) & F.col("topic").eqNullSafe(F.col("of_topic"))
+    return own.join(rate, meet, "left").withColumn("kept", F.col(f"c{n + 2}") < F.col("probability"))
+
+
+def mix(docs: DataFrame, targets: dict, keep_share: float = 0.8, columns: list[str] | None = None, exact: bool = False, topic_col: str | None = None, few_cells: int = 100_000) -> DataFrame:
     """docs (or these columns of it) with topic, n_tokens, weight, probability, kept. exact: the targets come before keep_share, which is lowered as far as they need."""
-    own = measured(docs, columns or docs.columns)
-    cells = measured(docs, ["source", "lang"]).groupBy(*DIMS).agg(F.sum("n_tokens").alias("tokens"))
-    rates = calibrate(written(rake(written(cells, "cells"), targets, few_cells=few_cells), "raked"), keep_share, exact)
-    keys = [F.col(d).alias(f"_{d}") for d in DIMS]
-    rates = written(rates.select(*keys, "weight", "probability"), "rates")
-    if rates.count() <= few_cells:
-        rates = F.broadcast(rates)
-    meet = F.lit(True)
-    for d in DIMS:
-        meet = meet & F.col(d).eqNullSafe(F.col(f"_{d}"))
-    return own.join(rates, meet, "left").drop(*[f"_{d}" for d in DIMS]).withColumn("kept", chance() < F.col("probability"))
+    own = [c for c in (columns or docs.columns) if c not in ADDED]
+    return _drawn(docs, targets, keep_share, exact, own, topic_col, few_cells).select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(own)), *ADDED)
+
+
+def sample(docs: DataFrame, targets: dict, keep_share: float = 0.8, exact: bool = False, topic_col: str | None = None, few_cells: int = 100_000) -> DataFrame:
+    """The rows of docs that are kept, with their own columns as they are, whatever their names."""
+    return _drawn(docs, targets, keep_share, exact, docs.columns, topic_col, few_cells).filter("kept").select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
 
 
 #: Targets of the query and the pipeline: sources evened out, languages by weight, topics with less form than prose.
