@@ -5,12 +5,15 @@ hash. A shard takes at most its bound; what overflows continues clockwise to the
 bounds are floor and ceil of rows / shards, so counts are at most one apart; with slack e a shard may hold up to
 ceil((1 + e) * rows / shards) and fewer rows leave their arc's own shard, so fewer move when a shard is added.
 
-Only counts for each arc (shards * vnodes of them, whatever the input) meet on the driver. Each row is then placed by its
-rank in its arc: ranks come from counts of cells (arc, part of the arc, salt), so that no task holds more than a cell; rows
-with equal keys, a third of the table even, spread over the salts. Documents never move: one shuffle of ids and sizes.
+Ids, sizes and hashes are written to the shared folder once. Only counts for each arc (shards * vnodes of them, whatever the
+input) meet on the driver. Each row is then placed by its rank in its arc, where rows with equal keys stand side by side, so a
+bound parts at most one group of them. Ranks come from counts of cells (arc, part of the arc), so no task ranks a whole
+arc. A key with more than a thousandth of the rows (there are at most a thousand of these) has cells of its own, by salts of id and place of reading. Documents
+don't move unless `carry` asks for their columns: one shuffle of ids and sizes.
 
 Nulls: a null text has 0 bytes and the hash of a null; a null doc_id sorts first. Repeated rows each get a place of their own.
-Empty table: empty result. Other columns are ignored, whatever their names.
+Empty table: empty result. Other columns are ignored, whatever their names; carried ones that are named like a result are left out.
+Rings of more than 65,536 points raise an error: take fewer vnodes.
 """
 
 from __future__ import annotations
@@ -20,10 +23,16 @@ import json
 from bisect import bisect_left
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-PARTS, SALTS = 4, 16
+from ._scratch import written
+
+PARTS, SALTS = 4, 64
 SPAN = 1 << 31
+RESULTS = ("size", "text_crc32", "law", "shard", "slot", "home_shard")
+#: Rows of about 40 bytes up to which a table of cells is broadcast.
+FEW = 1_000_000
 
 
 def ring(shards: int, vnodes: int) -> list[tuple[int, int]]:
@@ -77,38 +86,38 @@ def allocate(counts: dict[int, int], points: list[tuple[int, int]], shards: int,
     return out
 
 
-def shard(docs: DataFrame, shards: int = 24, vnodes: int = 64, slack: float = 0.0, id_col: str = "doc_id", text_col: str = "text", key: Column | None = None) -> DataFrame:
-    """(id_col, size, text_crc32, law, shard, slot, home_shard): every row of docs with its shard, its place in it (from 0 without gaps) and the shard of its arc. key: what is hashed; by default the text, so that equal texts lie together as far as the bounds allow."""
+def shard(docs: DataFrame, shards: int = 24, vnodes: int = 64, slack: float = 0.0, id_col: str = "doc_id", text_col: str = "text", key: Column | None = None, carry: bool = False) -> DataFrame:
+    """(id_col, size, text_crc32, law, shard, slot, home_shard): every row of docs with its shard, its place in it (from 0 without gaps) and the shard of its arc. key: what is hashed; by default the text, so that equal texts lie together as far as the bounds allow. carry: all columns of docs come along."""
+    if shards * vnodes > 1 << 16:
+        raise ValueError(f"{shards} shards of {vnodes} points each are more than 65,536 points")
     points = ring(shards, vnodes)
-    edges = [p for p, _ in points]
     text = F.col(text_col)
-    at = F.pmod(F.xxhash64(text if key is None else key), F.lit(SPAN))
-    # arcs by a table of equal steps would be skewed; the ring's points are constants, so a binary search over them is an expression on one array
+    others = [c for c in docs.columns if c not in (id_col, *RESULTS)] if carry else []
     slim = docs.select(
-        F.col(id_col).alias(id_col),
+        F.col(id_col).alias("id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("long").alias("size"),
-        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-        at.alias("_at"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("crc"),
+        F.pmod(F.xxhash64(text if key is None else key), F.lit(SPAN)).alias("at"),
+        F.pmod(F.xxhash64(id_col, F.spark_partition_id()), F.lit(SALTS)).cast("int").alias("salt"),
+        *(F.col("`" + c.replace("`", "``") + "`").alias(f"c{i}") for i, c in enumerate(others)),
     )
-    slim = slim.withColumn("_arc", _arc(F.col("_at"), edges)).withColumn("_part", F.pmod(F.shiftright("_at", 3), F.lit(PARTS)).cast("int")).withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int"))
-    cells = slim.groupBy("_arc", "_part", "_salt").agg(F.count("*").alias("_n"))
-    from ._scratch import written
-
-    cells = written(cells, "cells")  # bounded: shards * vnodes * PARTS * SALTS rows
-    counts = {r["_arc"]: r["n"] for r in cells.groupBy("_arc").agg(F.sum("_n").alias("n")).collect()}
-    pieces = allocate(counts, points, shards, slack)
-    from pyspark.sql import Window as W
-
-    in_arc = W.partitionBy("_arc").orderBy("_part", "_salt").rowsBetween(W.unboundedPreceding, -1)
-    offsets = cells.select("_arc", "_part", "_salt", F.coalesce(F.sum("_n").over(in_arc), F.lit(0)).alias("_before"))
-    in_cell = W.partitionBy("_arc", "_part", "_salt").orderBy("_at", F.col(id_col).asc_nulls_first(), "text_crc32", "size")
-    ranked = slim.withColumn("_rank", F.row_number().over(in_cell) - 1).join(F.broadcast(offsets), ["_arc", "_part", "_salt"]).withColumn("_r", F.col("_rank") + F.col("_before"))
+    slim = written(slim.withColumn("arc", _arc(F.col("at"), [p for p, _ in points])), "placed")
+    total = slim.count()
+    hot = slim.groupBy("at").agg(F.count("*").alias("n")).filter(F.col("n") * 1000 > total).select("at", F.col("at").alias("hot"))  # at most 999 rows
+    slim = slim.join(F.broadcast(hot), "at", "left").withColumn("hot", F.coalesce("hot", F.lit(-1))).withColumn("salt", F.when(F.col("hot") >= 0, F.col("salt")).otherwise(0)).withColumn("part", F.pmod(F.shiftright("at", 3), F.lit(PARTS)).cast("int"))
+    cell = ["arc", "part", "hot", "salt"]
+    cells = written(slim.groupBy(*cell).agg(F.count("*").alias("n")), "cells")  # at most shards * vnodes * PARTS + 1000 * SALTS rows
+    pieces = allocate({r["arc"]: r["n"] for r in cells.groupBy("arc").agg(F.sum("n").alias("n")).collect()}, points, shards, slack)
+    small = F.broadcast if cells.count() <= FEW else (lambda df: df)
+    before = F.coalesce(F.sum("n").over(W.partitionBy("arc").orderBy("part", "hot", "salt").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    in_cell = W.partitionBy(*cell).orderBy("at", F.col("id").asc_nulls_first(), "crc", "size")
+    ranked = slim.withColumn("rank", F.row_number().over(in_cell) - 1).join(small(cells.select(*cell, before.alias("before"))), cell).withColumn("r", F.col("rank") + F.col("before"))
     table = docs.sparkSession.range(1).select(F.explode(F.from_json(F.lit(json.dumps(pieces)), "array<struct<arc:int,lo:bigint,hi:bigint,shard:int,slot:bigint>>")).alias("p"))
-    by_arc = table.groupBy(F.col("p.arc").alias("_arc")).agg(F.array_sort(F.collect_list(F.struct("p.lo", "p.hi", "p.shard", "p.slot"))).alias("_pieces"))  # at most `shards` pieces an arc
-    mine = F.element_at(F.filter("_pieces", lambda p: (F.col("_r") >= p["lo"]) & (F.col("_r") < p["hi"])), 1)
-    homes = F.element_at(F.array(*[F.lit(s) for _, s in points]), F.col("_arc") + 1)
-    return ranked.join(F.broadcast(by_arc), "_arc").withColumn("_p", mine).select(
-        id_col, "size", "text_crc32", F.lit("rows" if slack <= 0 else "bounded").alias("law"), F.col("_p.shard").alias("shard"), (F.col("_p.slot") + F.col("_r") - F.col("_p.lo")).cast("long").alias("slot"), homes.cast("int").alias("home_shard")
+    by_arc = table.groupBy(F.col("p.arc").alias("arc")).agg(F.array_sort(F.collect_list(F.struct("p.lo", "p.hi", "p.shard", "p.slot"))).alias("pieces"))  # at most 65,536 rows; `shards` pieces an arc
+    mine = F.element_at(F.filter("pieces", lambda p: (F.col("r") >= p["lo"]) & (F.col("r") < p["hi"])), 1)
+    homes = F.element_at(F.array(*[F.lit(s) for _, s in points]), F.col("arc") + 1)
+    return ranked.join(F.broadcast(by_arc), "arc").withColumn("p", mine).select(
+        F.col("id").alias(id_col), *(F.col(f"c{i}").alias(c) for i, c in enumerate(others)), "size", F.col("crc").alias("text_crc32"), F.lit("rows" if slack <= 0 else "bounded").alias("law"), F.col("p.shard").alias("shard"), (F.col("p.slot") + F.col("r") - F.col("p.lo")).cast("long").alias("slot"), homes.cast("int").alias("home_shard")
     )
 
 
