@@ -5,24 +5,27 @@ lexicon of words that the training sample holds often; learned transitions link
 a sentence follows its surroundings and a switch of language inside a text is found. Marginals come from forward-backward;
 a document's language is the one with the largest sum of marginals, its score that sum's share.
 
-Training takes whole texts of at most `most_docs` labelled rows to the driver (chosen by a hash of the id, the bound is the
-parameter) and maximises the likelihood of sequences spliced from runs of different languages, by AdaGrad. Prediction is one
-pass in Arrow batches, without a shuffle: segments of 32 words become 4 x 4 transfer matrices, which are scanned document by
+Training takes whole texts of at most `most_docs` labelled rows to one task (chosen by a hash of id and text, in equal parts for
+each language, so that rare ones and rows without an id have theirs) and maximises the likelihood of sequences spliced from runs of
+different languages, by AdaGrad. Only the model reaches the driver. Prediction is one pass in Arrow batches, without a shuffle: segments of 32 words become 4 x 4 transfer matrices, which are scanned document by
 document, so that a text of any length takes the same memory a word.
 
 A null text, or one without a letter, is `und` with score 0. Ties go to the first language in order of name. With no training
-row every text is `und`. Repeated rows are predicted each. Empty tables give empty results. Other columns are ignored.
+row every text is `und`. A null doc_id hashes as an empty string (remainder 0: learned from). Repeated rows are predicted each. Empty tables give empty results. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ._sample import SPAN, drawn
 from ._text import LOWER, Words, byte_view, slices
 
 BUCKETS = 1 << 16
@@ -191,12 +194,35 @@ def fit(texts: list[str], langs: list[str], steps: int = 220, batch: int = 96, s
 
 
 def train(docs: DataFrame, most_docs: int = 400) -> dict | None:
-    """fit() on a bounded sample of the rows that may be learned from; None without any."""
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), "lang").filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    share = min(1.0, most_docs / max(1, rows.count()))
-    sample = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) < int(share * 1_000_000) + 1).orderBy("doc_id").select("text", "lang").collect()
-    sample = [r for r in sample if r["text"].split()]
-    return fit([r["text"] for r in sample], [r["lang"] for r in sample]) if sample else None
+    """fit() in one task, on a sample of at most most_docs of the rows that may be learned from; None without any. Languages have equal parts in it, as far as they have rows; at most most_docs languages, the most frequent, are learned. Repeated rows count once."""
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    hashed = rows.withColumn("h", drawn(3))
+    langs = hashed.groupBy("lang").agg(F.count("*").alias("m"), F.approx_count_distinct("h").alias("n")).orderBy(F.desc("m"), "lang").limit(most_docs)
+    few = hashed.select("lang", "h").join(F.broadcast(langs), "lang").filter(F.col("h") < F.least(F.lit(1.0), 2 * most_docs / F.col("n")) * SPAN).select("lang", "h").distinct()
+    chosen = few.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("h"))).filter(F.col("k") <= most_docs).orderBy("k", "h", "lang").limit(most_docs).select("lang", "h")
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        for batch in batches:
+            keys = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
+            new = [k not in seen and not seen.add(k) for k in keys]
+            yield batch.filter(pa.array(new, pa.bool_()))
+
+    def learn(table: pa.Table) -> pa.Table:
+        got = {(r["lang"], r["h"]): r["text"] for r in table.to_pylist() if r["text"].split()}
+        order = sorted(got, key=lambda k: (k[1], k[0]))
+        out = io.BytesIO()
+        if order:
+            model = fit([got[k] for k in order], [k[0] for k in order])
+            np.savez(out, **(model | {"names": np.array(model["names"])}))
+        return pa.table({"model": pa.array([out.getvalue()], pa.binary())})
+
+    sample = hashed.join(F.broadcast(chosen), ["lang", "h"]).select("text", "lang", "h").mapInArrow(once, "text string, lang string, h long")
+    raw = [r["model"] for r in sample.groupBy().applyInArrow(learn, "model binary").collect()]
+    if not raw or not raw[0]:
+        return None
+    model = dict(np.load(io.BytesIO(raw[0])))
+    return model | {"names": model["names"].tolist()}
 
 
 def label_words(model: dict, text: str) -> list[tuple[str, str, float]]:
