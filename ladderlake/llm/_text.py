@@ -130,3 +130,13 @@ def distinct_pairs(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarr
     keep = np.ones(len(doc), bool)
     keep[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
     return doc[keep], h[keep]
+
+
+def per_doc(f, values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """f.reduceat over each document's words; 0 for those without."""
+    n = np.diff(first)
+    out = np.zeros(len(n), values.dtype)
+    full = np.flatnonzero(n)
+    if len(full):
+        out[full] = f.reduceat(values, first[:-1][full])
+    return out

@@ -1,14 +1,15 @@
 """A quality classifier from positives and unlabelled text (non-negative unbiased PU risk).
 
-Trusted positives are texts labelled 1; every other sampled text is unlabelled. The share of positives among the unlabelled is
+Trusted positives are texts labelled 1; the unlabelled are a sample of all texts, as found: labelled ones of either kind among them. The share of positives among the unlabelled is
 estimated from how the two groups' scores compare (the least ratio of their upper tails), a model is then fitted that
-minimises prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives)) with logistic loss, and its margin is turned
-into a probability by a one-dimensional logistic fit on the training rows whose label is known.
+minimises prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives)) with logistic loss. Its margin is a log-odds under
+that prior, and the score is its probability: no text labelled 0 is used as such. calibrate="labels" instead takes scale and cut from
+a one-dimensional logistic fit on the training rows whose label is known, those labelled 0 among them.
 
-Features are figures of form and repetition computed from each whole text in Arrow batches. Fitting takes three samples of about
-`most_rows` training rows at most (chosen by a hash of the id) to the driver: of all rows (the unlabelled), of those labelled 1 and
-of those labelled 0; so labels aren't thinned as the input grows. That is 3 * most_rows * about 40 numbers. The calibration weighs
-labelled rows by their samples' rates. Scoring is one pass without a shuffle.
+Features are figures of form and repetition computed from each whole text in Arrow batches. Fitting takes three samples of at most
+`most_rows` training rows each (chosen by a hash of id and text; repeated rows count once) to one task: of all rows (the unlabelled),
+of those labelled 1 and of those labelled 0; so labels aren't thinned as the input grows. That is 3 * most_rows * about 40 numbers.
+Calibration by labels weighs rows by their samples' rates. A null doc_id hashes as an empty string (remainder 0: learned from). Scoring is one pass without a shuffle.
 
 Null and empty texts get the features of an empty text and a score. Several labels of one document count as their mean; null
 labels as none. Repeated rows are scored each. Empty tables give an empty result. Other columns are ignored.
@@ -16,6 +17,7 @@ labels as none. Repeated rows are scored each. Empty tables give an empty result
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import Words, byte_view, sequence_hashes, slices, within
-from .quality_rules import _per_doc
+from ._sample import drawn, least
+from ._text import Words, byte_view, per_doc, sequence_hashes, slices, within
 
 _KIND = np.zeros((8, 256), np.int64)
 for _k, _chars in enumerate([b"#*$%&<>^~@_=+\\", b"|", b"!?", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b".,;:", b"\n"]):
@@ -44,14 +46,14 @@ def features(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
         ratio = (total[offs[1:]] - total[offs[:-1]]) / size
         out += [ratio, np.sqrt(ratio)]
     length = (w.end - w.start).astype(float)
-    mean = _per_doc(np.add, length, w.first) / one
-    out += [mean, np.sqrt(np.maximum(_per_doc(np.add, length**2, w.first) / one - mean**2, 0)), _per_doc(np.maximum, length, w.first) ** 0.5]
-    out += [_per_doc(np.add, (length <= k).astype(float), w.first) / one for k in (1, 3)]
+    mean = per_doc(np.add, length, w.first) / one
+    out += [mean, np.sqrt(np.maximum(per_doc(np.add, length**2, w.first) / one - mean**2, 0)), per_doc(np.maximum, length, w.first) ** 0.5]
+    out += [per_doc(np.add, (length <= k).astype(float), w.first) / one for k in (1, 3)]
     if len(w.h):
         last = buf[w.end - 1]
-        out.append(_per_doc(np.add, np.isin(last, np.frombuffer(b"#*$%&|!?", np.uint8)).astype(float), w.first) / one)
+        out.append(per_doc(np.add, np.isin(last, np.frombuffer(b"#*$%&|!?", np.uint8)).astype(float), w.first) / one)
         upper = np.concatenate([[0], np.cumsum(_KIND[3][buf])])
-        out.append(_per_doc(np.add, (2 * (upper[w.end] - upper[w.start]) > length).astype(float), w.first) / one)
+        out.append(per_doc(np.add, (2 * (upper[w.end] - upper[w.start]) > length).astype(float), w.first) / one)
     else:
         out += [np.zeros(len(n))] * 2
     for k in (1, 2, 3):
@@ -64,7 +66,7 @@ def features(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
         out += [dup, np.sqrt(dup)]
     beside = np.zeros(len(w.h), bool)
     beside[1:] = (w.h[1:] == w.h[:-1]) & (w.doc[1:] == w.doc[:-1])
-    out.append(_per_doc(np.add, beside.astype(float), w.first) / one)
+    out.append(per_doc(np.add, beside.astype(float), w.first) / one)
     return np.column_stack(out)
 
 
@@ -87,10 +89,10 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, decay: float = 1e
 
 
 def class_prior(p: np.ndarray, u: np.ndarray) -> float:
-    """The least ratio of the unlabelled to the positive scores' upper tails, where at least a tenth of the positives lie."""
-    cuts = np.quantile(p, np.linspace(0.0, 0.9, 46))
-    ratio = [(u >= c).mean() / max((p >= c).mean(), 1e-9) for c in cuts]
-    return float(np.clip(min(ratio), 0.05, 0.99))
+    """The least ratio of the unlabelled to the positive scores' upper tails, each widened by half a standard error of its sample at most, so that few positives don't make a thin tail look empty."""
+    of_p, of_u = 0.5 / np.sqrt(len(p)), 0.5 / np.sqrt(len(u))
+    tails = [((u >= c).mean() + of_u, (p >= c).mean() - of_p) for c in np.quantile(p, np.linspace(0.0, 0.9, 46))]
+    return float(np.clip(min([a / b for a, b in tails if b > 0], default=0.99), 0.05, 0.99))
 
 
 def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None, decay: float = 1e-3, steps: int = 600) -> tuple[np.ndarray, float]:
@@ -111,44 +113,57 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = N
     return _adam(gradient, positive.shape[1], steps, 0.02), prior
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000, label: str = "quality") -> dict:
-    """The model, from training rows (crc32(doc_id) mod 3 other than 1): centre and scale of the features, weights, and the calibration's two numbers."""
+def learn(x: np.ndarray, y: np.ndarray, of_all: np.ndarray, calibrate: str, rates: tuple[float, float]) -> dict:
+    """The model of feature rows x: y is 1, 0 or NaN; of_all marks the sample of all rows; rates: parts of the rows labelled 1 and 0 that are in x."""
+    if not of_all.any():
+        of_all = np.ones(len(x), bool)
+    centre, scale = x[of_all].mean(0), x[of_all].std(0) + 1e-9
+    z = np.column_stack([np.clip((x - centre) / scale, -8, 8), np.ones(len(x))])
+    positive = y >= 0.5
+    n = {"n_positive": int(positive.sum()), "n_unlabelled": int(of_all.sum())}
+    if not positive.any():
+        return n | {"centre": centre, "scale": scale, "w": np.zeros(z.shape[1]), "a": 1.0, "b": 0.0, "prior": 0.5}
+    w, prior = fit_pu(z[positive], z[of_all])
+    s, seen, a, b = z @ w, ~np.isnan(y), 1.0, 0.0
+    if calibrate == "labels" and (y[seen] < 0.5).any():
+        a, b = logistic(np.column_stack([s[seen], np.ones(seen.sum())]), (y[seen] >= 0.5).astype(float), np.where(y[seen] >= 0.5, 1 / rates[0], 1 / rates[1]), decay=0, steps=1500)
+    return n | {"centre": centre, "scale": scale, "w": w, "a": max(float(a), 1e-3), "b": float(b), "prior": prior}
+
+
+def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000, label: str = "quality", calibrate: str = "none") -> dict:
+    """The model, from training rows (crc32(doc_id) mod 3 other than 1): centre and scale of the features, weights, and the calibration's two numbers. calibrate: "none" for the margin of the risk as it is, or "labels"."""
     train = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).filter(~held_out())
-    known = labels.groupBy(F.col("doc_id").alias("_id")).agg(F.avg(F.col(label)).alias("y")).filter("y is not null")
-    marked = train.select("doc_id").join(known, F.col("doc_id") == F.col("_id")).groupBy((F.col("y") >= 0.5).alias("good")).count()
-    n = {r["good"]: r["count"] for r in marked.collect()}
-    share = {k: min(1.0, most_rows / max(1, m)) for k, m in ((None, train.count()), (True, n.get(True, 0)), (False, n.get(False, 0)))}
-    drawn = {k: F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < int(s * 1_000_000) + 1 for k, s in share.items()}
-    chosen = known.select("_id", "y").filter(F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(1_000_000)) < F.when(F.col("y") >= 0.5, int(share[True] * 1_000_000) + 1).otherwise(int(share[False] * 1_000_000) + 1))
-    sample = train.join(chosen, F.col("doc_id") == F.col("_id"), "left").filter(drawn[None] | F.col("_id").isNotNull()).select("doc_id", "text", F.coalesce(drawn[None], F.lit(False)).alias("any"), "y")
+    known = labels.groupBy(F.col("doc_id").alias("of")).agg((F.avg(F.col(label)) >= 0.5).cast("int").alias("y")).filter("y is not null")
+    hashed = train.withColumn("h", drawn(7))
+    marked = hashed.select("doc_id", "h").join(known, F.col("doc_id") == F.col("of"), "left").select("h", "y")
+    n = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.approx_count_distinct("h").alias("n")).collect()}
+    total = sum(n.values())
+    parts = [(None, marked, total), (1, marked.filter("y = 1"), n.get(1, 0)), (0, marked.filter("y = 0"), n.get(0, 0))]
+    chosen = functools.reduce(DataFrame.unionAll, (least(rows, most_rows, m).select("h", F.lit(k).cast("int").alias("y")) for k, rows, m in parts))
+    chosen = chosen.groupBy("h").agg(F.max("y").alias("y"), F.bool_or(F.col("y").isNull()).alias("of_all"))  # at most 3 * most_rows rows of 16 bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
         for batch in batches:
+            batch = batch.filter(pa.array([h not in seen and not seen.add(h) for h in batch.column(0).to_pylist()], pa.bool_()))
             for lo, hi in slices(batch.column(1)):
                 x = features(*byte_view(batch.column(1)[lo:hi]))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], batch.column(2)[lo:hi], batch.column(3)[lo:hi], pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "any", "y", "x"])
-
-    rows = sample.mapInArrow(run, "doc_id long, any boolean, y double, x array<double>").orderBy("doc_id").select("x", "y", "any").collect()
+                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], batch.column(2)[lo:hi], batch.column(3)[lo:hi], pa.array(list(x), pa.list_(pa.float64()))], ["h", "of_all", "y", "x"])
+
+    def run_fit(table: pa.Table) -> pa.Table:
+        h, first = np.unique(table.column("h").to_numpy(), return_index=True)
+        table = table.take(pa.array(first))
+        y = np.array([np.nan if v is None else v for v in table.column("y").to_pylist()], float)
+        of_all = np.array(table.column("of_all").to_pylist())
+        rates = tuple(max(1, (y == k).sum()) / max(1, n.get(k, 0)) for k in (1, 0))
+        model = learn(np.array(table.column("x").to_pylist()), y, of_all, calibrate, rates)
+        return pa.table({k: pa.array([model[k].tolist() if isinstance(model[k], np.ndarray) else model[k]]) for k in ("centre", "scale", "w", "a", "b", "prior", "n_positive", "n_unlabelled")})
+
+    sampled = hashed.join(F.broadcast(chosen), "h").select("h", "text", "of_all", "y").mapInArrow(run, "h long, of_all boolean, y int, x array<double>")
+    rows = sampled.groupBy().applyInArrow(run_fit, "centre array<double>, scale array<double>, w array<double>, a double, b double, prior double, n_positive long, n_unlabelled long").collect()
     if not rows:
         return {"centre": [], "scale": [], "w": [0.0], "a": 1.0, "b": 0.0, "prior": 0.5}
-    x = np.array([r["x"] for r in rows])
-    y = np.array([np.nan if r["y"] is None else r["y"] for r in rows])
-    drawn_of_all = np.array([r["any"] for r in rows])
-    if not drawn_of_all.any():
-        drawn_of_all[:] = True
-    centre, scale = x[drawn_of_all].mean(0), x[drawn_of_all].std(0) + 1e-9
-    z = np.column_stack([np.clip((x - centre) / scale, -8, 8), np.ones(len(x))])
-    positive = y >= 0.5
-    if not positive.any():
-        return {"centre": centre, "scale": scale, "w": np.zeros(z.shape[1]), "a": 1.0, "b": 0.0, "prior": 0.5}
-    w, prior = fit_pu(z[positive], z[drawn_of_all])
-    s = z @ w
-    seen = ~np.isnan(y)
-    a, b = 1.0, 0.0
-    if (y[seen] < 0.5).any():
-        fit2 = logistic(np.column_stack([s[seen], np.ones(seen.sum())]), (y[seen] >= 0.5).astype(float), np.where(y[seen] >= 0.5, 1 / share[True], 1 / share[False]), decay=0, steps=1500)
-        a, b = float(fit2[0]), float(fit2[1])
-    return {"centre": centre, "scale": scale, "w": w, "a": max(a, 1e-3), "b": b, "prior": prior}
+    return {k: np.array(v) if isinstance(v, list) else v for k, v in rows[0].asDict().items()}
 
 
 def held_out():

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._text import Words, byte_view, slices
+from ._text import Words, byte_view, per_doc, slices
 
 #: Characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -79,16 +79,6 @@ def longest_repeats(ids: np.ndarray, doc: np.ndarray, doc_end: np.ndarray) -> np
     return out
 
 
-def _per_doc(f, values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """f.reduceat over each document's words; 0 for those without."""
-    n = np.diff(first)
-    out = np.zeros(len(n), values.dtype)
-    full = np.flatnonzero(n)
-    if len(full):
-        out[full] = f.reduceat(values, first[:-1][full])
-    return out
-
-
 def covered(longest: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Whether each word lies in a span that starts where length > 0."""
     n = len(longest)
@@ -132,10 +122,10 @@ def judge(docs: DataFrame, min_repeat: int = 8, most_covered: float = 0.2, most_
                 longer[1:] = (longest[:-1] == longest[1:] + 1) & (w.doc[1:] == w.doc[:-1])
                 inside = covered(longest, np.where(begins, longest, 0))
                 n = w.n.astype(np.int64)
-                repeat = _per_doc(np.add, three.astype(np.int64), w.first)
-                cover = _per_doc(np.add, inside.astype(np.int64), w.first) / np.maximum(n, 1)
-                most = _per_doc(np.maximum, longest, w.first)
-                maximal = _per_doc(np.add, (begins & ~longer).astype(np.int64), w.first)
+                repeat = per_doc(np.add, three.astype(np.int64), w.first)
+                cover = per_doc(np.add, inside.astype(np.int64), w.first) / np.maximum(n, 1)
+                most = per_doc(np.maximum, longest, w.first)
+                maximal = per_doc(np.add, (begins & ~longer).astype(np.int64), w.first)
                 failed = (n < min_words) | (100 * repeat > 50 * n)
                 raw = buf.tobytes()
                 dup = np.array([_dup_lines(raw[offs[i] : offs[i + 1]]) for i in range(hi - lo)], np.int64)
