@@ -2,17 +2,19 @@
 
 Seeds are word n-grams of the test items that chance seldom makes: by the counts of their words over all documents, a text
 holds one at a given place with a probability of at most `most_chance`. (Counts of the n-grams themselves would call a seed
-common because an item leaked often.) Items with too few such seeds use their rarest. Each seed that a document shares with an
+common because an item leaked often.) Items with too few such seeds use their rarest, if they have at least
+`least_words` words; shorter ones, such as a single common word, are only sought by seeds that chance seldom makes. Each seed that a document shares with an
 item proposes a window of the document around the place where the item would lie, as wide to either side as the insertions that
 a passing score can afford; the window is aligned with the item by local alignment with gaps. A document is contaminated by an item whose alignment reaches `least_score` of a perfect copy's score, so
 edited, cut and paraphrased copies count, too.
 
 Items are taken in blocks of a bounded size against all documents; a block's seeds are sent to the executors. Documents are read
-twice, in place: for word counts, and for seeds and alignments. Nothing of them is shuffled but counts of the items' words.
+twice for each block, in place: for word counts, and for seeds and alignments. Nothing of them is shuffled but counts of the
+items' words and what was found. Alignments run side by side up to `CELLS` cells a row of the matrix, so long items take turns.
 
 Words are compared in lower case without punctuation at their ends. Items without words contaminate nothing; null and empty
-texts have no windows. Items that share a text are each reported; items that share an id are reported as one, by the best
-score. Repeated documents are reported each. Empty tables give an empty result. Other columns are ignored.
+texts have no windows. Items that share a text are each reported; rows that share a document's id and an item's id are one row of
+the result, with the best score. decontaminate() judges each row by itself. Empty tables give an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from ._text import Words, byte_view, sequence_hashes, slices, span_hashes, within
 
 MATCH, MISMATCH, GAP = 2, -1, -1
+CELLS = 1 << 21
 _PLAIN = np.zeros(256, bool)
 _PLAIN[48:58] = _PLAIN[65:91] = _PLAIN[97:123] = _PLAIN[128:] = True
 
@@ -69,7 +72,7 @@ class Seeds:
         self.ids, self.first = ids, np.searchsorted(doc, np.arange(len(ids) + 1))
         self.length = np.diff(self.first)
 
-    def choose(self, counts: dict[int, int], total: int, n: int, most_chance: float, least_seeds: int) -> None:
+    def choose(self, counts: dict[int, int], total: int, n: int, most_chance: float, least_seeds: int, least_words: int) -> None:
         """Sorted fingerprints of the seeds of each length, and the (item, offset) of each."""
         log = np.log10(np.array([(counts.get(int(x), 0) + 1) / (total + 1) for x in self.h.view(np.int64)])) if len(self.h) else np.zeros(0)
         found: dict[int, list] = {}
@@ -78,12 +81,13 @@ class Seeds:
             if m:
                 chance = np.convolve(log[a:b], np.ones(m), "valid")
                 keep = chance <= np.log10(most_chance)
-                keep[np.argsort(chance, kind="stable")[:least_seeds]] = True
+                if b - a >= least_words:
+                    keep[np.argsort(chance, kind="stable")[:least_seeds]] = True
                 h = sequence_hashes(self.h[a:b], m)
                 found.setdefault(int(m), []).extend((h[i], item, i) for i in np.flatnonzero(keep))
         self.seeds = {}
         for m, rows in found.items():
-            h, item, at = np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+            h, item, at = (np.array([r[k] for r in rows], t) for k, t in enumerate((np.uint64, np.int64, np.int64)))
             o = np.argsort(h, kind="stable")
             self.seeds[m] = (h[o], item[o], at[o])
 
@@ -113,7 +117,7 @@ class Seeds:
         begin = np.maximum(begin, np.searchsorted(doc, rows))
         score, end = np.zeros(len(rows)), np.zeros(len(rows), np.int64)
         order = np.argsort(self.length[item], kind="stable")
-        for part in np.array_split(order, max(1, -(-len(order) // 2048))):
+        for part in np.split(order, np.flatnonzero(np.diff(np.cumsum((stop - begin)[order]) // CELLS)) + 1):
             a, b = self.first[item[part]], self.length[item[part]]
             x = np.zeros((len(part), b.max()), np.uint64)
             inner = np.arange(b.max())[None, :] < b[:, None]
@@ -133,7 +137,7 @@ class Seeds:
         return rows[o], item[o], score[o], end[o]
 
 
-def blocks(docs: DataFrame, bench: DataFrame, n: int, most_chance: float, least_seeds: int, block_mb: int) -> Iterator:
+def blocks(docs: DataFrame, bench: DataFrame, n: int, most_chance: float, least_seeds: int, least_words: int, block_mb: int) -> Iterator:
     """Broadcast Seeds of each block of items. Their number is the items' size over block_mb."""
     spark = docs.sparkSession
     items = bench.select("item_id", F.col("text").cast("string").alias("text")).filter("text is not null")
@@ -160,16 +164,16 @@ def blocks(docs: DataFrame, bench: DataFrame, n: int, most_chance: float, least_
             yield pa.RecordBatch.from_arrays([pa.array(np.append(words[some].view(np.int64), -1)), pa.array(np.append(n[some], total)), pa.array(np.append(np.zeros(len(some), bool), True))], ["h", "n", "all"])
 
         sums = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "h long, n long, all boolean").groupBy("h", "all").agg(F.sum("n").alias("n")).collect()  # at most the block's distinct words
-        seeds.choose({r["h"]: r["n"] for r in sums if not r["all"]}, sum(r["n"] for r in sums if r["all"]), n, most_chance, least_seeds)
+        seeds.choose({r["h"]: r["n"] for r in sums if not r["all"]}, sum(r["n"] for r in sums if r["all"]), n, most_chance, least_seeds, least_words)
         yield spark.sparkContext.broadcast(seeds)
 
 
-def contaminated(docs: DataFrame, bench: DataFrame, n: int = 3, most_chance: float = 1e-7, least_seeds: int = 8, least_score: float = 0.5, block_mb: int = 8) -> DataFrame:
+def contaminated(docs: DataFrame, bench: DataFrame, n: int = 3, most_chance: float = 1e-7, least_seeds: int = 8, least_score: float = 0.5, least_words: int = 8, block_mb: int = 8) -> DataFrame:
     """(doc_id, item_id, score, doc_end): every document and item that it holds a copy of; score: 1 for an exact copy; doc_end: number of words of the document up to the copy's end."""
     slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = dict(bench.dtypes)["item_id"]
     out = None
-    for shared in blocks(docs, bench, n, most_chance, least_seeds, block_mb):
+    for shared in blocks(docs, bench, n, most_chance, least_seeds, least_words, block_mb):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             seeds = shared.value
@@ -180,13 +184,14 @@ def contaminated(docs: DataFrame, bench: DataFrame, n: int = 3, most_chance: flo
 
         found = slim.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, item_id {'bigint' if kind != 'string' else kind}, score double, doc_end long")
         out = found if out is None else out.unionAll(found)
-    return out
+    best = F.max(F.struct("score", (-F.col("doc_end")).alias("before")))
+    return out.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.score", (-F.col("b.before")).alias("doc_end"))
 
 
-def decontaminate(docs: DataFrame, bench: DataFrame, n: int = 3, most_chance: float = 1e-7, least_seeds: int = 8, least_score: float = 0.5, block_mb: int = 8) -> DataFrame:
+def decontaminate(docs: DataFrame, bench: DataFrame, n: int = 3, most_chance: float = 1e-7, least_seeds: int = 8, least_score: float = 0.5, least_words: int = 8, block_mb: int = 8) -> DataFrame:
     """The rows of docs that hold no item's copy, with all their columns; nothing is shuffled."""
     at = docs.columns.index("text")
-    for shared in blocks(docs, bench, n, most_chance, least_seeds, block_mb):
+    for shared in blocks(docs, bench, n, most_chance, least_seeds, least_words, block_mb):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             seeds = shared.value
