@@ -1,6 +1,7 @@
 """WARC archives with a Zstandard dictionary: written, and read back.
 
-Each writer task gathers records to archives of about `archive_mb`; for each it builds a dictionary from the records, puts it
+Each writer task gathers records to archives of about `archive_mb`; for each it builds a dictionary from a sample of its records (every
+n-th, so that there are about 2,000, and 64 KiB of each; records themselves are written whole), puts it
 into a leading skippable frame (magic 0x184D2A5D) and compresses every record as a frame of its own, so that any record can be
 read by offset. Records with equal payloads of `least_bytes` or more are written once: that of the largest page_id is the
 response, the others are revisit records without a payload that refer to it.
@@ -26,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._scratch import filesystem, shared_dir, written
+from ._scratch import filesystem, new_path, written
 
 SKIPPABLE = 0x184D2A5D
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -120,9 +121,17 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 1000, archive_mb: in
     """Writes archives into folder; returns (path, records, bytes)."""
     slim = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     slim = slim.withColumn("digest", F.sha1(F.col("html").cast("binary"))).withColumn("size", F.octet_length("html").cast("long"))
-    same = slim.filter(F.col("size") >= least_bytes).groupBy("digest", "size").agg(F.max(F.struct("page_id", "url")).alias("k"), F.count("*").alias("n")).filter("n > 1").select("digest", "size", F.col("k.page_id").alias("keeper"), F.col("k.url").alias("keeper_url"), F.lit(True).alias("again"))
-    marked = slim.join(same, ["digest", "size"], "left").withColumn("revisit", F.coalesce(F.col("again") & ~F.col("page_id").eqNullSafe(F.col("keeper")), F.lit(False)))
-    marked = marked.select("page_id", "url", F.when(~F.col("revisit"), F.col("html")).alias("html"), "digest", "size", "keeper", "keeper_url")
+    same = slim.filter(F.col("size") >= least_bytes).groupBy("digest", "size").agg(F.max(F.struct("page_id", "url")).alias("k"), F.count("*").alias("n")).filter("n > 1").select("digest", "size", F.col("k.page_id").alias("keeper"), F.col("k.url").alias("keeper_url"), "n")
+    same = written(same, "payloads")
+    often = F.col("n") * 1000 > pages.count()  # holds for at most 999 payloads: their revisits lose the text where it is read
+    hot = same.filter(often).select("digest", "size", F.col("keeper").alias("hot_keeper"), F.col("keeper_url").alias("hot_url"), F.lit(True).alias("hot"))
+    first = slim.join(F.broadcast(hot), ["digest", "size"], "left").withColumn("html", F.when(F.coalesce(~F.col("hot"), F.lit(True)) | F.col("page_id").eqNullSafe(F.col("hot_keeper")), F.col("html")))
+    # rows that are settled already are dealt out evenly, not by their payload
+    first = first.withColumn("meet", F.when(F.col("hot"), F.concat(F.lit("-"), F.xxhash64("page_id", "url", F.spark_partition_id()).cast("string"))).otherwise(F.col("digest")))
+    rest = same.filter(~often).select(F.col("digest").alias("meet"), "size", "keeper", "keeper_url", F.lit(True).alias("again"))
+    joined = first.join(rest, ["meet", "size"], "left")
+    revisit = F.coalesce(F.col("again") & ~F.col("page_id").eqNullSafe(F.col("keeper")), F.lit(False))
+    marked = joined.select("page_id", "url", F.when(~revisit, F.col("html")).alias("html"), "digest", "size", F.coalesce("hot_keeper", "keeper").alias("keeper"), F.coalesce("hot_url", "keeper_url").alias("keeper_url"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = filesystem(folder)
@@ -177,7 +186,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def op8_warc(spark, sf_dir: str) -> DataFrame:
-    folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    folder = new_path(spark, "warc")
     return read(write(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder), folder)
 
 
