@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _bloom
-from ._scratch import written
+from ._scratch import dropped, written
 from ._text import Words, byte_view, distinct_pairs, mix, sequence_hashes, slices, within
 from .components import components
 
@@ -250,7 +250,7 @@ class Join:
 
         return self.docs.mapInArrow(run, "id long, n long, s1 long, s2 long, prefix binary, bits binary")
 
-    def lists(self, nodes: DataFrame, reps: DataFrame) -> DataFrame:
+    def lists(self, nodes: DataFrame, reps: tuple[DataFrame, DataFrame]) -> DataFrame:
         """(kind, token, a, b, n, p): kind 0, pairs to compare; kind 1, entries of long lists."""
         percent = self.percent
         total = nodes.agg(F.sum(F.octet_length("prefix")).alias("b")).first()["b"] or 0
@@ -282,7 +282,10 @@ class Join:
             both = lambda x, y: pa.array(np.concatenate([x, y]))
             return pa.table({"kind": both(zero, zero[:0] + 1).cast(pa.int64()) if not len(rest) else both(zero, np.ones(len(rest), np.int64)), "token": both(zero, token[rest].view(np.int64)), "a": both(a, ids[rest]), "b": both(b, np.zeros(len(rest), np.int64)), "n": both(zero, n[rest]), "p": both(zero, p[rest])})
 
-        own = nodes.join(reps.select("s1", "s2", "n", F.col("rep").alias("id")), ["s1", "s2", "n", "id"]).select("id", "n", "prefix")
+        hot, rare = reps
+        told = nodes.filter("n > 0").join(F.broadcast(hot.select("s1", "s2", "n", F.col("rep").alias("hot"))), ["s1", "s2", "n"], "left")
+        own = told.filter("hot IS NULL").join(rare.select("s1", "s2", "n", F.col("rep").alias("id")), ["s1", "s2", "n", "id"]).select("id", "n", "prefix")
+        own = own.unionAll(told.filter("id = hot").groupBy("id", "n").agg(F.first("prefix").alias("prefix")))  # many rows may repeat a hot set's own
         packed = own.mapInArrow(pack, "bucket long, token binary, ids binary, n binary, p binary")
         return packed.groupBy("bucket").applyInArrow(meet, "kind long, token long, a long, b long, n long, p long")
 
@@ -379,21 +382,30 @@ class Join:
     def run(self) -> DataFrame:
         """(id, n_shingles, component_id) of every row."""
         nodes = written(self.nodes(), "sets")
-        reps = nodes.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"))
-        lists = written(self.lists(nodes, reps), "lists")
+        total = nodes.count()
+        split = lambda sets: (sets.filter(F.col("m") * 1000 > total), sets.filter(F.col("m") * 1000 <= total))  # noqa: E731  at most 999 hot sets
+        reps = written(nodes.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"), F.count("*").alias("m")), "reps")
+        lists = written(self.lists(nodes, split(reps)), "lists")
         pairs = written(lists.filter("kind = 0").select("a", "b").distinct(), "pairs")
         near = written(self.bounded(pairs, nodes, 50), "near")
         groups = components(near)
-        links = written(self._inside(groups, self.sets(near)), "inside")
+        inside = written(self._inside(groups, self.sets(near)), "inside")
         entries = lists.filter("kind = 1").select("token", "a", "n", "p")
         later = written(self.bounded(self._later(entries, groups).join(pairs, ["a", "b"], "left_anti"), nodes, self.percent), "later")
+        links = inside
         if later.limit(1).count():
             linked = f"100 * both >= {self.percent} * (na + nb - both)"
             links = links.unionAll(self.compare(later, self.sets(later)).filter(linked).select("a", "b"))
-        known = components(written(links, "links"))
-        rep = nodes.select("id", "n", "s1", "s2").join(reps, ["s1", "s2", "n"], "left")
-        out = rep.join(known.withColumnRenamed("id", "rep"), "rep", "left")
-        return out.select("id", F.col("n").alias("n_shingles"), F.coalesce("comp", "rep", "id").alias("component_id"))
+        known = components(links)
+        classes = written(reps.join(known.withColumnRenamed("id", "rep"), "rep", "left").select("s1", "s2", "n", "m", F.coalesce("comp", "rep").alias("comp")), "classes")
+        dropped(reps, lists, pairs, near, groups, inside, later, known)
+        hot, rare = split(classes)
+        told = nodes.select("id", "n", "s1", "s2").join(F.broadcast(hot.select("s1", "s2", "n", F.col("comp").alias("hot"))), ["s1", "s2", "n"], "left")
+        # rows of hot sets, and empty ones, are settled: they are dealt out evenly, not by their set
+        open_ = F.col("hot").isNull() & (F.col("n") > 0)
+        told = told.select("id", "n", "hot", "s2", F.when(open_, F.col("s1")).otherwise(F.xxhash64("id", F.spark_partition_id())).alias("s1"), F.when(open_, F.col("n")).otherwise(-1).alias("size"))
+        out = told.join(rare.select("s1", "s2", F.col("n").alias("size"), "comp"), ["s1", "s2", "size"], "left")
+        return out.select("id", F.col("n").alias("n_shingles"), F.coalesce("hot", "comp", "id").alias("component_id"))
 
 
 def jaccard_join(docs: DataFrame, **options) -> DataFrame:
