@@ -33,13 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._scratch import filesystem, shared_dir, written
+from ._scratch import dropped, filesystem, new_path, written
 from ._text import Words, byte_view, mix, slices
 from .elias_fano import EliasFano, pack, unpack
 
 END = np.uint64(0x1D8AF066F6C2B5A7)
 DISCOUNT = 0.75
-SLICE = 3 << 20
+SLICE = 2 << 20
 BLOCKS = "bucket long, n long, keys binary, counts binary"
 U64 = np.uint64
 
@@ -116,7 +116,7 @@ def counted(docs: DataFrame, keys_of, bucket_of, least: int) -> DataFrame:
             for lo, hi in slices(batch.column(0), SLICE):
                 held.append(keys_of(batch.column(0)[lo:hi]))
                 size += len(held[-1][0])
-                if size > 3_000_000:
+                if size > 1_500_000:
                     yield out()
                     held, size = [], 0
         if size:
@@ -280,10 +280,10 @@ def _save(folder: str, name: str, arrays: dict[str, np.ndarray]) -> str:
     return path
 
 
-def build(docs: DataFrame, min_count: int = 1, shard_words: int = 1_000_000, shard_mb: int = 16) -> dict:
+def build(docs: DataFrame, min_count: int = 1, shard_words: int = 1_000_000, shard_mb: int = 6) -> dict:
     """The model of a table of texts (column text): its files are in the shared folder; what is returned has a line for each shard. There are as many shards as the words and the texts' size ask for."""
     spark = docs.sparkSession
-    folder = f"{shared_dir(spark)}/lm-{uuid.uuid4().hex}"
+    folder = new_path(spark, "lm")
     size, rows = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     power = max(4, int(np.ceil(np.log2(max(1, (size or 0) / (8 << 20))))))
     buckets = 1 << power
@@ -317,6 +317,7 @@ def build(docs: DataFrame, min_count: int = 1, shard_words: int = 1_000_000, sha
         return {"shard": shard, "words": len(h), "total": int(counts.sum()), "path": _save(folder, f"1-{shard}", arrays)}
 
     made = by_shard(ones.withColumn("shard", shard_of), level1, shape)
+    dropped(ones)
     empty1 = EliasFano.encode(np.zeros(0, U64), 1, "h") | EliasFano.encode(np.zeros(1), 1, "c")
     info["words"] = [made[s]["words"] if s in made else 0 for s in range(shards)]
     info["total"] = sum(r["total"] for r in made.values())
@@ -334,7 +335,10 @@ def build(docs: DataFrame, min_count: int = 1, shard_words: int = 1_000_000, sha
         _, _, v, w, both = _pairs(model, t, min_count)
         return np.unique((v[both].astype(U64) << U64(32)) | w[both].astype(U64), return_counts=True)
 
-    twos = counted(docs, pairs, bucket_of(word0, 32), min_count).withColumn("shard", F.floor(F.col("bucket") / sub).cast("long"))
+    if int(word0[-1]) >= 1 << 32:
+        raise ValueError(f"{word0[-1]} words don't fit the 64-bit keys of bigrams")
+    twos = counted(docs, pairs, bucket_of(word0, 32), min_count)
+    own_shard = F.floor(F.col("bucket") / sub).cast("long")
 
     def level2(shard: int, key: np.ndarray, counts: np.ndarray) -> dict:
         model = trie(one)
@@ -349,7 +353,8 @@ def build(docs: DataFrame, min_count: int = 1, shard_words: int = 1_000_000, sha
         return {"shard": shard, "words": len(key), "total": 0, "path": _save(folder, f"2-{shard}", arrays)}
 
     none = np.zeros(0, np.int64)
-    made = by_shard(twos, level2, shape)
+    made = by_shard(twos.withColumn("shard", own_shard), level2, shape)
+    dropped(twos)
     info["nodes"] = [made[s]["words"] if s in made else 0 for s in range(shards)]
 
     def bare(level: int, s: int, contexts: int) -> str:
@@ -375,7 +380,7 @@ def build(docs: DataFrame, min_count: int = 1, shard_words: int = 1_000_000, sha
         ok = (before >= 0) & (node >= 0)
         return np.unique((before[ok].astype(U64) << U64(bits)) | w[ok].astype(U64), return_counts=True)
 
-    threes = counted(docs, triples, bucket_of(node0, bits), min_count).withColumn("shard", F.floor(F.col("bucket") / sub).cast("long"))
+    threes = counted(docs, triples, bucket_of(node0, bits), min_count)
 
     def level3(shard: int, key: np.ndarray, counts: np.ndarray) -> dict:
         model = trie(two)
@@ -392,7 +397,8 @@ def build(docs: DataFrame, min_count: int = 1, shard_words: int = 1_000_000, sha
         arrays = EliasFano.encode(np.concatenate([[0], np.cumsum(np.bincount(node, minlength=n))]), len(key) + 1, "p") | EliasFano.encode(node.astype(U64) * U64(model.V) + w.astype(U64), max(1, n) * model.V, "x") | quantised(np.log10(p), "q") | quantised(np.log10(left), "b")
         return {"shard": shard, "words": len(key), "total": 0, "path": _save(folder, f"3-{shard}", arrays)}
 
-    made = by_shard(threes, level3, shape)
+    made = by_shard(threes.withColumn("shard", own_shard), level3, shape)
+    dropped(threes)
     info["files"] = info["files"] | {3: [made[s]["path"] if s in made else bare(3, s, info["nodes"][s]) for s in range(shards)]}
     info["ngrams"] = [sum(info["words"]), sum(info["nodes"]), sum(r["words"] for r in made.values())]
     return info
