@@ -109,6 +109,15 @@ def test_language_id(spark, docs):
     assert kept.isdisjoint({1000, 1001, 1002, 1003}) and len(kept) > 150
 
 
+def test_language_sample_is_bounded_whatever_the_ids(spark):
+    rows = [(None, f"the and of that with number {i}", "en") for i in range(3000)] + [(None, f"der die und ist auf nummer {i}", "de") for i in range(12)] + [(4, "la casa de los gatos", "es")] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(docs, most_docs=30)
+    assert model["names"] == ["de", "en", "es"]
+    got = language_id.predict(docs, model).groupBy("lang_pred").count().collect()
+    assert {r["lang_pred"]: r["count"] for r in got} == {"en": 3000, "de": 12, "es": 500}
+
+
 def test_crf_marginals_are_those_of_all_paths():
     rng = np.random.default_rng(3)
     scores, m = rng.normal(size=(8, 3)), rng.normal(size=(3, 3))
@@ -176,6 +185,40 @@ def test_decontamination_finds_a_stretched_copy_at_every_offset(spark):
     assert {r["doc_id"] for r in got} == set(range(40)) and len({r["score"] for r in got}) == 1
 
 
+def test_decontamination_finds_what_alignment_with_every_text_finds(spark):
+    bench = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect()
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    plain = lambda column: decontamination.plain_words(*byte_view(pa.array(column, pa.string())))
+    rows = docs.collect()
+    item_of, item_h = plain([r["text"] for r in bench])
+    doc_of, doc_h = plain([r["text"] for r in rows])
+    items = [item_h[item_of == i] for i in range(len(bench))]
+    want = set()
+    for d, r in enumerate(rows):
+        h = doc_h[doc_of == d]
+        if not len(h):
+            continue
+        common = [i for i, x in enumerate(items) if 2 * np.isin(x, h).sum() >= len(x)]  # half the score takes as many equal words
+        for i in common:
+            if decontamination.align(items[i][None], h[None])[0][0] >= 0.5 * 2 * len(items[i]):
+                want.add((r["doc_id"], bench[i]["item_id"]))
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated(docs, spark.createDataFrame(bench)).collect()}
+    assert got <= want and len(got) >= 0.9 * len(want) > 5, (len(got), len(want))
+
+
+def test_decontamination_items_that_are_short_long_or_share_an_id(spark):
+    rng = random.Random(7)
+    long = [f"l{rng.randrange(3000)}" for _ in range(4000)]
+    copy = [w if k % 5 else f"e{k}" for k, w in enumerate(long)]
+    rows = [(k, f"the cat and the dog number {k} sat on the mat") for k in range(300)] + [(7, "quixotic zephyr vortex"), (8, " ".join(["pad"] * 900 + copy)), (9, " ".join(long[:1500]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = [(1, "the"), (2, "quixotic zephyr vortex"), (3, " ".join(long)), (4, "the cat and the dog number 12 sat on the mat"), (4, "cat and the dog number 12 sat on the mat"), (None, "and the")]
+    got = decontamination.contaminated(docs, spark.createDataFrame(items, "item_id long, text string"), most_chance=1e-6).collect()
+    pairs = [(r["doc_id"], r["item_id"]) for r in got]
+    assert len(pairs) == len(set(pairs)) and {i for _, i in pairs} == {2, 3, 4}
+    assert (7, 2) in pairs and (8, 3) in pairs and (9, 3) not in pairs and (12, 4) in pairs
+
+
 # 4
 @pytest.mark.parametrize("slack", [0.0, 0.1])
 def test_sharding(spark, docs, slack):
@@ -194,6 +237,45 @@ def test_sharding(spark, docs, slack):
     assert sharding.shard(docs.limit(0), shards=7).count() == 0
     few = sharding.shard(docs.limit(3), shards=7).collect()
     assert sorted(r["shard"] for r in few) == [0, 1, 2]
+    carried = sharding.shard(docs, shards=7, vnodes=32, slack=slack, carry=True)
+    assert set(docs.columns) <= set(carried.columns) and len(carried.columns) == len(set(carried.columns))
+    assert table(carried, "doc_id", "text_crc32", "shard") == sorted(((r["doc_id"], r["text_crc32"], r["shard"]) for r in got), key=str)
+    assert table(carried, "doc_id", "text", "lang") == table(docs, "doc_id", "text", "lang")
+
+
+@pytest.mark.parametrize("slack", [0.0, 0.15])
+def test_sharding_is_a_walk_on_the_ring(spark, slack):
+    import bisect
+
+    from pyspark.sql import functions as F
+
+    rows = [(i, "hot" if i % 3 == 0 else f"text {i // 2}") for i in range(3000)] + [(None, "x"), (None, None), (None, "hot")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    points = sharding.ring(5, 16)
+    edges = [p for p, _ in points]
+    at = [r[0] for r in docs.select(F.pmod(F.xxhash64("text"), F.lit(sharding.SPAN))).collect()]
+    arcs = [bisect.bisect_left(edges, x) % len(edges) for x in at]
+    room, over, want = sharding.bounds(len(rows), 5, slack), [], collections.Counter()
+    for arc in sorted(arcs):  # every row by itself: first each arc's own shard, then on from point to point
+        if room[points[arc][1]]:
+            room[points[arc][1]] -= 1
+            want[points[arc][1], arc] += 1
+        else:
+            over.append(arc)
+    for arc in over:
+        k = arc
+        while not room[points[k % len(points)][1]]:
+            k += 1
+        room[points[k % len(points)][1]] -= 1
+        want[points[k % len(points)][1], arc] += 1
+    got = sharding.shard(docs, shards=5, vnodes=16, slack=slack).collect()
+    arc_of = {crc: arc for crc, arc in zip((zlib.crc32((t or "").encode()) for _, t in rows), arcs)}
+    assert collections.Counter((r["shard"], arc_of[r["text_crc32"]]) for r in got) == want
+    shards_of = collections.defaultdict(set)
+    for r in got:
+        shards_of[r["text_crc32"]].add(r["shard"])
+    parted = sum(len(v) > 1 for k, v in shards_of.items() if k != zlib.crc32(b"hot"))
+    assert parted <= 5 + len({(r["shard"], arc_of[r["text_crc32"]]) for r in got}) - len(set(arcs))  # each bound parts one group at most
 
 
 def test_sharding_moves_few_rows_and_holds_hot_keys(spark):
@@ -253,8 +335,25 @@ def test_mixing(spark, docs):
     assert sum(r["n_tokens"] * r["probability"] for r in got) == pytest.approx(0.6 * total, rel=1e-4)
     assert 0.4 * total < sum(r["n_tokens"] for r in got if r["kept"]) < 0.8 * total
     assert mixing.mix(docs.limit(0), targets).count() == 0
-    spread = mixing.mix(docs, targets, keep_share=0.6, few_cells=0).collect()
-    assert sorted((str(r["doc_id"]), round(r["probability"], 6)) for r in spread) == sorted((str(r["doc_id"]), round(r["probability"], 6)) for r in got)
+    joined = mixing.mix(docs, targets, keep_share=0.6, few_cells=0).collect()
+    assert sorted((str(r["doc_id"]), r["probability"]) for r in joined) == sorted((str(r["doc_id"]), r["probability"]) for r in got)
+
+
+def test_sampling_leaves_columns_as_they_are(spark):
+    names = ["_source", "topic", "kept", "n_tokens", "weight", "probability", "c0", "of_lang", "draw", "a.b"]
+    rows = [(i, f"text number {i}", "en", f"s{i % 3}", *(f"{n}{i}" for n in names)) for i in range(60)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", *names])
+    left = mixing.sample(docs, {}, keep_share=0.5)
+    assert left.schema == docs.schema and 10 < left.count() < 50
+    assert set(map(tuple, left.collect())) <= set(rows)
+    kinds = {r["topic"] for r in mixing.mix(docs, {}, columns=["doc_id"], topic_col="kept").collect()}
+    assert kinds == {f"kept{i}" for i in range(60)}
+
+
+def test_raking_settles_when_targets_contradict():
+    # value 0 of the first margin is only found with value 0 of the second
+    w = mixing.rake(np.array([10.0, 10.0, 0.0, 10.0]), [np.array([0, 1, 0, 1]), np.array([0, 0, 1, 1])], [np.array([0.7, 0.3]), np.array([0.5, 0.5])])
+    assert w.sum() == pytest.approx(30) and w[2] == 0 and w[0] + w[1] == pytest.approx(15)
 
 
 def test_mixing_keeps_tokens_in_the_target_shares(spark):
@@ -451,6 +550,15 @@ def test_warc(spark, tmp_path):
     assert warc.read(warc.write(df.limit(0), str(tmp_path)), str(tmp_path)).count() == 0
 
 
+def test_warc_of_a_payload_that_is_a_third_of_the_table(spark, tmp_path):
+    hot, twice = "h" * 1500, "t" * 1500
+    rows = [(i, "u", hot if i % 3 == 0 else twice if i in (1, 2) else f"{i} " * 400) for i in range(3000)] + [(2997, "u", hot), (None, None, hot)]
+    folder = str(tmp_path)
+    got = warc.read(warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4), folder, archive_mb=1), folder).collect()
+    want = [(i, "response" if i not in (1, None) and (i % 3 or i == 2997) else "revisit", 2997 if i is None or (i % 3 == 0 and i != 2997) else 2 if i == 1 else None) for i, _, _ in rows]
+    assert sorted(((r["page_id"], r["record_type"], r["refers_to"]) for r in got), key=str) == sorted(want, key=str)
+
+
 def test_warc_records_stand_alone():
     records = [warc.record(i, f"http://x/{i}", f"<p>{'word ' * i}</p>".encode(), 5 * i + 7, hashlib.sha1(b"").hexdigest(), None, None, "2024-01-01T00:00:00Z") for i in range(300)]
     data, offsets = warc.archive(records)
@@ -540,16 +648,48 @@ def test_quality_classifier(spark, docs):
     assert quality_classifier.score(docs, quality_classifier.fit(docs.limit(0), odd)).count() == docs.count()
 
 
-def test_quality_classifier_keeps_the_labels_beside_many_unlabelled(spark, monkeypatch):
+def test_quality_classifier_keeps_the_labels_beside_many_unlabelled(spark):
     bad, good = "$$ ## BUY || NOW !! " * 12, "A calm sentence follows another one, and nothing in it is odd. "
     rows = [(i, f"{good * (1 + i % 3)}{i}" if i % 2 else f"{bad}{i}") for i in range(6000)]
-    labels = [(i, i % 2) for i in range(40)]
-    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
-    sizes, plain = [], quality_classifier.fit_pu
-    monkeypatch.setattr(quality_classifier, "fit_pu", lambda p, u: (sizes.append((len(p), len(u))), plain(p, u))[1])
-    model = quality_classifier.fit(docs, labels, most_rows=60)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    model = quality_classifier.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels, most_rows=60)
     assert np.any(model["w"])
-    assert sizes[0][0] == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(1, 40, 2)) and 20 < sizes[0][1] < 120
+    assert model["n_positive"] == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(1, 40, 2)) and model["n_unlabelled"] == 60
+    # a third of the rows without an id, all alike: they count once, and the bound holds
+    odd = spark.createDataFrame(rows + [(None, good)] * 3000 + [(None, f"{bad} {i}") for i in range(900)], "doc_id long, text string")
+    assert quality_classifier.fit(odd, labels, most_rows=60)["n_unlabelled"] <= 60
+
+
+def test_non_negative_risk_has_no_better_neighbour():
+    rng = np.random.default_rng(4)
+    p = np.column_stack([rng.normal(1, 1, (300, 2)), np.ones(300)])
+    u = np.column_stack([np.vstack([rng.normal(1, 1, (200, 2)), rng.normal(-1, 1, (400, 2))]), np.ones(600)])
+
+    def risk(b, prior=1 / 3, decay=1e-3):  # plain loops
+        loss = lambda z: math.log1p(math.exp(-z))
+        good = sum(loss(float(x @ b)) for x in p) / len(p)
+        rest = sum(loss(-float(x @ b)) for x in u) / len(u) - prior * sum(loss(-float(x @ b)) for x in p) / len(p)
+        return prior * good + max(0.0, rest) + decay / 2 * float(b[:-1] @ b[:-1])
+
+    b, prior = quality_classifier.fit_pu(p, u, prior=1 / 3, steps=3000)
+    assert prior == 1 / 3
+    best = risk(b)
+    for k in range(3):
+        for step in (-0.05, 0.05):
+            assert risk(b + step * np.eye(3)[k]) >= best - 2e-4
+    assert best < risk(np.zeros(3)) - 0.1
+
+
+@pytest.mark.parametrize("calibrate", ["none", "labels"])
+def test_quality_of_rows_that_were_held_out(spark, calibrate):
+    read = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = quality_classifier.fit(read, labels, calibrate=calibrate)
+    share = labels.agg({"quality": "avg"}).first()[0]
+    assert abs(model["prior"] - share) < 0.1
+    got = {r["doc_id"]: r for r in quality_classifier.score(read, model).collect()}
+    held = [x["quality"] == got[x["doc_id"]]["predicted"] for x in labels.collect() if got[x["doc_id"]]["held_out"]]
+    assert len(held) > 80 and sum(held) / len(held) > 0.95
 
 
 def test_pipeline(spark):
@@ -563,4 +703,22 @@ def test_pipeline(spark):
         assert 0.5 * before.count() < after.count() <= before.count()
         before = after
     got = corpus_pipeline.run(spark, SF)
-    assert {r["doc_id"] for r in got.collect()} == {r["doc_id"] for r in before.collect()}
+    assert table(got, *read.columns) == table(before, *read.columns)
+    assert set(read.columns) < set(got.columns)
+
+
+def test_pipeline_on_odd_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    plain = spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()
+    names = ["_id", "_row", "_source", "topic", "kept", "weight", "id"]
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else r["doc_id"], r["text"], r["lang"], r["source"], *(f"{n}{i}" for n in names)) for i, r in enumerate(plain)]
+    rows += [(None, None, None, None, *names), (None, "", "en", "s", *names)]
+    schema = "doc_id long, text string, lang string, source string, " + ", ".join(f"{n} string" for n in names)
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {tuple(r[c] for c in ("doc_id", "text", "lang", "source", *names)) for r in got} <= set(rows)
+    assert len(got) > 30 and len({r["text"] for r in got}) == len(got)  # texts of one id, or of none, stay apart
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
