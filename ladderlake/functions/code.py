@@ -5,8 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Block keywords that open and close. Fixed values.
-PAIRS = [("IF", "END_IF"), ("CASE", "END_CASE"), ("FOR", "END_FOR"), ("WHILE", "END_WHILE"), ("REPEAT", "END_REPEAT"), ("FUNCTION_BLOCK", "END_FUNCTION_BLOCK"), ("PROGRAM", "END_PROGRAM"), ("STRUCT", "END_STRUCT"), ("TYPE", "END_TYPE")]
+#: Block keywords that the older rules count against each other, in their order.
+LEGACY_PAIRS = {
+    "IF": "END_IF",
+    "CASE": "END_CASE",
+    "FOR": "END_FOR",
+    "WHILE": "END_WHILE",
+    "REPEAT": "UNTIL",
+    "FUNCTION_BLOCK": "END_FUNCTION_BLOCK",
+    "VAR": "END_VAR",
+    "VAR_INPUT": "END_VAR",
+    "VAR_OUTPUT": "END_VAR",
+}
+#: Keywords that open and close blocks in well-formed programs; every kind of VAR section closes with END_VAR.
+PAIRS = {
+    "IF": "END_IF",
+    "CASE": "END_CASE",
+    "FOR": "END_FOR",
+    "WHILE": "END_WHILE",
+    "REPEAT": "END_REPEAT",
+    "FUNCTION_BLOCK": "END_FUNCTION_BLOCK",
+    "VAR(?:_INPUT|_OUTPUT|_IN_OUT|_TEMP|_GLOBAL|_EXTERNAL)?": "END_VAR",
+}
+#: Words of a provider's error that rule a key out for good.
+FATAL_WORDS = ["401", "unauthorized", "invalid api key", "incorrect api key", "invalid_api_key", "insufficient", "quota", "balance", "arrears", "suspended"]
+#: Words of errors that pass by waiting.
+RATE_LIMIT_WORDS = ["429", "rate limit", "too many requests", "rpm limit exceeded", "please complete identity verification", "403"]
+#: Words of errors that need a whole minute.
+MINUTE_WORDS = ["rpm", "403", "identity verification"]
 #: Keywords that a block must hold. Fixed values.
 REQUIRED = ["FUNCTION_BLOCK", "END_FUNCTION_BLOCK", "VAR", "END_VAR"]
 COMMENT = r"(?s)\(\*.*?\*\)|//[^\n]*"
@@ -25,13 +51,24 @@ def auto_repair(code: Column) -> Column:
 
 def remove_comments(code: Column) -> Column:
     """Upper-cased, without comments outside of strings."""
-    return F.upper(F.regexp_replace(code, r"(?s)('[^']*'|\"[^\"]*\")|//[^\n]*|\(\*.*?\*\)", "$1"))
+    return F.upper(F.regexp_replace(code, r"(?s)('[^']*'|\"[^\"]*\")|//[^\r\n]*|\(\*.*?\*\)", "$1"))
 
 
 def strip_comments(code: Column) -> Column:
+    """Block comments go first, over line ends, then line comments."""
     return F.regexp_replace(F.regexp_replace(code, r"(?s)\(\*.*?\*\)", ""), r"//[^\n]*", "")
 
 
+def clean_line(line: Column) -> Column:
+    """Of one line: the line comment goes first, then block comments that end on it."""
+    return F.regexp_replace(F.regexp_replace(line, r"//.*$", ""), r"\(\*.*?\*\)", "")
+
+
+def norm_line(line: Column) -> Column:
+    """Upper case, without comments and outer space."""
+    return F.upper(stripped(strip_comments(line)))
+
+
 def fast_validate(code: Column) -> Column:
     """Message of the first rule that fails, or Passed."""
     missing = ~F.contains(code, F.lit(REQUIRED[0]))
@@ -40,20 +77,38 @@ def fast_validate(code: Column) -> Column:
     return F.when(code.rlike(r"[\p{L}\p{N}_]\s*=\s*[\p{L}\p{N}_]+;"), "Illegal assignment '='").when(missing, "Missing structure keywords").when(F.upper(code).rlike(r"ARRAY ?\[\*\]"), "Dynamic arrays not supported").otherwise("Passed")
 
 
-def imbalance(code: Column) -> Column:
+def two_keyword_validate(code: Column) -> Column:
+    """The shortest rule set: no `=` as an assignment, and two keywords."""
+    illegal = code.rlike(r"(?U)\b\w+\s*=\s*\w+;")
+    missing = ~F.contains(code, F.lit("FUNCTION_BLOCK")) | ~F.contains(code, F.lit("END_VAR"))
+    return F.when(illegal, "Illegal assignment '='").when(missing, "Missing keywords").otherwise("Passed")
+
+
+def imbalance(code: Column, pairs: dict[str, str]) -> Column:
     """The first pair of block keywords whose counts differ, or null."""
     up = F.upper(code)
     out = F.lit(None).cast("string")
-    for a, b in reversed(PAIRS):
-        x, y = F.regexp_count(up, F.lit(rf"\b{a}\b")), F.regexp_count(up, F.lit(rf"\b{b}\b"))
-        out = F.when(x != y, F.concat(F.lit(f"Structural imbalance: {a}("), x.cast("string"), F.lit(f") vs {b}("), y.cast("string"), F.lit(")"))).otherwise(out)
+    for opens, closes in reversed(pairs.items()):
+        x, y = F.regexp_count(up, F.lit(rf"\b{opens}\b")), F.regexp_count(up, F.lit(rf"\b{closes}\b"))
+        name = opens.partition("(")[0]
+        out = F.when(x != y, F.concat(F.lit(f"Structural imbalance: {name}("), x.cast("string"), F.lit(f") vs {closes}("), y.cast("string"), F.lit(")"))).otherwise(out)
     return out
 
 
-def strict_validate(code: Column) -> Column:
-    plain = strip_comments(code)
-    wrong = imbalance(plain)
-    return F.when(plain.rlike(r"(^|[^:<>])=([^=]|$)"), "Assignment Error").when(wrong.isNotNull(), wrong).otherwise("Passed")
+def strict_validate(code: Column, legacy: bool = True) -> Column:
+    """Message of the first rule that fails. legacy: as the older rules are, whose `//` takes the rest of the text and whose pairs include each kind of VAR section; otherwise with comments by line and PAIRS."""
+    plain = F.regexp_replace(code, r"(?s)//.*|\(\*.*?\*\)", "") if legacy else strip_comments(code)
+    wrong = imbalance(plain, LEGACY_PAIRS if legacy else PAIRS)
+    up = F.upper(plain)
+    missing = F.lit(False)
+    for k in REQUIRED:
+        missing = missing | ~F.contains(up, F.lit(k))
+    return (
+        F.when(plain.rlike(r"(?<![:<>])=(?!=)"), "Assignment Error: Found '=' instead of ':=' for assignment.")
+        .when(wrong.isNotNull(), wrong)
+        .when(missing, "Standard Structure Error: Missing FB or VAR declarations.")
+        .otherwise("Passed All Strict Checks")
+    )
 
 
 def declared_vars(code: Column) -> Column:
@@ -78,36 +133,110 @@ def clean_json(raw: Column) -> Column:
     return F.coalesce(F.when(F.try_parse_json(obj).isNotNull(), obj), F.when(F.try_parse_json(arr).isNotNull(), arr), F.when((F.locate("{", t) > 0) & ((F.locate("[", t) == 0) | (F.locate("{", t) < F.locate("[", t))), obj).otherwise(arr), t)
 
 
+def clean_json_span(raw: Column) -> Column:
+    """The older cleaner: without fences, the span from the first brace to the last, else of brackets, else empty."""
+    t = stripped(F.regexp_replace(raw, r"(?i)```json|```", ""))
+    has = lambda x: F.locate(x, t) > 0
+    span = lambda a, b: t.substr(F.locate(a, t), F.greatest(F.length(t) - F.locate(b, F.reverse(t)) + 2 - F.locate(a, t), F.lit(0)))
+    return F.when(has("{") & has("}"), span("{", "}")).when(has("[") & has("]"), span("[", "]")).otherwise("")
+
+
 def task_key(instruction: Column) -> Column:
     return F.substring_index(instruction, "for: ", -1)
 
 
+def tasks_of(reply: Column) -> Column:
+    """Strings of over 10 characters in a model's JSON reply: of the list, or of an object's `tasks`, or, where these are missing or empty, of its first value."""
+    as_list = lambda j: F.try_variant_get(F.try_parse_json(j), "$", "array<variant>")
+    fields = F.from_json(reply, "map<string,string>")
+    named = as_list(F.element_at(fields, F.lit("tasks")))
+    first = as_list(F.element_at(F.map_values(fields), F.lit(1)))
+    items = F.coalesce(as_list(reply), F.when(F.size(named) > 0, named), F.when(F.size(fields) > 0, first))
+    strings = F.transform(F.filter(items, lambda x: F.schema_of_variant(x) == "STRING"), lambda x: F.try_variant_get(x, "$", "string"))
+    return F.coalesce(F.filter(strings, lambda x: F.length(x) > 10), F.array().cast("array<string>"))
+
+
+def _any_of(text: Column, words: list[str]) -> Column:
+    found = F.lit(False)
+    for w in words:
+        found = found | F.contains(text, F.lit(w))
+    return found
+
+
 def triage(message: Column) -> Column:
     """fatal, rate_limit or other, fatal words first."""
     m = F.lower(message)
-    return F.when(m.rlike("quota|balance|arrear|invalid api key|unauthorized|401"), "fatal").when(m.rlike("rate limit|429|rpm|tpm|403|identity verification"), "rate_limit").otherwise("other")
+    return F.when(_any_of(m, FATAL_WORDS), "fatal").when(_any_of(m, RATE_LIMIT_WORDS), "rate_limit").otherwise("other")
 
 
 def wait_seconds(message: Column, attempt: Column) -> Column:
-    m = F.lower(message)
-    return F.when(triage(message) != "rate_limit", None).when(m.rlike("rpm|403|identity verification"), 60).otherwise(3 * (attempt + 1)).cast("long")
+    """Of a rate limit: a minute, or three seconds more with each attempt (from 0)."""
+    return F.when(triage(message) == "rate_limit", F.when(_any_of(F.lower(message), MINUTE_WORDS), 60).otherwise(3 * (attempt + 1))).cast("long")
+
+
+#: Loops and branches that a line's head opens and an END_ word closes.
+CONTROL = ["IF", "FOR", "CASE", "WHILE", "REPEAT"]
+
+
+def head_of(line: Column, kind: str) -> Column:
+    """Whether a cleaned line begins a structure of this kind; ELSIF begins none."""
+    return line.rlike(rf"(?i)^\s*{kind}\b")
+
+
+def ends_of(line: Column, kind: str) -> Column:
+    return F.regexp_count(line, F.lit(rf"(?i)\bEND_{kind}\b"))
 
 
 def ctrl_delta(line: Column) -> Column:
-    """Blocks that a line opens less those that it closes."""
-    up = F.upper(strip_comments(line))
-    closes = F.regexp_count(up, F.lit(r"\bEND_(IF|CASE|FOR|WHILE|REPEAT)\b"))
-    opens = F.when(up.rlike(r"^\s*IF\b"), 1).otherwise(0) + F.when(up.rlike(r"^\s*CASE\b"), 1).otherwise(0) + F.when(up.rlike(r"^\s*FOR\b"), 1).otherwise(0) + F.when(up.rlike(r"^\s*WHILE\b"), 1).otherwise(0) + F.when(up.rlike(r"^\s*REPEAT\b"), 1).otherwise(0)
-    return (opens - closes).cast("long")
+    """Structures that a line opens less those that it closes. A line opens at most one of each kind, at its beginning."""
+    t = clean_line(line)
+    delta = F.lit(0)
+    for kind in CONTROL:
+        at = F.regexp_replace(t, r"(?i)\bELSIF\b", "") if kind == "IF" else t
+        delta = delta + head_of(at, kind).cast("int") - ends_of(t, kind)
+    return delta.cast("long")
+
+
+def clamped_depths(lines: Column) -> Column:
+    """Depth after each line of an array of lines; it never falls below 0."""
+    start = F.struct(F.lit(0).cast("long").alias("d"), F.array().cast("array<long>").alias("all"))
+
+    def step(acc: Column, line: Column) -> Column:
+        d = F.greatest(acc["d"] + ctrl_delta(line), F.lit(0).cast("long"))
+        return F.struct(d.alias("d"), F.array_append(acc["all"], d).alias("all"))
+
+    return F.aggregate(lines, start, step, lambda acc: acc["all"])
+
+
+def line_class(line: Column) -> Column:
+    """if, elsif, else, end_if, label, code or blank. `IF(` without a space counts as code here, though it opens a structure for ctrl_delta."""
+    t = norm_line(line)
+    label = ~t.contains(":=") & t.rlike(r":(?!=)")
+    return F.when(t == "", "blank").when(t.startswith("IF "), "if").when(t.startswith("ELSIF "), "elsif").when((t == "ELSE") | t.startswith("ELSE "), "else").when(t.startswith("END_IF"), "end_if").when(label, "label").otherwise("code")
 
 
 def normal_var(name: Column) -> Column:
-    """Null for constants and numbers."""
-    return F.when(F.upper(name).isin("TRUE", "FALSE") | name.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), None).otherwise(name)
+    """The trimmed name; null for truth values and for whatever reads as a number: signs, underscores between digits, exponents, nan and infinity."""
+    t = stripped(name)
+    number = r"(?i)^[+-]?((\d(_?\d)*\.?(\d(_?\d)*)?|\.\d(_?\d)*)(e[+-]?\d(_?\d)*)?|nan|inf|infinity)$"
+    return F.when(F.upper(t).isin("TRUE", "FALSE") | t.rlike(number), None).otherwise(t)
 
 
 def is_fb_type(name: Column) -> Column:
-    return F.upper(name).rlike("_FB$")
+    """All in upper case, with the ending of function blocks."""
+    return (name == F.upper(name)) & name.endswith("_FB")
+
+
+def severity(level: Column) -> Column:
+    """Of an XML fault's level: anything but a warning or a fatal one is an error."""
+    return F.when(level.isin("WARNING", "FATAL"), level).otherwise("ERROR")
+
+
+def schema_version(file_name: Column) -> Column:
+    """Edition in a schema's file name, such as Ed1.0 of X_Ed1_0.xsd, or null."""
+    stem = F.regexp_replace(F.substring_index(file_name, "/", -1), r"\.[^.]+$", "")
+    part = F.try_element_at(F.split(stem, "_Ed"), F.lit(2))
+    return F.concat(F.lit("Ed"), F.translate(part, "_", "."))
 
 
 def schema_class(value: Column) -> Column:

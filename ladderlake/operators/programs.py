@@ -10,7 +10,7 @@ import json
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -72,6 +72,21 @@ def parse(df: DataFrame, keep: list[str]) -> DataFrame:
     return _flat(df, keep, "status string, message string, n_units long, ast string", make)
 
 
+def checked(df: DataFrame, keep: list[str], code: Column) -> DataFrame:
+    """df with `_fault`: the parser's message, or null where the code parses or is null."""
+
+    def make(code):
+        try:
+            if code is not None:
+                syntax.parse(code)
+        except syntax.SyntaxFault as e:
+            yield (f"Syntax Errors:\n{e}",)
+        else:
+            yield (None,)
+
+    return _flat(df.withColumn("_to_parse", code), keep, "_fault string", make, ("_to_parse",))
+
+
 def unparsed(df: DataFrame, keep: list[str]) -> DataFrame:
     """The text of each program's tree."""
 
@@ -109,7 +124,7 @@ def accesses(df: DataFrame, keep: list[str]) -> DataFrame:
 
     def make(code):
         for u in syntax.units_of(_trees(code)):
-            for k, s in enumerate(rewrite._statements(u["body"])):
+            for k, s in enumerate(rewrite.statements(u["body"])):
                 yield u["name"], k, s["line"], s["kind"], sorted(dependence.reads(s)), sorted(dependence.writes(s))
 
     return _flat(df, keep, "unit string, stmt int, line int, kind string, reads array<string>, writes array<string>", make)

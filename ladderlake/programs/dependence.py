@@ -371,18 +371,17 @@ def slices(unit: dict) -> list[dict]:
 
 
 def cluster(found: list[dict], share: float = 0.5) -> list[dict]:
-    """Slices joined greedily, in order: one joins the first group with whose statements its own have a Jaccard similarity of `share` or more. The group then has the statements of both."""
+    """Slices joined greedily, in order: one joins the first group with which it has at least `share` of the smaller one's statements in common. The group then has the statements of both. Empty ones stay by themselves."""
     groups: list[dict] = []
     for s in found:
         mine = set(s["stmts"])
-        for g in groups:
-            both = g["stmts"] | mine
-            if both and len(g["stmts"] & mine) >= share * len(both):
-                g["stmts"], g["lines"] = both, g["lines"] | set(s["lines"])
-                g["vars"].append(s["var"])
-                break
-        else:
+        fits = (g for g in groups if mine and g["stmts"] and len(g["stmts"] & mine) >= share * min(len(g["stmts"]), len(mine)))
+        g = next(fits, None)
+        if g is None:
             groups.append({"stmts": mine, "lines": set(s["lines"]), "vars": [s["var"]]})
+        else:
+            g["stmts"], g["lines"] = g["stmts"] | mine, g["lines"] | set(s["lines"])
+            g["vars"].append(s["var"])
     return [{"vars": g["vars"], "lines": sorted(g["lines"]), "n_stmts": len(g["stmts"])} for g in groups]
 
 
@@ -390,7 +389,7 @@ def symbols(unit: dict) -> list[dict]:
     """Declared variables with their storage and type; is_fb by the type's name, as in the columns' `is_fb_type`."""
     from .text import words
 
-    return [{"name": n, "storage": s["storage"], "type": words(d["type"]), "is_fb": d["type"][0].upper().endswith("_FB"), "line": d["line"]} for s in unit["sections"] for d in s["vars"] for n in d["names"]]
+    return [{"name": n, "storage": s["storage"], "type": words(d["type"]), "is_fb": d["type"][0].isupper() and d["type"][0].endswith("_FB"), "line": d["line"]} for s in unit["sections"] for d in s["vars"] for n in d["names"]]
 
 
 def undeclared(unit: dict) -> list[str]:

@@ -26,11 +26,11 @@ def _walk(e: dict):
         todo += [i for a in x.get("access", ()) if a[0] == "[" for i in a[1]]
 
 
-def _statements(body: list[dict]):
+def statements(body: list[dict]):
     for s in body:
         yield s
         for b in syntax.bodies(s):
-            yield from _statements(b)
+            yield from statements(b)
 
 
 def commute(e: dict, rng: random.Random) -> None:
@@ -49,7 +49,7 @@ def invert(s: dict, rng: random.Random) -> None:
 
 def independent(a: dict, b: dict) -> bool:
     """Whether two statements can change places: no calls or jumps, no hazard."""
-    barrier = lambda s: any(x["kind"] in ("call", "exit", "continue", "return") or not all(map(_pure, syntax.expressions(x))) for x in _statements([s]))
+    barrier = lambda s: any(x["kind"] in ("call", "exit", "continue", "return") or not all(map(_pure, syntax.expressions(x))) for x in statements([s]))
     if barrier(a) or barrier(b):
         return False
     ra, wa, rb, wb = reads(a), writes(a), reads(b), writes(b)
@@ -67,7 +67,7 @@ def reorder(body: list[dict], rng: random.Random) -> None:
 def rename(unit: dict, rng: random.Random, share: float = 0.7) -> None:
     """Gives that share of the unit's own variables (longer than one letter, not all upper case) new names, at each place: declarations, types, counters, calls."""
     taken = {n.upper() for s in unit["sections"] for d in s["vars"] for n in d["names"]} | {unit["name"].upper()}
-    for s in _statements(unit["body"]):
+    for s in statements(unit["body"]):
         taken |= reads(s, False) | writes(s, False)
     new: dict[str, str] = {}
     for s in unit["sections"]:
@@ -85,7 +85,7 @@ def rename(unit: dict, rng: random.Random, share: float = 0.7) -> None:
             for part in ("type", "init"):
                 w = d[part] or []
                 d[part] = [swap(x) if not k or w[k - 1] != "." else x for k, x in enumerate(w)] if d[part] else d[part]
-    for s in _statements(unit["body"]):
+    for s in statements(unit["body"]):
         if s["kind"] == "for":
             s["var"] = swap(s["var"])
         for e in syntax.expressions(s) + ([s["name"]] if s["kind"] == "call" else []):
@@ -98,7 +98,7 @@ def variant(trees: list[dict], seed: str) -> list[dict]:
     """One variant of a text's trees. They are changed in place."""
     rng = random.Random(seed)
     for u in syntax.units_of(trees):
-        for s in list(_statements(u["body"])):
+        for s in list(statements(u["body"])):
             for e in syntax.expressions(s):
                 commute(e, rng)
             invert(s, rng)

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions import code as C
+from ..operators.cleaning import funneled
 
 
 def read_stream(spark: SparkSession, path: str, files_at_once: int = 100) -> DataFrame:
@@ -15,10 +14,9 @@ def read_stream(spark: SparkSession, path: str, files_at_once: int = 100) -> Dat
 
 
 def funnel(records: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """The first record of each task that arrives within the delay, with its repaired code and quality. Keys older than the delay leave the state. Also takes a DataFrame that isn't a stream."""
+    """The first record of each task that arrives within the delay, with its repaired code, quality and error. Keys older than the delay leave the state. Also takes a DataFrame that isn't a stream."""
     once = records.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["task"]) if records.isStreaming else records.dropDuplicates(["task"])
-    r = once.withColumn("code", C.auto_repair(F.col("code")))
-    return r.withColumn("quality", F.when(F.col("code") == "", "empty").when(C.fast_validate(F.col("code")) != "Passed", "basic_error").otherwise("golden"))
+    return funneled(once)
 
 
 def write_stream(funneled: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:

@@ -25,5 +25,6 @@ def test_query(spark, con, name):
     names = [d[0] for d in want.description]
     assert sorted(names) == columns
     rows = [tuple(dict(zip(names, r))[c] for c in columns) for r in want.fetchall()]
+    assert rows
     norm = lambda r: tuple(float(x) if x.__class__.__name__ == "Decimal" else x for x in r)
     assert sorted(map(norm, map(tuple, got.select(*columns).collect())), key=str) == sorted(map(norm, rows), key=str)
