@@ -17,14 +17,18 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
-def test_query(spark, con, name):
-    got = catalogue.QUERIES[name](spark, SF)
+def same(spark, con, queries, name):
+    got = queries.QUERIES[name](spark, SF)
     columns = sorted(got.columns)
-    want = con.execute(catalogue.ORACLE_SQL[name])
+    want = con.execute(queries.ORACLE_SQL[name])
     names = [d[0] for d in want.description]
     assert sorted(names) == columns
     rows = [tuple(dict(zip(names, r))[c] for c in columns) for r in want.fetchall()]
     assert rows
     norm = lambda r: tuple(float(x) if x.__class__.__name__ == "Decimal" else x for x in r)
     assert sorted(map(norm, map(tuple, got.select(*columns).collect())), key=str) == sorted(map(norm, rows), key=str)
+
+
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
+def test_query(spark, con, name):
+    same(spark, con, catalogue, name)

@@ -102,7 +102,7 @@ def test_round_trip_and_variants_compute_the_same(seed):
     before = copy.deepcopy(trees)
     for u in before:
         rng = random.Random(seed)
-        for s in list(rewrite._statements(u["body"])):
+        for s in list(rewrite.statements(u["body"])):
             for e in syntax.expressions(s):
                 rewrite.commute(e, rng)
             rewrite.invert(s, rng)
@@ -230,7 +230,7 @@ def test_records(spark, tmp_path):
     (tmp_path / "x.jsonl").write_text('{"prompt": "a"}\nbroken\n')
     assert {(r.prompt, r.bad_line) for r in R.read_jsonl(spark, str(tmp_path / "x.jsonl"), R.DPO).collect()} == {("a", None), (None, "broken")}
     (tmp_path / "y.json").write_text(json.dumps(rows))
-    assert R.read_json_array(spark, str(tmp_path / "y.json"), R.DPO).count() == 2
+    assert R.read_json_arrays(spark, str(tmp_path / "y.json"), R.DPO).count() == 2
 
 
 def test_streamed_funnel(spark, tmp_path):
