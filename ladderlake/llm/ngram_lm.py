@@ -39,7 +39,9 @@ from .elias_fano import EliasFano, pack, unpack
 
 END = np.uint64(0x1D8AF066F6C2B5A7)
 DISCOUNT = 0.75
-SLICE = 2 << 20
+SLICE = 1 << 20
+#: N-grams that a task gathers before it hands them over, sorted and summed.
+HELD = 600_000
 BLOCKS = "bucket long, n long, keys binary, counts binary"
 U64 = np.uint64
 
@@ -116,7 +118,7 @@ def counted(docs: DataFrame, keys_of, bucket_of, least: int) -> DataFrame:
             for lo, hi in slices(batch.column(0), SLICE):
                 held.append(keys_of(batch.column(0)[lo:hi]))
                 size += len(held[-1][0])
-                if size > 1_500_000:
+                if size > HELD:
                     yield out()
                     held, size = [], 0
         if size:
@@ -188,14 +190,20 @@ class Trie:
         return out
 
     @staticmethod
-    def _counts(sums: list[EliasFano], begin: np.ndarray, i: np.ndarray) -> np.ndarray:
+    def _by_shard(begin: np.ndarray, i: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(shard, places in i) of the numbers i from 0, by the shards that begin at `begin`."""
+        o = np.argsort(i)
+        cut = np.searchsorted(i[o], begin)
+        for s in np.flatnonzero(np.diff(cut)):
+            yield s, o[cut[s] : cut[s + 1]]
+
+    @classmethod
+    def _counts(cls, sums: list[EliasFano], begin: np.ndarray, i: np.ndarray) -> np.ndarray:
         """Counts number i, from sums of shards that begin at `begin`; 0 for -1."""
         out = np.zeros(len(i), np.int64)
-        of = np.searchsorted(begin, i, "right") - 1
-        for s in np.unique(of[i >= 0]):
-            here = np.flatnonzero((of == s) & (i >= 0))
-            k = i[here] - begin[s]
-            out[here] = (sums[s].get(k + 1) - sums[s].get(k)).astype(np.int64)
+        for s, here in cls._by_shard(begin, i):
+            low, high = sums[s].pair(i[here] - begin[s])
+            out[here] = (high - low).astype(np.int64)
         return out
 
     def counts(self, ids: np.ndarray) -> np.ndarray:
@@ -214,9 +222,9 @@ class Trie:
             a, b = cut[s], cut[s + 1]
             if b > a:
                 local = context[a:b] - begin[s]
-                own, back = np.unique(local, return_inverse=True)
-                pointer = self.pointers[level][s]
-                lo, hi = pointer.get(own).astype(np.int64), pointer.get(own + 1).astype(np.int64)
+                new = np.concatenate([[True], local[1:] != local[:-1]])
+                back = np.cumsum(new) - 1
+                lo, hi = (p.astype(np.int64) for p in self.pointers[level][s].pair(local[new]))
                 got = self.children[level][s].find(local.astype(U64) * U64(self.V) + word[a:b].astype(U64), lo[back], hi[back])
                 out[a:b] = np.where(got >= 0, got + at, -1)
             at += self.children[level][s].n
@@ -224,9 +232,7 @@ class Trie:
 
     def _coded(self, level: int, name: str, begin: np.ndarray, i: np.ndarray) -> np.ndarray:
         out = np.zeros(len(i))
-        of = np.searchsorted(begin, i, "right") - 1
-        for s in np.unique(of):
-            here = np.flatnonzero(of == s)
+        for s, here in self._by_shard(begin, i):
             a = self.level[level][s]
             out[here] = a[f"{name}.levels"][a[f"{name}.code"][i[here] - begin[s]]]
         return out
@@ -280,12 +286,12 @@ def _save(folder: str, name: str, arrays: dict[str, np.ndarray]) -> str:
     return path
 
 
-def build(docs: DataFrame, min_count: int = 1, shard_words: int = 1_000_000, shard_mb: int = 6) -> dict:
+def build(docs: DataFrame, min_count: int = 1, shard_words: int = 1_000_000, shard_mb: int = 8) -> dict:
     """The model of a table of texts (column text): its files are in the shared folder; what is returned has a line for each shard. There are as many shards as the words and the texts' size ask for."""
     spark = docs.sparkSession
     folder = new_path(spark, "lm")
     size, rows = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
-    power = max(4, int(np.ceil(np.log2(max(1, (size or 0) / (8 << 20))))))
+    power = max(4, int(np.ceil(np.log2(max(1, (size or 0) / (3 << 20))))))  # of buckets: about 3 MB of text each
     buckets = 1 << power
 
     def words(column: pa.Array):
@@ -429,7 +435,7 @@ def score(docs: DataFrame, info: dict) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = trie(info)
         for batch in batches:
-            for lo, hi in slices(batch.column(2), SLICE):
+            for lo, hi in slices(batch.column(2), 2 * SLICE):
                 t = Tokens(batch.column(2)[lo:hi])
                 c, base, p = token_scores(model, t, info["min_count"])
                 sums = [np.add.reduceat(x, t.first[:-1]) for x in ((c > 0).astype(np.int64), base, p)]
