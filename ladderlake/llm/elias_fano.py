@@ -11,7 +11,25 @@ import json
 import numpy as np
 
 U64 = np.uint64
-_HALVES = [(32, 0xFFFFFFFF), (16, 0xFFFF), (8, 0xFF), (4, 0xF), (2, 0x3), (1, 0x1)]
+_ONES, _TOPS = U64(0x0101010101010101), U64(0x8080808080808080)
+#: Place of the r-th one of each byte, at 8 * byte + r.
+_IN_BYTE = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[:8] for b in range(256)], np.uint8).ravel()
+
+
+def in_word(x: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Place of the r-th one (from 0) of each word: sums of ones up to each byte find the byte, a table the place in it."""
+    s = x - ((x >> U64(1)) & U64(0x5555555555555555))
+    s = (s & U64(0x3333333333333333)) + ((s >> U64(2)) & U64(0x3333333333333333))
+    s = ((s + (s >> U64(4))) & U64(0x0F0F0F0F0F0F0F0F)) * _ONES
+    r = r.astype(U64)
+    place = np.bitwise_count(((r * _ONES | _TOPS) - s) & _TOPS).astype(U64) << U64(3)
+    before = ((s << U64(8)) >> place) & U64(0xFF)
+    return place.astype(np.int64) + _IN_BYTE[((((x >> place) & U64(0xFF)) << U64(3)) + (r - before)).astype(np.int64)]
+
+
+def trailing(x: np.ndarray) -> np.ndarray:
+    """Number of zeros below the lowest one; 64 for 0."""
+    return np.bitwise_count((x & (~x + U64(1))) - U64(1)).astype(np.int64)
 
 
 def pack(arrays: dict[str, np.ndarray]) -> bytes:
@@ -64,18 +82,8 @@ class EliasFano:
 
     def _select(self, counts: np.ndarray, k: np.ndarray, flip: bool) -> np.ndarray:
         word = np.searchsorted(counts, k, "right") - 1
-        rest = (k - counts[word]).astype(np.int64)
         x = self.high[word]
-        if flip:
-            x = ~x
-        at = np.zeros(len(k), np.int64)
-        for half, mask in _HALVES:
-            below = np.bitwise_count(x & U64(mask)).astype(np.int64)
-            go = rest >= below
-            rest -= np.where(go, below, 0)
-            x = np.where(go, x >> U64(half), x)
-            at += np.where(go, half, 0)
-        return word * 64 + at
+        return word * 64 + in_word(~x if flip else x, k - counts[word])
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.l:
@@ -92,22 +100,39 @@ class EliasFano:
             return np.zeros(0, U64)
         return ((self._select(self.ones, i, False) - i).astype(U64) << U64(self.l)) | self._low(i)
 
+    def pair(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values number i and i + 1: the second one is mostly found in the word of the first."""
+        i = np.asarray(i, np.int64)
+        if not len(i):
+            return np.zeros(0, U64), np.zeros(0, U64)
+        at = self._select(self.ones, i, False)
+        rest = (self.high[at >> 6] >> (at & 63).astype(U64)) >> U64(1)
+        after = at + 1 + trailing(rest)
+        far = np.flatnonzero(rest == 0)
+        after[far] = self._select(self.ones, i[far] + 1, False)
+        return ((at - i).astype(U64) << U64(self.l)) | self._low(i), ((after - i - 1).astype(U64) << U64(self.l)) | self._low(i + 1)
+
     def find(self, x: np.ndarray, lo: np.ndarray | None = None, hi: np.ndarray | None = None) -> np.ndarray:
-        """Number of the value equal to x within [lo, hi), or -1: the successor of x is sought among the values with x's high part."""
+        """Number of the value equal to x within [lo, hi), or -1: the successor of x is sought among the values with x's high part, a run of ones behind the zero of the part before."""
         out = np.full(len(x), -1, np.int64)
         if not self.n or not len(x):
             return out
         live = np.flatnonzero(x <= U64(self.u)) if lo is None else np.flatnonzero((lo < hi) & (x <= U64(self.u)))
         x = x[live]
         h = (x >> U64(self.l)).astype(np.int64)
+        start = np.where(h > 0, self._select(self.zeros, np.maximum(h - 1, 0), True) + 1, 0)
+        run = ~(self.high[np.minimum(start >> 6, len(self.high) - 1)] >> (start & 63).astype(U64))
+        some = np.flatnonzero((run & U64(1)) == 0)
+        live, x, h, start, run = live[some], x[some], h[some], start[some], run[some]
+        length = trailing(run)
+        over = np.flatnonzero((start & 63) + length >= 64)  # the run may go on in the next word
+        begin, end = start - h, start + length - h
+        end[over] = self._select(self.zeros, h[over], True) - h[over]
         want = x & U64((1 << self.l) - 1)
-        end = self._select(self.zeros, h, True) - h
-        begin = np.where(h > 0, self._select(self.zeros, np.maximum(h - 1, 0), True) - (h - 1), 0)
         if lo is not None:
             begin, end = np.maximum(begin, lo[live]), np.minimum(end, hi[live])
-        some = np.flatnonzero(begin < end)
-        live, want, b, e, stop = live[some], want[some], begin[some], end[some], end[some]
-        todo = np.arange(len(b))
+        b, e, stop = begin, end.copy(), end
+        todo = np.flatnonzero(b < e)
         while len(todo):
             mid = (b[todo] + e[todo]) >> 1
             less = self._low(mid) < want[todo]
