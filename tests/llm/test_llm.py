@@ -12,7 +12,7 @@ import pytest
 
 from ladderlake.llm import decontamination, jaccard_join, language_id, line_dedup, mixing, ngram_lm, quality_classifier, quality_rules, sharding, warc
 from ladderlake.llm._text import Words, byte_view
-from ladderlake.llm.elias_fano import EliasFano
+from ladderlake.llm.elias_fano import EliasFano, in_word
 
 SF = "/root/testdata/sf0.001"
 ASCII_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -63,6 +63,17 @@ def test_elias_fano_reads_back_and_finds():
         q = np.unique(np.concatenate([v, rng.integers(0, u, 500, dtype=np.uint64, endpoint=False)]))
         at = {int(x): i for i, x in enumerate(v)}
         assert e.find(q).tolist() == [at.get(int(x), -1) for x in q]
+        low, high = e.pair(np.arange(len(v) - 1))
+        assert (low == v[:-1]).all() and (high == v[1:]).all()
+    dense = np.sort(np.concatenate([np.arange(1000, 1400), rng.integers(0, 2**30, 90), [2**40]])).astype(np.uint64)
+    e = EliasFano(EliasFano.encode(dense, 2**41, "a"), "a")
+    assert (e.get(np.arange(len(dense))) == dense).all() and (e.pair(np.arange(len(dense) - 1))[1] == dense[1:]).all()
+    q = np.arange(990, 1420).astype(np.uint64)
+    assert [dense[i] if i >= 0 else None for i in e.find(q)] == [x if x in dense else None for x in q]
+    words = rng.integers(1, 2**63, 200, dtype=np.uint64)
+    for r in (0, 3, 11):
+        some = words[np.bitwise_count(words) > r]
+        assert in_word(some, np.full(len(some), r)).tolist() == [[i for i in range(64) if int(x) >> i & 1][r] for x in some]
 
 
 # 1
