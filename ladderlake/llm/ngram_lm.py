@@ -81,8 +81,11 @@ def unplanes(raw: bytes, dtype) -> np.ndarray:
 
 
 def blocks_of(keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray) -> pa.RecordBatch:
-    o = np.lexsort((keys, bucket))
-    keys, counts, bucket = keys[o], counts[o].astype(np.uint64), bucket[o]
+    """BLOCKS of sorted keys."""
+    if (bucket[1:] < bucket[:-1]).any():
+        o = np.argsort(bucket.astype(np.uint16) if bucket.max() < 1 << 16 else bucket, kind="stable")
+        keys, counts, bucket = keys[o], counts[o], bucket[o]
+    counts = counts.astype(np.uint64)
     cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(keys) else np.zeros(1, np.int64)
     part = [(keys[a:b], counts[a:b]) for a, b in zip(cut[:-1], cut[1:])]
     return pa.RecordBatch.from_arrays(
@@ -104,11 +107,12 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[start], np.add.reduceat(counts, start)
 
 
-def counted(docs: DataFrame, keys_of, bucket_of, least: int) -> DataFrame:
-    """BLOCKS of keys that occur at least `least` times. keys_of: column of texts -> (keys, counts), distinct; bucket_of: keys -> buckets."""
+def counted(docs: DataFrame, info: dict | None, keys_of, bucket_of, least: int) -> DataFrame:
+    """BLOCKS of keys that occur at least `least` times. keys_of: (trie of info, column of texts) -> (keys, counts), distinct; bucket_of: keys -> buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
+        model = trie(info) if info else None
 
         def out() -> pa.RecordBatch:
             keys, counts = summed(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))
@@ -116,7 +120,7 @@ def counted(docs: DataFrame, keys_of, bucket_of, least: int) -> DataFrame:
 
         for batch in batches:
             for lo, hi in slices(batch.column(0), SLICE):
-                held.append(keys_of(batch.column(0)[lo:hi]))
+                held.append(keys_of(model, batch.column(0)[lo:hi]))
                 size += len(held[-1][0])
                 if size > HELD:
                     yield out()
@@ -137,9 +141,9 @@ def counted(docs: DataFrame, keys_of, bucket_of, least: int) -> DataFrame:
 
 def quantised(x: np.ndarray, name: str) -> dict[str, np.ndarray]:
     """256 levels of log10 probabilities: means of equally many values, or all values where they are few."""
-    levels = np.unique(x)
+    s = np.sort(x)
+    levels = s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) else s
     if len(levels) > 256:
-        s = np.sort(x)
         levels = np.unique([p.mean() for p in np.array_split(s, 256)])
     code = np.searchsorted((levels[1:] + levels[:-1]) / 2, x) if len(levels) else np.zeros(0)
     return {f"{name}.levels": levels.astype(np.float64), f"{name}.code": code.astype(np.uint8)}
@@ -257,7 +261,9 @@ _open: dict[str, Trie] = {}
 
 
 def trie(info: dict) -> Trie:
-    """The worker's trie of this model and stage; an older stage is let go."""
+    """The trie of this model and stage. Where the shared folder is remote, a worker keeps its copy for later tasks, and lets go of an older one; files in reach are mapped for the task only, so idle workers hold none."""
+    if filesystem(info["folder"])[0].type_name == "local":
+        return Trie(info)
     key = f"{info['folder']}/{sorted(info['files'])}"
     if key not in _open:
         _open.clear()
@@ -294,11 +300,11 @@ def build(docs: DataFrame, min_count: int = 1, shard_words: int = 1_000_000, sha
     power = max(4, int(np.ceil(np.log2(max(1, (size or 0) / (3 << 20))))))  # of buckets: about 3 MB of text each
     buckets = 1 << power
 
-    def words(column: pa.Array):
+    def words(_, column: pa.Array):
         t = Tokens(column)
         return t.h, np.bincount(t.of, minlength=len(t.h))
 
-    ones = counted(docs, words, lambda h: (h >> U64(64 - power)).astype(np.int64), 1)
+    ones = counted(docs, None, words, lambda h: (h >> U64(64 - power)).astype(np.int64), 1)
     found = ones.agg(F.sum("n")).first()[0] or 0
     shards = 1 << min(power, max(3, int(np.ceil(np.log2(max(1, found / shard_words, (size or 0) / (shard_mb << 20)))))))
     info = {"folder": folder, "files": {}, "words": [0] * shards, "total": 0, "min_count": min_count}
@@ -336,14 +342,14 @@ def build(docs: DataFrame, min_count: int = 1, shard_words: int = 1_000_000, sha
 
     one = dict(info)
 
-    def pairs(column: pa.Array):
-        model, t = trie(one), Tokens(column)
+    def pairs(model: Trie, column: pa.Array):
+        t = Tokens(column)
         _, _, v, w, both = _pairs(model, t, min_count)
         return np.unique((v[both].astype(U64) << U64(32)) | w[both].astype(U64), return_counts=True)
 
     if int(word0[-1]) >= 1 << 32:
         raise ValueError(f"{word0[-1]} words don't fit the 64-bit keys of bigrams")
-    twos = counted(docs, pairs, bucket_of(word0, 32), min_count)
+    twos = counted(docs, one, pairs, bucket_of(word0, 32), min_count)
     own_shard = F.floor(F.col("bucket") / sub).cast("long")
 
     def level2(shard: int, key: np.ndarray, counts: np.ndarray) -> dict:
@@ -375,8 +381,8 @@ def build(docs: DataFrame, min_count: int = 1, shard_words: int = 1_000_000, sha
     if int(node0[-1]).bit_length() + bits > 64:
         raise ValueError(f"{node0[-1]} bigrams of {word0[-1]} words don't fit the 64-bit keys of trigrams")
 
-    def triples(column: pa.Array):
-        model, t = trie(two), Tokens(column)
+    def triples(model: Trie, column: pa.Array):
+        t = Tokens(column)
         _, _, v, w, both = _pairs(model, t, min_count)
         at = np.flatnonzero(both)
         key, back = np.unique((v[at].astype(U64) << U64(32)) | w[at].astype(U64), return_inverse=True)
@@ -386,7 +392,7 @@ def build(docs: DataFrame, min_count: int = 1, shard_words: int = 1_000_000, sha
         ok = (before >= 0) & (node >= 0)
         return np.unique((before[ok].astype(U64) << U64(bits)) | w[ok].astype(U64), return_counts=True)
 
-    threes = counted(docs, triples, bucket_of(node0, bits), min_count)
+    threes = counted(docs, two, triples, bucket_of(node0, bits), min_count)
 
     def level3(shard: int, key: np.ndarray, counts: np.ndarray) -> dict:
         model = trie(two)
@@ -414,8 +420,11 @@ def token_scores(model: Trie, t: Tokens, least: int) -> tuple[np.ndarray, np.nda
     """(count in training, log10 of the base, log10 of the model) of each token of a slice."""
     ids, c, v, w, both = _pairs(model, t, least)
     low = model.unigram(c)
-    key, at, back = np.unique(((v + 1).astype(U64) << U64(32)) | t.of.astype(U64), return_index=True, return_inverse=True)
-    p, node = model.bigram(v[at], w[at], low[t.of[at]], both[at])
+    key, back = np.unique(((v + 1).astype(U64) << U64(32)) | t.of.astype(U64), return_inverse=True)
+    before, of = (key >> U64(32)).astype(np.int64) - 1, (key & U64(0xFFFFFFFF)).astype(np.int64)
+    some = np.zeros(len(key), bool)
+    some[back] = both  # it depends on the pair alone
+    p, node = model.bigram(before, ids[of], low[of], some)
     p, node = p[back], node[back]
     before = t.before(node, -1)
     third = np.flatnonzero(before >= 0)
