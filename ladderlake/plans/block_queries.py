@@ -160,11 +160,11 @@ def std_strings(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", c("LEN", n).cast("long").alias("len"), c("LEFT", n, i(4)).alias("l"), c("RIGHT", n, i(3)).alias("r"), c("MID", n, i(5), i(2)).alias("m"), c("CONCAT", n, i("-"), n).alias("c"), c("INSERT", n, i("XY"), i(3)).alias("i"), c("DELETE", n, i(3), i(2)).alias("d"), c("REPLACE", n, i("Z"), i(2), i(2)).alias("p"), c("FIND", n, i("#")).cast("long").alias("f"))
 
 
-@query("""SELECT event_id, round(epoch(ts + INTERVAL 90 SECOND) - epoch(ts), 3) AS later, round(epoch(ts - INTERVAL 1 HOUR) - epoch(ts), 3) AS sooner, round(epoch(ts) - epoch(date_trunc('day', ts)), 3) AS of_day, CAST(date_diff('day', DATE '2020-02-28', CAST(ts AS DATE)) AS BIGINT) AS days, 270.0 AS tripled, 45.0 AS halved FROM events""")
+@query("""SELECT event_id, epoch_us(ts + INTERVAL 90 SECOND) - epoch_us(ts) AS later, epoch_us(ts - INTERVAL 1 HOUR) - epoch_us(ts) AS sooner, epoch_us(ts) - epoch_us(CAST(date_trunc('day', ts) AS TIMESTAMP)) AS of_day, CAST(date_diff('day', DATE '2020-02-28', CAST(ts AS DATE)) AS BIGINT) AS days, CAST(270000000 AS BIGINT) AS tripled, CAST(45000000 AS BIGINT) AS halved FROM events""")
 def std_times(spark, sf_dir):
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     ts, t, c = F.col("ts"), F.expr("INTERVAL '90' SECOND"), S.call
-    sec = lambda x: F.round(x.cast("decimal(20,6)").cast("double"), 3)
+    sec = lambda x: (x.cast("decimal(20,6)") * 1_000_000).cast("long")  # noqa: E731  microseconds
     return e.select(
         "event_id", sec(c("SUB_DT_DT", c("ADD_DT_TIME", ts, t), ts).cast("interval second")).alias("later"), sec(c("SUB_DT_DT", c("SUB_DT_TIME", ts, F.expr("INTERVAL '1' HOUR")), ts).cast("interval second")).alias("sooner"), sec(c("SUB_DT_DT", ts, c("CONCAT_DATE_TOD", ts.cast("date"), F.expr("INTERVAL '0' SECOND"))).cast("interval second")).alias("of_day"),
         F.extract(F.lit("DAY"), c("SUB_DATE_DATE", ts.cast("date"), F.lit("2020-02-28").cast("date"))).cast("long").alias("days"), sec(c("MULTIME", t, F.lit(3)).cast("interval second")).alias("tripled"), sec(c("DIVTIME", t, F.lit(2)).cast("interval second")).alias("halved"),
@@ -187,10 +187,10 @@ def std_blocks(spark, sf_dir):
 
 
 @query(f"""WITH RECURSIVE e AS (SELECT user_id, ts, clk, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS i FROM (SELECT user_id, ts, bool_or(clk) AS clk FROM {D_CALLS} x GROUP BY user_id, ts) y), f AS (SELECT user_id, ts, i, clk, ts AS since, clk AS ever FROM e WHERE i = 1 UNION ALL SELECT e.user_id, e.ts, e.i, e.clk, CASE WHEN e.clk = f.clk THEN f.since ELSE e.ts END, f.ever OR e.clk FROM f JOIN e ON e.user_id = f.user_id AND e.i = f.i + 1)
-SELECT user_id, ts, clk AND ts - since >= INTERVAL 1 HOUR AS ton, round(CASE WHEN clk THEN least(epoch(ts) - epoch(since), 3600.0) ELSE 0.0 END, 3) AS ton_et, ever AND (clk OR ts - since < INTERVAL 1 HOUR) AS tof FROM f""")
+SELECT user_id, ts, clk AND ts - since >= INTERVAL 1 HOUR AS ton, CASE WHEN clk THEN least(epoch_us(ts) - epoch_us(since), 3600000000) ELSE 0 END AS ton_et, ever AND (clk OR ts - since < INTERVAL 1 HOUR) AS tof FROM f""")
 def std_timers(spark, sf_dir):
     e = spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("user_id", "ts").agg(F.bool_or(F.col("value") > 40).alias("clk"))
     inputs = {"signal": F.col("clk"), "pt": F.expr("INTERVAL '1' HOUR")}
     e = S.blocks(e, ["user_id"], "ts", "TON", **inputs).withColumnsRenamed({"q": "ton", "et": "ton_et"})
     e = S.blocks(e, ["user_id"], "ts", "TOF", **inputs).withColumnsRenamed({"q": "tof"})
-    return e.select("user_id", "ts", "ton", F.round(F.col("ton_et").cast("interval second").cast("decimal(20,6)").cast("double"), 3).alias("ton_et"), "tof")
+    return e.select("user_id", "ts", "ton", (F.col("ton_et").cast("interval second").cast("decimal(20,6)") * 1_000_000).cast("long").alias("ton_et"), "tof")
