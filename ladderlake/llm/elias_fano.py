@@ -6,6 +6,7 @@ binary search and a broadword step. All operations take arrays of queries.
 
 from __future__ import annotations
 
+import functools
 import json
 
 import numpy as np
@@ -57,7 +58,12 @@ class EliasFano:
     def __init__(self, arrays: dict[str, np.ndarray], name: str) -> None:
         self.low, self.high, self.ones, self.shape = (arrays[f"{name}.{x}"] for x in ("low", "high", "ones", "shape"))
         self.n, self.l, self.u = int(self.shape[0]), int(self.shape[1]), int(self.shape[2])
-        self.zeros = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones
+        self.window = np.ndarray(len(self.low) * 8 - 7, U64, self.low.view(np.uint8), 0, 1)  # the eight bytes from each byte on
+
+    @functools.cached_property
+    def zeros(self) -> np.ndarray:
+        """Zeros before each 64 bits: only sequences that are searched need them."""
+        return np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones
 
     @staticmethod
     def encode(values: np.ndarray, u: int, name: str) -> dict[str, np.ndarray]:
@@ -89,6 +95,8 @@ class EliasFano:
         if not self.l:
             return np.zeros(len(i), U64)
         at = i * self.l
+        if self.l <= 57:  # eight bytes from any place hold it
+            return (self.window[at >> 3] >> (at & 7).astype(U64)) & U64((1 << self.l) - 1)
         w, off = at >> 6, (at & 63).astype(U64)
         x = self.low[w] >> off
         return (x | np.where(off > 0, self.low[w + 1] << ((U64(64) - off) & U64(63)), U64(0))) & U64((1 << self.l) - 1)
@@ -131,14 +139,17 @@ class EliasFano:
         want = x & U64((1 << self.l) - 1)
         if lo is not None:
             begin, end = np.maximum(begin, lo[live]), np.minimum(end, hi[live])
-        b, e, stop = begin, end.copy(), end
-        todo = np.flatnonzero(b < e)
+        b, stop = begin, end
+        todo = np.flatnonzero(b < end)
+        lower, upper, sought = b[todo], end[todo], want[todo]
         while len(todo):
-            mid = (b[todo] + e[todo]) >> 1
-            less = self._low(mid) < want[todo]
-            b[todo[less]] = mid[less] + 1
-            e[todo[~less]] = mid[~less]
-            todo = todo[b[todo] < e[todo]]
+            mid = (lower + upper) >> 1
+            less = self._low(mid) < sought
+            lower, upper = np.where(less, mid + 1, lower), np.where(less, upper, mid)
+            on = lower < upper
+            if not on.all():
+                b[todo] = lower
+                todo, lower, upper, sought = todo[on], lower[on], upper[on], sought[on]
         ok = np.flatnonzero(b < stop)
         ok = ok[self._low(b[ok]) == want[ok]]
         out[live[ok]] = b[ok]

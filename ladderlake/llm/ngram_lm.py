@@ -39,7 +39,7 @@ from .elias_fano import EliasFano, pack, unpack
 
 END = np.uint64(0x1D8AF066F6C2B5A7)
 DISCOUNT = 0.75
-SLICE = 1 << 20
+SLICE = 2 << 20
 #: N-grams that a task gathers before it hands them over, sorted and summed.
 HELD = 600_000
 BLOCKS = "bucket long, n long, keys binary, counts binary"
@@ -194,8 +194,13 @@ class Trie:
         return out
 
     @staticmethod
-    def _by_shard(begin: np.ndarray, i: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """(shard, places in i) of the numbers i from 0, by the shards that begin at `begin`."""
+    def _by_shard(begin: np.ndarray, i: np.ndarray) -> Iterator[tuple[int, np.ndarray | slice]]:
+        """(shard, places in i) of the numbers i from 0, by the shards that begin at `begin`; sorted numbers need no sort."""
+        if (i[1:] >= i[:-1]).all():
+            cut = np.searchsorted(i, begin)
+            for s in np.flatnonzero(np.diff(cut)):
+                yield s, slice(cut[s], cut[s + 1])
+            return
         o = np.argsort(i)
         cut = np.searchsorted(i[o], begin)
         for s in np.flatnonzero(np.diff(cut)):
@@ -402,9 +407,9 @@ def build(docs: DataFrame, min_count: int = 1, shard_words: int = 1_000_000, sha
         spent = np.bincount(node, weights=counts - DISCOUNT, minlength=n)
         left = np.clip(1 - spent / np.maximum(cn, 1), 1e-6, 1)
         v = (model.children[2][shard].get(node) % U64(model.V)).astype(np.int64)  # the second word of each context
-        o = np.lexsort((w, v))
-        low = np.empty(len(key))
-        low[o] = model.bigram(v[o], w[o], model.unigram(model.counts(w[o])), np.ones(len(o), bool))[0]
+        pair, back = np.unique((v.astype(U64) << U64(32)) | w.astype(U64), return_inverse=True)
+        v, w2 = (pair >> U64(32)).astype(np.int64), (pair & U64(0xFFFFFFFF)).astype(np.int64)
+        low = model.bigram(v, w2, model.unigram(model.counts(w2)), np.ones(len(pair), bool))[0][back]
         p = (counts - DISCOUNT) / cn[node] + left[node] * 10**low
         arrays = EliasFano.encode(np.concatenate([[0], np.cumsum(np.bincount(node, minlength=n))]), len(key) + 1, "p") | EliasFano.encode(node.astype(U64) * U64(model.V) + w.astype(U64), max(1, n) * model.V, "x") | quantised(np.log10(p), "q") | quantised(np.log10(left), "b")
         return {"shard": shard, "words": len(key), "total": 0, "path": _save(folder, f"3-{shard}", arrays)}
@@ -428,9 +433,9 @@ def token_scores(model: Trie, t: Tokens, least: int) -> tuple[np.ndarray, np.nda
     p, node = p[back], node[back]
     before = t.before(node, -1)
     third = np.flatnonzero(before >= 0)
+    third = third[np.argsort(before[third].astype(U64) * U64(model.V) + np.maximum(w[third], 0).astype(U64))]  # by context and word, as the children are
     p[third] += model._coded(3, "b", model.node0, before[third])
-    may = third[node[third] >= 0]
-    o = may[np.argsort(before[may], kind="stable")]
+    o = third[node[third] >= 0]
     got = model.find(3, before[o], w[o])
     o, got = o[got >= 0], got[got >= 0]
     begin = np.concatenate([[0], np.cumsum([x.n for x in model.children[3]])]).astype(np.int64)
@@ -444,7 +449,7 @@ def score(docs: DataFrame, info: dict) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = trie(info)
         for batch in batches:
-            for lo, hi in slices(batch.column(2), 2 * SLICE):
+            for lo, hi in slices(batch.column(2), SLICE):
                 t = Tokens(batch.column(2)[lo:hi])
                 c, base, p = token_scores(model, t, info["min_count"])
                 sums = [np.add.reduceat(x, t.first[:-1]) for x in ((c > 0).astype(np.int64), base, p)]
