@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, jaccard_join, language_id, line_dedup, mixing, ngram_lm, quality_classifier, quality_rules, sharding, warc
+from . import decontamination, jaccard_join, language_id, line_dedup, mixing, ngram_lm, quality_classifier, quality_rules, sharding, source_divergence, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,5 +15,6 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_quality_classifier": quality_classifier.op10_quality_classifier,
+    "op13_source_divergence": source_divergence.op13_source_divergence,
 }
-ORACLE_SQL = {"op1_line_dedup": line_dedup.SQL, "op8_warc": warc.SQL}
+ORACLE_SQL = {"op1_line_dedup": line_dedup.SQL, "op8_warc": warc.SQL, "op13_source_divergence": source_divergence.SQL}
