@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, hard_negatives, jaccard_join, language_id, line_dedup, mixing, ngram_lm, quality_classifier, quality_rules, sharding, source_divergence, warc
+from . import decontamination, hard_negatives, html_extraction, jaccard_join, language_id, line_dedup, mixing, ngram_lm, quality_classifier, quality_rules, sharding, source_divergence, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_quality_classifier": quality_classifier.op10_quality_classifier,
+    "op11_html_extraction": html_extraction.op11_html_extraction,
     "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_source_divergence": source_divergence.op13_source_divergence,
 }
