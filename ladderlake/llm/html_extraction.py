@@ -2,7 +2,7 @@
 
 A page becomes a tree of blocks in one pass over its tags. A block is an element that browsers set apart, or a run of text and inline elements between
 two of these. Scripts, forms, navigation, footers, sidebars and elements whose class, id or role says that they are adverts,
-notices, comments or the like are left out of all counts. For each block of the rest, with C characters, T tags, and LC and LT
+notices, comments or the like are left out of all counts, and so are sections headed as comments or the like. For each block of the rest, with C characters, T tags, and LC and LT
 of them in links (b: of the body; K = C - LC; zeros count as 1):
 
     density = C / T * log((C / LC) * (T / LT)) / log(log(C / K * LC + LC_b / C_b * C + e))
@@ -22,6 +22,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -45,6 +46,8 @@ ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog for
 #: Words of class and id that name what isn't the article; the second kind as beginnings of words.
 HINTS = frozenset("ad ads adv adbox adslot adsense banner callout comment comments cta disqus dfp foot gdpr login menu modal nav navbar notice pager popup popover promo prefs rail reply replies respond share sharing shop sidebar sidenav signin signup skip social teaser toast toc toolbar topbar tracking widget".split())
 BEGINNINGS = ("advert", "breadcrumb", "comment", "consent", "cookie", "copyright", "disclaimer", "discussion", "footer", "masthead", "navigation", "newsletter", "notification", "pagination", "paywall", "recommend", "related", "sidebar", "sponsor", "subscri")
+#: Headings of a part that isn't the article, where nothing stands before them in that part.
+OTHERS = re.compile(r"\W*(?:\d+\s+)?(?:reader |user )?(?:comments?|responses?|replies|discussion|leave a (?:reply|comment)|related (?:articles?|stories|posts)|you may also like|newsletter|advertisement)\W*\d*\W*", re.I)
 CONTENT = frozenset("article content entry main post story".split())
 #: An element of these kinds ends an open one of those, where nothing of the third stands between.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th", "caption"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tbody": ({"tbody", "thead", "tfoot", "caption"}, {"table"}), "thead": ({"tbody", "caption"}, {"table"}), "tfoot": ({"tbody", "thead"}, {"table"}), "option": ({"option"}, {"select"})}
@@ -84,6 +87,7 @@ class Page:
         self.c, self.t, self.lc, self.lt = [0], [0], [0], [0]
         self.pieces: list[tuple[int, str]] = []
         self._open: list[tuple[str, int, int, int]] = [("html", 0, 0, 0)]  # kind, block, links around, inline elements around that are left out
+        self._count = Counter(["html"])  # open elements by kind
         self._run = -1
         self._read(source)
 
@@ -123,33 +127,36 @@ class Page:
         self.pieces.append((at, text))
 
     def _close(self, keep: int) -> None:
-        blocks = any(k in BLOCKS or "-" in k for k, *_ in self._open[keep:])
+        gone = [k for k, *_ in self._open[keep:]]
+        blocks = any(k in BLOCKS or "-" in k for k in gone)
+        self._count.subtract(gone)
         del self._open[keep:]
         if blocks:
             self._apart()
 
+    def _last(self, kinds: set[str], stops: set[str] | frozenset[str]) -> int:
+        """Place of the innermost open element of these kinds, if none of the others is in it; else 0."""
+        for k in range(len(self._open) - 1, 0, -1):
+            if self._open[k][0] in kinds:
+                return k
+            if self._open[k][0] in stops:
+                return 0
+        return 0
+
     def _start(self, tag: str, attributes: str) -> None:
-        names = [k for k, *_ in self._open]
         if tag in ("html", "body"):
-            if tag == "html" or "body" in names:
+            if tag == "html" or self._count["body"]:
                 return
             self._close(1)
-        elif tag not in HEAD and "head" in names:
-            self._close(names.index("head"))
-            names = [k for k, *_ in self._open]
+        elif self._count["head"] and tag not in HEAD:
+            self._close(self._last({"head"}, frozenset()))
         block = tag in BLOCKS or "-" in tag
-        if block and "p" in names:
-            k = len(names) - 1 - names[::-1].index("p")
-            if not any(x in BLOCKS for x in names[k + 1 :]):
-                self._close(k)
-                names = names[:k]
+        if block and self._count["p"] and (k := self._last({"p"}, BLOCKS)):
+            self._close(k)
         if tag in CLOSES:
             ends, stops = CLOSES[tag]
-            for k in range(len(names) - 1, 0, -1):
-                if names[k] in stops:
-                    break
-                if names[k] in ends:
-                    self._close(k)
+            while any(self._count[x] for x in ends) and (k := self._last(ends, stops)):
+                self._close(k)
         own, content = judged(tag, attributes if NAMED.search(attributes) else "")
         _, inside, links, out = self._open[-1]
         if block:
@@ -165,10 +172,11 @@ class Page:
             at, out = inside, out + (own == OUT)
         if tag not in VOID:
             self._open.append((tag, at, links + (tag == "a"), out))
+            self._count[tag] += 1
 
     def _end(self, tag: str) -> None:
         block = tag in BLOCKS or "-" in tag
-        for k in range(len(self._open) - 1, 0, -1):
+        for k in range(len(self._open) - 1, 0, -1) if self._count[tag] else ():
             name = self._open[k][0]
             if name == tag:
                 return self._close(k)
@@ -210,9 +218,14 @@ def states(p: Page) -> list[int]:
     every = sum(holds)
     for v in range(n - 1, 0, -1):
         holds[p.parent[v]] += holds[v]
+    titles: dict[int, list[str]] = {v: [] for v in range(n) if p.kind[v] in HEADINGS and p.parent[v] == v - 1 and p.kind[v - 1] in ("section", "div")}
+    for at, text in p.pieces if titles else ():
+        if p.parent[at] in titles:
+            titles[p.parent[at]].append(text)
+    others = {p.parent[v] for v, texts in titles.items() if OTHERS.fullmatch("".join(texts))}
     state, inside = [NONE] * n, [False] * n
     for v in range(1, n):
-        u, own = p.parent[v], p.own[v]
+        u, own = p.parent[v], OUT if v in others else p.own[v]
         inside[v] = inside[u] or p.content[v]
         if own and every and holds[v] == every and p.kind[v] != "article":
             own = NONE
