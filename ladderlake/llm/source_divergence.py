@@ -22,6 +22,7 @@ from ._scratch import written
 
 #: What a term is, and what shares are multiples of.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+GAP = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SCALE = 1_000_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Parts into which a language's vocabulary is dealt before its sources are crossed with it.
@@ -29,12 +30,13 @@ PARTS = 64
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, n_docs): a term's occurrences in a source of a language, and how many of its documents hold it."""
-    words = F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), lambda w: F.translate(w, UPPER, LOWER))
-    each = F.transform(F.col("words"), lambda w: F.struct(w.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("d")))
-    once = F.transform(F.array_distinct("words"), lambda w: F.struct(w.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("d")))
-    terms = docs.select("lang", "source", words.alias("words")).select("lang", "source", F.explode(F.concat(each, once)).alias("t"))
-    return terms.groupBy("lang", "source", F.col("t.term").alias("term")).agg(F.sum("t.n").alias("n"), F.sum("t.d").alias("n_docs"))
+    """(lang, source, term, n, n_docs): a term's occurrences in a source of a language, and how many of its documents hold it. A text is lower-cased as bytes, then parted at what no term holds; its list of terms and that of its distinct terms are counted side by side."""
+    text = F.col("text")
+    for u, low in zip(UPPER, LOWER):
+        text = F.replace(text, F.lit(u), F.lit(low))
+    lists = docs.select("lang", "source", F.split(text, GAP).alias("words")).select("lang", "source", F.posexplode(F.array("words", F.array_distinct("words"))).alias("k", "words"))
+    terms = lists.select("lang", "source", "k", F.explode("words").alias("term")).filter("term <> ''")
+    return terms.groupBy("lang", "source", "term").agg(F.count_if(F.col("k") == 0).alias("n"), F.count_if(F.col("k") == 1).alias("n_docs"))
 
 
 def share(n: str, total: str, v: str) -> Column:
