@@ -5,8 +5,8 @@ else), `label` (a name of the instruction, or null), `target` and `other` (where
 (arrays of variables).
 
 Sets are bits: a row (key, node, part, word, bits) holds 64 members of a node's set. `flow_facts` solves in = OR of the predecessors' out,
-out = gen | (in & ~kill) for all programs together: a round sends only the bits that are new, over a few edges, and ends when none
-is. Reaching definitions, post-dominators (on the reversed edges, as complements) and control dependence are three uses of it.
+out = gen | (in & ~kill) for all programs together: a round sends only the bits that are new over their edges; the last is that in
+which none is. Reaching definitions, post-dominators (on the reversed edges, as complements) and control dependence are three uses of it.
 Rounds grow with the longest way through a program, and each is written to the shared folder, so a lost executor costs one round.
 
 Results of solved sets are tables in that folder. A program without instructions has no rows. Repeated (key, ip) aren't
@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from ..sources.records import work_folder
 from .tables import delete, stored
 
-#: Edges that a round follows before it is written, and instructions whose running sum is taken in one step.
-HOPS, SPAN = 4, 4096
+#: Instructions whose running sum is taken in one step.
+SPAN = 4096
 EXIT = -1
 
 
@@ -64,12 +64,7 @@ def flow_facts(edges: DataFrame, gen: DataFrame, kill: DataFrame, key: list[str]
     past = lambda df: df.join(kill, cell, "left").select(*cell, _less(F.col("bits"), F.col("killed")).alias("bits")).filter("bits <> 0")
     rounds: list[str] = []
     while True:
-        arrived, hop = None, sent
-        for h in range(HOPS):
-            there = edges.join(hop.withColumnRenamed("node", "src"), [*key, "src"]).groupBy(*key, F.col("dst").alias("node"), "part", "word").agg(F.bit_or("bits").alias("bits"))
-            arrived = there if arrived is None else arrived.unionByName(there)
-            hop = past(there) if h < HOPS - 1 else None
-        new = arrived.groupBy(*cell).agg(F.bit_or("bits").alias("bits"))
+        new = edges.join(sent.withColumnRenamed("node", "src"), [*key, "src"]).groupBy(*key, F.col("dst").alias("node"), "part", "word").agg(F.bit_or("bits").alias("bits"))
         if rounds:
             seen = spark.read.parquet(*rounds).join(new.select(*cell), cell, "left_semi").select(*cell, F.lit(0).cast("long").alias("bits"), F.col("bits").alias("old"))
             both = new.withColumn("old", F.lit(0).cast("long")).unionByName(seen).groupBy(*cell).agg(F.bit_or("bits").alias("bits"), F.bit_or("old").alias("old"))
@@ -159,26 +154,32 @@ def reaching(instr: DataFrame, key: list[str], flow: DataFrame | None = None) ->
     return flow_facts(edges(instr, key) if flow is None else flow, gen, kill, key)
 
 
-def def_use(instr: DataFrame, key: list[str], flow: DataFrame | None = None) -> DataFrame:
+def def_use(instr: DataFrame, key: list[str], reach: DataFrame | None = None) -> DataFrame:
     """(key, var, def_ip, use_ip): each use with each definition that reaches it."""
+    reach = reaching(instr, key) if reach is None else reach
     uses = instr.select(*key, F.col("ip").alias("node"), F.explode(F.array_distinct("uses")).alias("part"))
-    found = members(reaching(instr, key, flow).join(uses, [*key, "node", "part"], "left_semi"), key, "def_ip")
+    found = members(reach.join(uses, [*key, "node", "part"], "left_semi"), key, "def_ip")
     return found.select(*key, F.col("part").alias("var"), "def_ip", F.col("node").alias("use_ip"))
 
 
-def postdominators(instr: DataFrame, key: list[str], flow: DataFrame | None = None) -> DataFrame:
-    """(key, ip, by_ip, ends): every way from ip to an end of the program passes by_ip, other than ip. From where no way ends (ends is false), every instruction counts.
-
-    Solved as complements: what an end lacks is all but itself, and a node lacks what any successor lacks, less itself."""
-    flow = edges(instr, key) if flow is None else flow
+def _backwards(instr: DataFrame, flow: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(edges, gen, kill) on the reversed edges, from EXIT through the ends: what a node's way to an end may miss, and (part `ends`) a mark that reaches all from where a way ends."""
     last = instr.select(*key, F.col("ip").alias("src")).join(flow, [*key, "src"], "left_anti").select(*key, F.lit(EXIT).cast("long").alias("src"), F.col("src").alias("dst"))
     back = flow.select(*key, F.col("dst").alias("src"), F.col("src").alias("dst")).unionByName(last)
     every = sets(instr.withColumn("node", F.lit(EXIT)), key, "node", "ip")
-    mark = every.filter("word = 0").withColumn("part", F.lit("ends")).withColumn("bits", F.lit(1).cast("long"))  # reaches all from where a way ends
-    facts = flow_facts(back, every.unionByName(mark), sets(instr, key, "ip", "ip"), key)
+    mark = every.filter("word = 0").withColumn("part", F.lit("ends")).withColumn("bits", F.lit(1).cast("long"))
+    return back, every.unionByName(mark), sets(instr, key, "ip", "ip")
+
+
+def postdominators(instr: DataFrame, key: list[str], facts: DataFrame | None = None) -> DataFrame:
+    """(key, ip, by_ip, ends): every way from ip to an end of the program passes by_ip, other than ip. From where no way ends (ends is false), every instruction counts.
+
+    Solved as complements: what an end lacks is all but itself, and a node lacks what any successor lacks, less itself."""
+    facts = flow_facts(*_backwards(instr, edges(instr, key), key), key) if facts is None else facts
     lacks = facts.filter("part = ''").select(*key, "node", "word", F.col("bits").alias("gone"))
     ends = facts.filter("part = 'ends'").select(*key, "node", F.lit(True).alias("ends"))
-    each = instr.select(*key, F.col("ip").alias("node")).join(every.select(*key, "word", "bits"), key)
+    every = instr.groupBy(*key, _word("ip").alias("word")).agg(F.bit_or(_bit("ip")).alias("bits"))
+    each = instr.select(*key, F.col("ip").alias("node")).join(every, key)
     mine = F.when(F.col("word") == _word("node"), _bit("node")).otherwise(F.lit(0).cast("long"))
     left = each.join(lacks, [*key, "node", "word"], "left").select(*key, "node", F.lit("").alias("part"), "word", _less(_less(F.col("bits"), F.col("gone")), mine).alias("bits")).filter("bits <> 0")
     return members(left, key, "by_ip").join(ends, [*key, "node"], "left").select(*key, F.col("node").alias("ip"), "by_ip", F.coalesce("ends", F.lit(False)).alias("ends"))
@@ -191,22 +192,28 @@ def nearest(post: DataFrame, key: list[str]) -> DataFrame:
     return up.select(*key, "ip", "by_ip", "ends", (F.col("ends") & (F.coalesce("up", F.lit(0)) == F.col("depth") - 1)).alias("is_nearest"))
 
 
-def control_dependence(instr: DataFrame, key: list[str], flow: DataFrame | None = None) -> DataFrame:
+def control_dependence(instr: DataFrame, key: list[str], flow: DataFrame | None = None, post: DataFrame | None = None) -> DataFrame:
     """(key, src, dst): dst lies on a way from branch src that meets no other post-dominator of src before it; a branch that is met again depends on itself."""
-    flow = stored(edges(instr, key) if flow is None else flow, work_folder(instr.sparkSession, "edges"))
+    flow = stored(edges(instr, key), work_folder(instr.sparkSession, "edges")) if flow is None else flow
+    post = postdominators(instr, key, flow_facts(*_backwards(instr, flow, key), key)) if post is None else post
     branches = instr.filter("op = 'branch'").select(*key, "ip")
-    stops = postdominators(instr, key, flow).join(branches, [*key, "ip"], "left_semi")
-    kill = sets(stops, key, "by_ip", "ip")
+    kill = sets(post.join(branches, [*key, "ip"], "left_semi"), key, "by_ip", "ip")
     met = flow_facts(flow, sets(branches, key, "ip", "ip"), kill, key)
     live = met.join(kill.withColumnRenamed("bits", "killed"), [*key, "node", "part", "word"], "left").select(*key, "node", "part", "word", _less(F.col("bits"), F.col("killed")).alias("bits"))
     return members(live, key, "src").select(*key, "src", F.col("node").alias("dst"))
 
 
 def dependences(instr: DataFrame, key: list[str]) -> DataFrame:
-    """(key, src, dst, kind), each once: data from a definition to the uses that it reaches, other than its own; control from a branch."""
+    """(key, src, dst, kind), each once: data from a definition to the uses that it reaches, other than its own; control from a branch. Definitions forwards and post-dominators backwards are solved in the same rounds."""
+    instr = stored(instr.select(*key, "ip", "op", "label", "target", "other", "defs", "uses"), work_folder(instr.sparkSession, "instructions"))
     flow = stored(edges(instr, key), work_folder(instr.sparkSession, "edges"))
-    data = def_use(instr, key, flow).filter("def_ip <> use_ip").select(*key, F.col("def_ip").alias("src"), F.col("use_ip").alias("dst")).distinct()
-    return data.withColumn("kind", F.lit("data")).unionByName(control_dependence(instr, key, flow).withColumn("kind", F.lit("control")))
+    ways = {"forwards": (flow, *gen_kill(instr, key)), "backwards": _backwards(instr, flow, key)}
+    both = [one.withColumn("way", F.lit("forwards")).unionByName(two.withColumn("way", F.lit("backwards"))) for one, two in zip(*ways.values())]
+    facts = flow_facts(*both, [*key, "way"])
+    fore, back = (facts.filter(F.col("way") == w).drop("way") for w in ways)
+    data = def_use(instr, key, fore).filter("def_ip <> use_ip").select(*key, F.col("def_ip").alias("src"), F.col("use_ip").alias("dst")).distinct()
+    control = control_dependence(instr, key, flow, postdominators(instr, key, back))
+    return data.withColumn("kind", F.lit("data")).unionByName(control.withColumn("kind", F.lit("control")))
 
 
 def backward_slices(depends: DataFrame, seeds: DataFrame, key: list[str], name: str) -> DataFrame:
