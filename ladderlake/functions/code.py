@@ -197,17 +197,6 @@ def ctrl_delta(line: Column) -> Column:
     return delta.cast("long")
 
 
-def clamped_depths(lines: Column) -> Column:
-    """Depth after each line of an array of lines; it never falls below 0."""
-    start = F.struct(F.lit(0).cast("long").alias("d"), F.array().cast("array<long>").alias("all"))
-
-    def step(acc: Column, line: Column) -> Column:
-        d = F.greatest(acc["d"] + ctrl_delta(line), F.lit(0).cast("long"))
-        return F.struct(d.alias("d"), F.array_append(acc["all"], d).alias("all"))
-
-    return F.aggregate(lines, start, step, lambda acc: acc["all"])
-
-
 def line_class(line: Column) -> Column:
     """if, elsif, else, end_if, label, code or blank. `IF(` without a space counts as code here, though it opens a structure for ctrl_delta."""
     t = norm_line(line)

@@ -6,9 +6,11 @@ number among the keys. All are windows over a key's lines, or folds over them as
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions import code as C
 
@@ -22,13 +24,14 @@ def lines_of(programs: DataFrame, code: str = "code") -> DataFrame:
 def structure_ends(lines: DataFrame, key: list[str]) -> DataFrame:
     """(key, kind, ln, end_ln) of each line that begins a structure: the first line from there on at which the depth of its own kind is back and which has an END; without one, the line itself."""
     text = C.clean_line(F.col("line"))
+    lines = lines.select(*key, "ln", "line").filter(text.rlike(rf"(?i)\b(END_)?({'|'.join(C.CONTROL)})\b"))
     kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), C.head_of(F.regexp_replace(text, r"(?i)\bELSIF\b", "") if k == "IF" else text, k).alias("head"), C.ends_of(text, k).alias("ends")) for k in C.CONTROL]))
-    each = lines.select(*key, "ln", kinds.alias("k")).select(*key, "ln", "k.*").filter("head OR ends > 0")
+    each = lines.select(*key, "ln", kinds.alias("of_kind")).select(*key, "ln", "of_kind.*").filter("head OR ends > 0")
     after = F.sum(F.col("head").cast("long") - F.col("ends")).over(W.partitionBy(*key, "kind").orderBy("ln"))
     each = each.withColumn("after", after).withColumn("before", F.col("after") - F.col("head").cast("long") + F.col("ends"))
     # a head waits at the depth before it; a line that ends something arrives at the depth after it, and does so later than a head of the same line
     roles = F.explode(F.array(F.struct(F.col("head").alias("on"), F.col("before").alias("level"), F.lit(0).alias("turn")), F.struct((F.col("ends") > 0).alias("on"), F.col("after").alias("level"), F.lit(1).alias("turn"))))
-    events = each.select(*key, "kind", "ln", roles.alias("r")).select(*key, "kind", "ln", "r.*").filter("on")
+    events = each.select(*key, "kind", "ln", roles.alias("role")).select(*key, "kind", "ln", "role.*").filter("on")
     later = W.partitionBy(*key, "kind", "level").orderBy("ln", "turn").rowsBetween(1, W.unboundedFollowing)
     found = events.withColumn("end_ln", F.first(F.when(F.col("turn") == 1, F.col("ln")), ignorenulls=True).over(later))
     return found.filter("turn = 0").select(*key, "kind", "ln", F.coalesce("end_ln", "ln").alias("end_ln"))
@@ -61,25 +64,24 @@ def split_by_stage(lines: DataFrame, key: list[str], min_lines: int = 5, names:
 
 
 def split_by_size(lines: DataFrame, key: list[str], min_lines: int, max_lines: int) -> DataFrame:
-    """lines with `part`: blocks of more than max_lines lines are cut at gaps once they have min_lines, and at max_lines, but nowhere inside a structure."""
-    block = lines.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("ln", "line"))).alias("rows"))
-    delta = F.transform("rows", lambda r: F.struct(r["ln"].cast("long").alias("ln"), C.ctrl_delta(r["line"]).alias("d")))
-    start = F.struct(*(F.lit(v).cast("long").alias(k) for k, v in (("segment", 0), ("n", 0), ("last", -1), ("depth", 0))), F.array().cast("array<long>").alias("all"))
-
-    def step(acc: Column, r: Column) -> Column:
-        gap = (acc["n"] > 0) & (r["ln"] != acc["last"] + 1) & (acc["n"] >= min_lines) & (acc["depth"] == 0)
-        full = (acc["n"] >= max_lines) & (acc["depth"] == 0)
-        fresh = (acc["n"] == 0) | gap | full
-        segment = acc["segment"] + fresh.cast("long")
-        n = F.when(fresh, F.lit(1).cast("long")).otherwise(acc["n"] + 1)
-        depth = F.greatest(acc["depth"] + r["d"], F.lit(0).cast("long"))
-        return F.struct(segment.alias("segment"), n.alias("n"), r["ln"].alias("last"), depth.alias("depth"), F.array_append(acc["all"], segment).alias("all"))
-
-    segments = F.when(F.size("rows") > max_lines, F.aggregate(delta, start, step, lambda acc: acc["all"]))
-    cut = block.withColumn("segments", segments).select(*key, F.posexplode("rows").alias("i", "r"), "segments")
-    cut = cut.select(*key, "r.ln", "r.line", F.try_element_at("segments", F.col("i") + 1).alias("segment"))
-    long = _merged(cut.filter("segment IS NOT NULL"), key, min_lines)
-    return long.unionByName(cut.filter("segment IS NULL").drop("segment").withColumn("part", F.lit(1).cast("long")))
+    """lines with `part`: blocks of more than max_lines lines are cut at gaps once they have min_lines, and at max_lines, but nowhere inside a structure. A block is cut in one pass over its lines' numbers and depths."""
+
+    def cut_block(block: pa.Table) -> pa.Table:
+        block = block.sort_by("ln")
+        n, depth, last, segment, out = 0, 0, None, 0, []
+        for ln, delta in zip(block.column("ln").to_pylist(), block.column("delta").to_pylist()):
+            if n == 0 or depth == 0 and (n >= max_lines or n >= min_lines and ln != last + 1):
+                n, segment = 0, segment + 1
+            n, depth, last = n + 1, max(depth + delta, 0), ln
+            out.append(segment)
+        return block.drop_columns(["delta"]).append_column("segment", pa.array(out, pa.int64()))
+
+    long = lines.groupBy(*key).agg(F.count("*").alias("n_lines")).filter(F.col("n_lines") > max_lines).select(*key)
+    of = lines.join(long, key, "left_semi").select(*key, "ln", C.ctrl_delta(F.col("line")).alias("delta"))
+    schema = StructType([*of.drop("delta").schema.fields, StructField("segment", LongType())])
+    cut = lines.select(*key, "ln", "line").join(of.groupBy(*key).applyInArrow(cut_block, schema), [*key, "ln"])
+    merged = _merged(cut, key, min_lines)
+    return merged.unionByName(lines.select(*key, "ln", "line").join(long, key, "left_anti").withColumn("part", F.lit(1).cast("long")))
 
 
 def meaningful(lines: DataFrame, key: list[str], min_lines: int = 10) -> DataFrame:

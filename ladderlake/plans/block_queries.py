@@ -8,6 +8,7 @@ from ..functions import code as C
 from ..functions import prompts as T
 from ..functions import standard as S
 from ..operators import blocks as B
+from ..operators.structures import clamped_depth as clamped_depths
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -82,9 +83,8 @@ def meaningful_blocks(spark, sf_dir):
 
 @query(f"WITH RECURSIVE l AS (SELECT p_partkey, ln, {D_DELTA} AS d FROM {D_CLEAN} q), f AS (SELECT p_partkey, ln, CAST(greatest(d, 0) AS BIGINT) AS depth FROM l WHERE ln = 1 UNION ALL SELECT l.p_partkey, l.ln, CAST(greatest(f.depth + l.d, 0) AS BIGINT) FROM f JOIN l ON l.p_partkey = f.p_partkey AND l.ln = f.ln + 1) SELECT p_partkey, max(depth) AS deepest, sum(depth) AS total, arg_max(depth, ln) AS last FROM f GROUP BY p_partkey")
 def clamped_depth(spark, sf_dir):
-    g = _staged(spark, sf_dir).groupBy("p_partkey").agg(F.array_sort(F.collect_list(F.struct("ln", "line"))).alias("rows"))
-    d = g.select("p_partkey", C.clamped_depths(F.transform("rows", lambda r: r["line"])).alias("d"))
-    return d.select("p_partkey", F.array_max("d").alias("deepest"), F.aggregate("d", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"), F.element_at("d", -1).alias("last"))
+    d = clamped_depths(_staged(spark, sf_dir), KEY, C.ctrl_delta(F.col("line")))
+    return d.groupBy("p_partkey").agg(F.max("depth").alias("deepest"), F.sum("depth").alias("total"), F.max_by("depth", "ln").alias("last"))
 
 
 @query(f"SELECT class, count(*) AS n FROM (SELECT CASE WHEN t = '' THEN 'blank' WHEN t LIKE 'IF %' THEN 'if' WHEN t LIKE 'ELSIF %' THEN 'elsif' WHEN t = 'ELSE' OR t LIKE 'ELSE %' THEN 'else' WHEN t LIKE 'END\\_IF%' ESCAPE '\\' THEN 'end_if' WHEN NOT contains(t, ':=') AND contains(t, ':') THEN 'label' ELSE 'code' END AS class FROM (SELECT upper(trim(regexp_replace(regexp_replace(line, '\\(\\*.*?\\*\\)', '', 'g'), '//.*$', ''))) AS t FROM {D_LINES} l) x) y GROUP BY class")
