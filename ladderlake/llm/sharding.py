@@ -11,7 +11,7 @@ bound parts at most one group of them. Ranks come from counts of cells (arc, par
 arc. A key with more than a thousandth of the rows (there are at most a thousand of these) has cells of its own, by salts of id and place of reading. Documents
 don't move unless `carry` asks for their columns: one shuffle of ids and sizes.
 
-Nulls: a null text has 0 bytes and the hash of a null; a null doc_id sorts first. Repeated rows each get a place of their own.
+Nulls: a null text has 0 bytes and lies with the empty ones; a null doc_id sorts first. Repeated rows each get a place of their own.
 Empty table: empty result. Other columns are ignored, whatever their names; carried ones that are named like a result are left out.
 Rings of more than 65,536 points raise an error: take fewer vnodes.
 """
@@ -97,7 +97,7 @@ def shard(docs: DataFrame, shards: int = 24, vnodes: int = 64, slack: float = 0.
         F.col(id_col).alias("id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("long").alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("crc"),
-        F.pmod(F.xxhash64(text if key is None else key), F.lit(SPAN)).alias("at"),
+        F.pmod(F.xxhash64(F.coalesce(text.cast("string"), F.lit("")) if key is None else key), F.lit(SPAN)).alias("at"),
         F.pmod(F.xxhash64(id_col, F.spark_partition_id()), F.lit(SALTS)).cast("int").alias("salt"),
         *(F.col("`" + c.replace("`", "``") + "`").alias(f"c{i}") for i, c in enumerate(others)),
     )
