@@ -417,14 +417,16 @@ def jaccard_join(docs: DataFrame, **options) -> DataFrame:
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """One row of docs for each class of texts: that of the smallest doc_id (null is the smallest), of the least hash of id and text among those, of the least other columns among equal ones. Rows that share an id or have none are joined by their texts only."""
+    named = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    own = [f"c{i}" for i in range(len(docs.columns))]  # columns go by place: no name of theirs can clash
     rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    keyed = docs.withColumn("_key", F.xxhash64(rank, F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    out = Join(keyed.select(F.col("_key").alias("doc_id"), "text"), **options).run().select(F.col("id").alias("_key"), "component_id").distinct()
-    ids = keyed.select("_key", rank.alias("_rank")).distinct()
-    keep = ids.join(out, "_key").groupBy("component_id").agg(F.min(F.struct("_rank", "_key"))["_key"].alias("_key")).select("_key")
-    others = [c for c, t in docs.dtypes if c not in ("doc_id", "text") and "map<" not in t and t != "variant"]
-    least = keyed.join(keep, "_key", "left_semi").groupBy("_key").agg(F.min_by(F.struct(*docs.columns), F.struct(F.lit(0), *others)).alias("_row"))
-    return least.select("_row.*")
+    text = F.col("text").cast("string")
+    keyed = docs.select(*(named(c).alias(o) for c, o in zip(docs.columns, own)), rank.alias("rank"), text.alias("text"), F.xxhash64(rank, F.coalesce(text, F.lit(""))).alias("key"))
+    out = Join(keyed.select(F.col("key").alias("doc_id"), "text"), **options).run().select(F.col("id").alias("key"), "component_id").distinct()
+    keep = keyed.select("key", "rank").distinct().join(out, "key").groupBy("component_id").agg(F.min(F.struct("rank", "key"))["key"].alias("key")).select("key")
+    others = [o for o, (c, t) in zip(own, docs.dtypes) if c not in ("doc_id", "text") and "map<" not in t and t != "variant"]
+    least = keyed.join(keep, "key", "left_semi").groupBy("key").agg(F.min_by(F.struct(*own), F.struct(F.lit(0), *others)).alias("kept"))
+    return least.select(*(F.col(f"kept.{o}").alias(c) for c, o in zip(docs.columns, own)))
 
 
 def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:
