@@ -126,11 +126,15 @@ def used_vars(code: Column) -> Column:
 
 
 def clean_json(raw: Column) -> Column:
-    """The JSON part of a model's reply: after its thoughts, without fences and trailing commas; the object, else the list, that parses."""
-    t = F.regexp_replace(F.regexp_replace(stripped(F.substring_index(raw, "</think>", -1)), r"```[a-zA-Z]*", ""), r",\s*([\]}])", "$1")
-    span = lambda a, b: F.when((F.locate(a, t) > 0) & (F.length(t) - F.locate(b, F.reverse(t)) + 1 > F.locate(a, t)), t.substr(F.locate(a, t), F.length(t) - F.locate(b, F.reverse(t)) + 2 - F.locate(a, t)))
+    """The JSON part of a model's reply: after its thoughts, without fences (those of other languages keep their word) and trailing commas; the object, else the list, that parses; else the span of whichever begins first, else all."""
+    t = stripped(F.regexp_replace(F.substring_index(raw, "</think>", -1), r"(?i)```(?:json)?", ""))
+    t = F.regexp_replace(F.regexp_replace(t, r",\s*\]", "]"), r",\s*\}", "}")
+    both = lambda a, b: (F.locate(a, t) > 0) & (F.locate(b, t) > 0)
+    # from the first opening to the last closing one; empty where they stand the other way round
+    span = lambda a, b: F.when(both(a, b), t.substr(F.locate(a, t), F.greatest(F.length(t) - F.locate(b, F.reverse(t)) + 2 - F.locate(a, t), F.lit(0))))
     obj, arr = span("{", "}"), span("[", "]")
-    return F.coalesce(F.when(F.try_parse_json(obj).isNotNull(), obj), F.when(F.try_parse_json(arr).isNotNull(), arr), F.when((F.locate("{", t) > 0) & ((F.locate("[", t) == 0) | (F.locate("{", t) < F.locate("[", t))), obj).otherwise(arr), t)
+    first = obj.isNotNull() & ((F.locate("[", t) == 0) | (F.locate("{", t) < F.locate("[", t)))
+    return F.when(F.try_parse_json(obj).isNotNull(), obj).when(F.try_parse_json(arr).isNotNull(), arr).when(first, obj).otherwise(F.coalesce(arr, t))
 
 
 def clean_json_span(raw: Column) -> Column:

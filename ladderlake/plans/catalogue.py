@@ -140,10 +140,13 @@ def undefined_vars(spark, sf_dir):
     return _code(spark, sf_dir).select("p_partkey", F.array_join(u, ",").alias("undefined"), (F.size(u) == 0).alias("passed"))
 
 
-@query("SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN '{\"n\":' || turn || '}' WHEN 1 THEN '[1,' || turn || ']' WHEN 2 THEN '{\"a\":[1, 2]}' ELSE 'no json ' || role END AS clean FROM conversations")
+#: Replies around the length of a turn's text, and what is left of each.
+WRAPPED = """SELECT conv_id, turn, CASE turn % 12 WHEN 0 THEN '<think>{x}</think> Sure: ```json' || chr(10) || '{"n":' || k || '}' || chr(10) || '```' WHEN 1 THEN '[1,' || k || ',]' WHEN 2 THEN 'x {"a":[1, 2,],} y' WHEN 3 THEN ' no json ' || role || ' ' WHEN 4 THEN '```st' || chr(10) || 'x := ' || k || ';' || chr(10) || '```' WHEN 5 THEN '} ' || k || ' {' WHEN 6 THEN '{"a": broken} [' || k || ', 2]' WHEN 7 THEN '[broken {"b": ' || k || '} x]' WHEN 8 THEN '{broken [' || k || ' x' || chr(9) || '} y]' WHEN 9 THEN '```JSON ```' WHEN 10 THEN 'a] ' || k || ' [b' ELSE '{' || k END AS raw FROM (SELECT conv_id, turn, role, CAST(length(text) AS VARCHAR(20)) AS k FROM {conversations}) t"""
+
+
+@query("""SELECT conv_id, turn, CASE turn % 12 WHEN 0 THEN '{"n":' || k || '}' WHEN 1 THEN '[1,' || k || ']' WHEN 2 THEN '{"a":[1, 2]}' WHEN 3 THEN 'no json ' || role WHEN 4 THEN 'st' || chr(10) || 'x := ' || k || ';' WHEN 5 THEN '' WHEN 6 THEN '[' || k || ', 2]' WHEN 7 THEN '{"b": ' || k || '}' WHEN 8 THEN '{broken [' || k || ' x' || chr(9) || '}' WHEN 9 THEN '' WHEN 10 THEN '' ELSE '{' || k END AS clean FROM (SELECT conv_id, turn, role, CAST(length(text) AS VARCHAR) AS k FROM conversations) t""")
 def llm_json_clean(spark, sf_dir):
-    raw = F.expr("CASE turn % 4 WHEN 0 THEN concat('<think>{x}</think> Sure: ```json\n{\"n\":', turn, '}\n```') WHEN 1 THEN concat('[1,', turn, ',]') WHEN 2 THEN 'x {\"a\":[1, 2,],} y' ELSE concat(' no json ', role, ' ') END")
-    return _read(spark, sf_dir, "conversations").select("conv_id", "turn", C.clean_json(raw).alias("clean"))
+    return _sql(spark, sf_dir, WRAPPED, "conversations").select("conv_id", "turn", C.clean_json(F.col("raw")).alias("clean"))
 
 
 RAW_REPLY = """SELECT conv_id, turn, CASE turn % 8 WHEN 0 THEN 'Here: ```json' || chr(10) || '{"a": ' || turn || '}' || chr(10) || '```' WHEN 1 THEN '```' || chr(10) || '[1, 2]' || chr(10) || '```' WHEN 2 THEN 'x [1, {"b": 2}] y' WHEN 3 THEN 'nothing' WHEN 4 THEN '} {' WHEN 5 THEN '```JSON [] ```' WHEN 6 THEN '{ open' ELSE '' END AS raw FROM {conversations}"""
@@ -231,23 +234,22 @@ def failed_tasks(spark, sf_dir):
 
 
 def _failures(spark, sf_dir) -> DataFrame:
-    """Logs of tasks that never passed: task, rejected_samples; every 97th code is blank."""
+    """Attempts of tasks that never passed; every 97th code is blank."""
     a = _attempts(spark, sf_dir)
-    never = a.groupBy("task").agg(F.bool_or("accepted").alias("ok"), F.collect_list(F.when(F.col("rejected"), F.struct("seq", F.when(F.col("code") != "c0", F.col("code")).otherwise(" \n").alias("code")))).alias("rejected_samples"))
-    return never.filter("NOT ok").select("task", "rejected_samples")  # a log holds a task's tries, which max_retries bounds
+    open_ = a.join(a.filter("accepted").select("task").distinct(), "task", "left_anti")
+    return open_.select("task", "rejected", "seq", F.when(F.col("code") != "c0", F.col("code")).otherwise(" \n").alias("code"))
 
 
 @query(f"SELECT task, seq, code AS output FROM {D_ATT} a WHERE rejected AND code <> 'c0' AND task NOT IN (SELECT task FROM {D_ATT} b WHERE accepted)")
 def explode_rejects(spark, sf_dir):
-    r = _failures(spark, sf_dir).select("task", F.explode("rejected_samples").alias("r"))
-    return r.filter(C.stripped(F.col("r.code")) != "").select("task", "r.seq", F.col("r.code").alias("output"))
+    return _failures(spark, sf_dir).filter("rejected").filter(C.stripped(F.col("code")) != "").select("task", "seq", F.col("code").alias("output"))
 
 
 @query(f"SELECT (SELECT count(*) FROM (SELECT task FROM {D_ATT} x GROUP BY task HAVING NOT bool_or(accepted)) y) AS total_entries, count(*) FILTER (code <> 'c0') AS extracted_samples, count(*) FILTER (code = 'c0') AS skipped_empty FROM {D_ATT} a WHERE rejected AND task NOT IN (SELECT task FROM {D_ATT} b WHERE accepted)")
 def explode_counters(spark, sf_dir):
-    blank = lambda x: C.stripped(x["code"]) == ""
-    f = _failures(spark, sf_dir).select(F.size("rejected_samples").alias("n"), F.size(F.filter("rejected_samples", blank)).alias("b"))
-    return f.agg(F.count("*").alias("total_entries"), F.sum(F.col("n") - F.col("b")).alias("extracted_samples"), F.sum("b").cast("long").alias("skipped_empty"))
+    blank = C.stripped(F.col("code")) == ""
+    by_task = _failures(spark, sf_dir).groupBy("task").agg(F.count_if(F.col("rejected") & ~blank).alias("extracted"), F.count_if(F.col("rejected") & blank).alias("empty"))
+    return by_task.agg(F.count("*").alias("total_entries"), F.sum("extracted").alias("extracted_samples"), F.sum("empty").alias("skipped_empty"))
 
 
 @query(f"SELECT seq, 'Task ' || task AS prompt, '<TODO>' AS chosen, code AS rejected_code, 'matiec_compiler_error' AS rejected_reason, CASE WHEN seq % 3 = 0 THEN 'Unknown Error' ELSE event_type END AS reason FROM {D_ATT} a WHERE rejected AND seq % 5 <> 0 AND task % 4 <> 1")
