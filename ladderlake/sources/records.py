@@ -99,18 +99,13 @@ def jsonl_to_arrays(spark: SparkSession, path: str, pattern: str = "*.jsonl") ->
 
 
 def cached(programs: DataFrame, path: str, version: str, code: str, make) -> DataFrame:
-    """make(programs) with the column `key` (the code's SHA-256), kept as Parquet for each version: only programs whose key isn't there are worked out and added. make keeps the columns it is given next to its own, and gives a row or more for each program. A folder that can't be read counts as empty and is written anew."""
+    """make(programs) with the column `key` (the code's SHA-256), for the programs that are asked for, kept as Parquet for each version: only what isn't there is worked out and added. make keeps the columns it is given next to its own, and gives a row or more for each program. Files that can't be read count as absent: what they held is worked out again, the other files stay."""
     spark = programs.sparkSession
     folder = f"{path}/version={version}"
     keyed = programs.select(F.sha2(F.col(code).cast("string"), 256).alias("key"), F.col(code).alias("code")).dropDuplicates(["key"])
-    try:
-        old = spark.read.parquet(folder)
-        missing = keyed.join(old.select("key").distinct(), "key", "left_anti")
-    except Exception as e:  # pyspark.errors: no such folder, or files that aren't Parquet
-        if "PATH_NOT_FOUND" not in str(e) and "CANNOT_READ_FILE_FOOTER" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e) and "FAILED_READ_FILE" not in str(e):
-            raise
-        make(keyed).write.mode("overwrite").parquet(folder)
-        return spark.read.parquet(folder)
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(where)
+    there = lambda: spark.read.schema(make(keyed).schema).option("ignoreCorruptFiles", True).parquet(folder)
+    missing = keyed.join(there().select("key").distinct(), "key", "left_anti")
     make(missing).write.mode("append").parquet(folder)
-    return spark.read.parquet(folder)
-
+    return there().join(keyed.select("key"), "key", "left_semi")

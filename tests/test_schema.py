@@ -40,3 +40,32 @@ def test_arrays_are_those_of_one_dump_a_file(spark, tmp_path):
     with pytest.raises(Exception):
         json_arrays.write_arrays(df.withColumn("place", F.raise_error(F.lit("lost")).cast("int")), path)
     assert sorted(os.listdir(path)) == ["c"]
+
+
+def test_a_cache_gives_what_is_asked_for_and_mends_what_is_broken(spark, tmp_path):
+    import glob
+    import os
+
+    from ladderlake.sources import records
+
+    path, made = str(tmp_path / "cache"), []
+
+    def make(df):
+        return df.select("*", F.length("code").alias("n"))
+
+    def ask(*codes):
+        got = records.cached(spark.createDataFrame([(c,) for c in codes], "code string").coalesce(1), path, "1", "code", make)
+        return sorted((r["code"], r["n"]) for r in got.collect())
+
+    assert ask("a", "bb", "a") == [("a", 1), ("bb", 2)]
+    assert ask("ccc") == [("ccc", 3)]  # not what else is there
+    files = lambda: {f for f in glob.glob(f"{path}/**/*.parquet", recursive=True) if os.path.getsize(f)}
+    before = files()
+    assert ask("a", "bb", "ccc") == [("a", 1), ("bb", 2), ("ccc", 3)]
+    table = spark.read.parquet(f"{path}/version=1")
+    assert table.count() == 3  # nothing was worked out again
+    broken = next(f for f in before if spark.read.parquet(f).filter("code = 'ccc'").count())
+    os.remove(os.path.join(os.path.dirname(broken), f".{os.path.basename(broken)}.crc"))
+    open(broken, "wb").write(b"no parquet here, but some bytes")
+    assert ask("a", "ccc") == [("a", 1), ("ccc", 3)]
+    assert ask("bb") == [("bb", 2)] and not made
