@@ -236,3 +236,18 @@ def schema_class(value: Column) -> Column:
     """num, str, bool, dict or list of a variant; null for null."""
     s = F.schema_of_variant(value)
     return F.when(s.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), "num").when(s == "STRING", "str").when(s == "BOOLEAN", "bool").when(s.rlike("^OBJECT"), "dict").when(s.rlike("^ARRAY"), "list")
+
+
+#: Words of statements and expressions that name nothing. Fixed values.
+WORDS = "IF THEN ELSIF ELSE END_IF CASE OF END_CASE FOR TO BY DO END_FOR WHILE END_WHILE REPEAT UNTIL END_REPEAT EXIT CONTINUE RETURN AND OR XOR NOT MOD TRUE FALSE".split()
+
+
+def names_used(text: Column) -> Column:
+    """(variables, functions) of statements, each sorted and once. Of a field access the base counts, of an array access base and index, of a call's arguments their values; the instance of a call that is a statement counts as neither."""
+    name = r"[A-Za-z_]\w*"
+    t = F.regexp_replace(strip_comments(text), r"'[^']*'|\"[^\"]*\"", " ")
+    t = F.regexp_replace(t, rf"\b{name}#[\w.+:-]+|\.\s*{name}", " ")  # typed literals, fields
+    t = F.regexp_replace(t, rf"([(,])\s*{name}\s*(?::=|=>)", "$1 ")  # names of arguments
+    t = F.regexp_replace(t, rf"(?i)(^|;|\b(?:THEN|ELSE|DO|REPEAT|OF)\b|:(?!=))(\s*)(?!(?:{'|'.join(WORDS)})\b){name}(\s*\()", "$1$2$3")
+    own = lambda found: F.array_sort(F.filter(F.array_distinct(found), lambda x: ~F.upper(x).isin(WORDS)))
+    return F.struct(own(F.regexp_extract_all(t, F.lit(rf"\b({name})\b(?!\s*\()"))).alias("variables"), own(F.regexp_extract_all(t, F.lit(rf"\b({name})\s*\("))).alias("functions"))

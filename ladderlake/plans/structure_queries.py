@@ -94,3 +94,14 @@ def blocks_without_empty_cases(spark, sf_dir):
 def heads_around(spark, sf_dir):
     lines, block = _lines(spark, sf_dir)
     return S.heads_around(block, lines, KEY)
+
+
+#: Variables and functions of each of TEXTS, by hand.
+NAMES = ["a|", "b|", "c|", "d|", "|", "|", "s|", "|", "|", "x|f", "|", "y|", "|", "i|", "|", "q,z|", "e|", "a|", "|", "z|"]
+
+
+@query(sql="SELECT program, ln, " + ", ".join(f"CASE k % {len(TEXTS)} {' '.join(f'WHEN {i} THEN {chr(39)}{n.split(chr(124))[part]}{chr(39)}' for i, n in enumerate(NAMES))} END AS {name}" for part, name in enumerate(("variables", "functions"))) + " FROM (SELECT CAST(floor(conv_id / 8) AS BIGINT) AS program, CAST(row_number() OVER (PARTITION BY floor(conv_id / 8) ORDER BY conv_id, turn) AS BIGINT) AS ln, length(text) AS k FROM conversations) t")
+def names_used(spark, sf_dir):
+    lines, _ = _lines(spark, sf_dir)
+    used = lines.select("program", "ln", C.names_used(F.col("line")).alias("used"))
+    return used.select("program", "ln", F.array_join("used.variables", ",").alias("variables"), F.array_join("used.functions", ",").alias("functions"))

@@ -59,3 +59,18 @@ def test_ranges_that_hold_points(spark):
     points = [("p", n) for n in range(200)]
     got = S.enclosing(spark.createDataFrame(points, "k string, ln int"), spark.createDataFrame(ranges, "k string, begin_ln int, end_ln int, i int"), ["k"])
     assert sorted((r["ln"], r["i"]) for r in got.collect()) == sorted((n, i) for _, n in points for _, a, b, i in ranges if a <= n <= b)
+
+
+def test_names_used(spark):
+    from pyspark.sql import functions as F
+
+    from ladderlake.functions import code
+
+    cases = {
+        "t1(IN := start, PT => out, 5); y := t1.Q AND NOT done;": (["done", "out", "start", "t1", "y"], []),
+        "x := MAX(a[i + 1], ABS(b.c)) + INT#3 + T#5s; // z\n(* w *) s := 'it f(x)';": (["a", "b", "i", "s", "x"], ["ABS", "MAX"]),
+        "FOR i := 1 TO n BY 2 DO call(i); END_FOR; WHILE (k < 1e5) DO IF f(k) THEN g(); END_IF; END_WHILE;": (["i", "k", "n"], ["f"]),
+        "": ([], []),
+    }
+    df = spark.createDataFrame([(t,) for t in cases], "t string").select("t", code.names_used(F.col("t")).alias("u"))
+    assert {r["t"]: (r["u"]["variables"], r["u"]["functions"]) for r in df.collect()} == cases
