@@ -3,7 +3,8 @@
 Seeds are word n-grams of the test items that chance seldom makes: by the counts of their words over all documents, a text
 holds one at a given place with a probability of at most `most_chance`. (Counts of the n-grams themselves would call a seed
 common because an item leaked often.) Items with too few such seeds use their rarest, if they have at least
-`least_words` words; shorter ones, such as a single common word, are only sought by seeds that chance seldom makes. Each seed that a document shares with an
+`least_words` words. Shorter items of more than n words are one seed as a whole, however common their words are, so that every exact copy of them is found;
+items of at most n words, such as a single common word, are only sought where chance seldom makes them. Each seed that a document shares with an
 item proposes a window of the document around the place where the item would lie, as wide to either side as the insertions that
 a passing score can afford; the window is aligned with the item by local alignment with gaps. A document is contaminated by an item whose alignment reaches `least_score` of a perfect copy's score, so
 edited, cut and paraphrased copies count, too.
@@ -14,7 +15,7 @@ items' words and what was found. Alignments run side by side up to `CELLS` cells
 
 Words are compared in lower case without punctuation at their ends. Items without words contaminate nothing; null and empty
 texts have no windows. Items that share a text are each reported; rows that share a document's id and an item's id are one row of
-the result, with the best score. decontaminate() judges each row by itself. Empty tables give an empty result. Other columns are ignored.
+the result, with the best score. Rows without an id are told apart by their texts' SHA-256 (column text_sha256, null for rows with an id). decontaminate() judges each row by itself. Empty tables give an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from ._text import Words, byte_view, sequence_hashes, slices, span_hashes, withi
 
 MATCH, MISMATCH, GAP = 2, -1, -1
 CELLS = 1 << 21
+#: Places of seeds that are held before those that propose the same window are merged.
+PLACES = 1 << 20
 _PLAIN = np.zeros(256, bool)
 _PLAIN[48:58] = _PLAIN[65:91] = _PLAIN[97:123] = _PLAIN[128:] = True
 
@@ -78,6 +81,8 @@ class Seeds:
         found: dict[int, list] = {}
         for item, (a, b) in enumerate(zip(self.first[:-1], self.first[1:])):
             m = min(n, b - a)
+            if n < b - a < least_words:
+                found.setdefault(int(b - a), []).append((sequence_hashes(self.h[a:b], b - a)[0], item, 0))
             if m:
                 chance = np.convolve(log[a:b], np.ones(m), "valid")
                 keep = chance <= np.log10(most_chance)
@@ -99,16 +104,17 @@ class Seeds:
             g = sequence_hashes(h, m)[ok]
             lo, hi = np.searchsorted(seed, g, "left"), np.searchsorted(seed, g, "right")
             hit = np.flatnonzero(hi > lo)
-            n = (hi - lo)[hit]
-            which = np.repeat(lo[hit], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            place = np.repeat(ok[hit], n)
-            windows.append(np.column_stack([doc[place], item[which], place - at[which]]))
-        windows = np.concatenate(windows) if windows else np.zeros((0, 3), np.int64)
-        if not len(windows):
+            many = (hi - lo)[hit]
+            for part in np.split(np.arange(len(hit)), np.flatnonzero(np.diff(np.cumsum(many) // PLACES)) + 1):
+                n = many[part]
+                which = np.repeat(lo[hit[part]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                place = np.repeat(ok[hit[part]], n)
+                row, pad = doc[place], self.length[item[which]] // 3 + 3
+                rough = np.column_stack([row, item[which], (place - at[which] - np.searchsorted(doc, row)) // pad])
+                windows.append(np.unique(rough, axis=0))  # one window for seeds that agree about the place
+        rough = np.unique(np.concatenate(windows), axis=0) if windows else np.zeros((0, 3), np.int64)
+        if not len(rough):
             return (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
-        pad = self.length[windows[:, 1]] // 3 + 3
-        first = np.searchsorted(doc, windows[:, 0])
-        rough = np.unique(np.column_stack([windows[:, :2], (windows[:, 2] - first) // pad]), axis=0)  # one window for seeds that agree about the place
         rows, item = rough[:, 0], rough[:, 1]
         pad = self.length[item] // 3 + 3
         reach = np.ceil(MATCH * self.length[item] * (1 - least_score) / -GAP).astype(np.int64)  # no passing score affords more inserted words
@@ -169,8 +175,9 @@ def blocks(docs: DataFrame, bench: DataFrame, n: int, most_chance: float, least_
 
 
 def contaminated(docs: DataFrame, bench: DataFrame, n: int = 3, most_chance: float = 1e-7, least_seeds: int = 8, least_score: float = 0.5, least_words: int = 8, block_mb: int = 8) -> DataFrame:
-    """(doc_id, item_id, score, doc_end): every document and item that it holds a copy of; score: 1 for an exact copy; doc_end: number of words of the document up to the copy's end."""
-    slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    """(doc_id, item_id, score, doc_end, text_sha256): every document and item that it holds a copy of; score: 1 for an exact copy; doc_end: number of words of the document up to the copy's end."""
+    text = F.col("text").cast("string")
+    slim = docs.select("doc_id", text.alias("text"), F.when(F.col("doc_id").isNull(), F.sha2(text.cast("binary"), 256)).alias("text_sha256"))
     kind = dict(bench.dtypes)["item_id"]
     out = None
     for shared in blocks(docs, bench, n, most_chance, least_seeds, least_words, block_mb):
@@ -180,12 +187,12 @@ def contaminated(docs: DataFrame, bench: DataFrame, n: int = 3, most_chance: flo
             for batch in batches:
                 for lo, hi in slices(batch.column(1)):
                     row, item, score, end = seeds.matches(*plain_words(*byte_view(batch.column(1)[lo:hi])), least_score)
-                    yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi].take(pa.array(row)), pa.array([seeds.ids[i] for i in item]).cast(pa.int64() if kind != "string" else pa.string()), pa.array(score), pa.array(end)], ["doc_id", "item_id", "score", "doc_end"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi].take(pa.array(row)), pa.array([seeds.ids[i] for i in item]).cast(pa.int64() if kind != "string" else pa.string()), pa.array(score), pa.array(end), batch.column(2)[lo:hi].take(pa.array(row))], ["doc_id", "item_id", "score", "doc_end", "text_sha256"])
 
-        found = slim.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, item_id {'bigint' if kind != 'string' else kind}, score double, doc_end long")
+        found = slim.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, item_id {'bigint' if kind != 'string' else kind}, score double, doc_end long, text_sha256 string")
         out = found if out is None else out.unionAll(found)
     best = F.max(F.struct("score", (-F.col("doc_end")).alias("before")))
-    return out.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.score", (-F.col("b.before")).alias("doc_end"))
+    return out.groupBy("doc_id", "text_sha256", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.score", (-F.col("b.before")).alias("doc_end"), "text_sha256")
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame, n: int = 3, most_chance: float = 1e-7, least_seeds: int = 8, least_score: float = 0.5, least_words: int = 8, block_mb: int = 8) -> DataFrame:

@@ -230,6 +230,34 @@ def test_decontamination_items_that_are_short_long_or_share_an_id(spark):
     assert (7, 2) in pairs and (8, 3) in pairs and (9, 3) not in pairs and (12, 4) in pairs
 
 
+def test_decontamination_finds_whole_copies_of_short_items_and_tells_rows_without_an_id_apart(spark):
+    few = "what is the capital of france and where lies it".split()
+    rng = random.Random(11)
+    noise = " ".join(rng.choice(few) for _ in range(20_000))
+    items = [(1, "what is the capital of france"), (2, "the capital of france lies"), (3, "the of"), (4, "where lies it and what")]
+    rows = [(1, "tell me: What is the capital of France?"), (2, "it lies where it lies"), (3, noise), (None, "one: what is the capital of france"), (None, "two: what is the capital of france"), (None, "where lies it"), (None, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    exact = {(d, None if d is not None else hashlib.sha256(t.encode()).hexdigest(), i) for d, t in rows for i, x in items if len(x.split()) > 3 and f" {x} " in f" {(t or '').lower().replace('?', '')} "}
+    assert {(1, 1), (3, 2)} <= {(d, i) for d, _, i in exact}
+    got = {(r["doc_id"], r["text_sha256"], r["item_id"]): r["score"] for r in decontamination.contaminated(docs, bench).collect()}
+    assert exact <= {k for k, v in got.items() if v == 1} and {i for _, _, i in got} <= {1, 2, 4}
+    assert sum(d is None for d, _, _ in got) == 2 and not any(d in (2, 4) for d, _, _ in got)
+    dirty = {k[:2] for k in got}
+    clean = [r for r in rows if (r[0], hashlib.sha256(r[1].encode()).hexdigest() if r[0] is None and r[1] else None) not in dirty]
+    assert sorted(map(tuple, decontamination.decontaminate(docs, bench).collect()), key=str) == sorted(clean, key=str)
+
+
+def test_decontamination_merges_windows_in_parts(monkeypatch):
+    item = " ".join(f"i{k % 9}" for k in range(30))
+    seeds = decontamination.Seeds([1, 1, 2], [item, item, "i1 i2 i3 i4"])
+    seeds.choose({}, 10**6, 3, 1e-7, 8, 8)
+    doc, h = decontamination.plain_words(*byte_view(pa.array([item, f"a {item} b {item}", "i1 i2 i3 i4", "none"])))
+    want = [x.tolist() for x in seeds.matches(doc, h, 0.5)]
+    monkeypatch.setattr(decontamination, "PLACES", 7)
+    assert [x.tolist() for x in seeds.matches(doc, h, 0.5)] == want and len(want[0]) == 7
+
+
 # 4
 @pytest.mark.parametrize("slack", [0.0, 0.1])
 def test_sharding(spark, docs, slack):
