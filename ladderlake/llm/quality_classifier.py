@@ -1,7 +1,8 @@
 """A quality classifier from positives and unlabelled text (non-negative unbiased PU risk).
 
 Trusted positives are texts labelled 1; the unlabelled are a sample of all texts, as found: labelled ones of either kind among them. The share of positives among the unlabelled is
-estimated from how the two groups' scores compare (the least ratio of their upper tails), a model is then fitted that
+estimated from how the two groups' scores compare (the least ratio of their upper tails, each at its bound of confidence). Those scores are
+of rows that their model was not fitted on (folds), as few positives are otherwise told apart by chance. A model is then fitted that
 minimises prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives)) with logistic loss. Its margin is a log-odds under
 that prior, and the score is its probability: no text labelled 0 is used as such. calibrate="labels" instead takes scale and cut from
 a one-dimensional logistic fit on the training rows whose label is known, those labelled 0 among them.
@@ -11,7 +12,7 @@ Features are figures of form and repetition computed from each whole text in Arr
 of those labelled 1 and of those labelled 0; so labels aren't thinned as the input grows. That is 3 * most_rows * about 40 numbers.
 Calibration by labels weighs rows by their samples' rates. A null doc_id hashes as an empty string (remainder 0: learned from). Scoring is one pass without a shuffle.
 
-Null and empty texts get the features of an empty text and a score. Several labels of one document count as their mean; null
+Without a positive every score is 0.5 and every prediction 1. Null and empty texts get the features of an empty text and a score. Several labels of one document count as their mean; null
 labels as none. Repeated rows are scored each. Empty tables give an empty result. Other columns are ignored.
 """
 
@@ -31,7 +32,7 @@ from ._text import Words, byte_view, per_doc, sequence_hashes, slices, within
 _KIND = np.zeros((8, 256), np.int64)
 for _k, _chars in enumerate([b"#*$%&<>^~@_=+\\", b"|", b"!?", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b".,;:", b"\n"]):
     _KIND[_k, list(_chars)] = 1
-BUCKETS = 256
+FOLDS = 5
 
 
 def features(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -88,20 +89,34 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, decay: float = 1e
     return _adam(lambda b: x.T @ (weight * (sigmoid(x @ b) - y)) + decay * np.append(b[:-1], 0), x.shape[1], steps)
 
 
-def class_prior(p: np.ndarray, u: np.ndarray) -> float:
-    """The least ratio of the unlabelled to the positive scores' upper tails, each widened by half a standard error of its sample at most, so that few positives don't make a thin tail look empty."""
-    of_p, of_u = 0.5 / np.sqrt(len(p)), 0.5 / np.sqrt(len(u))
-    tails = [((u >= c).mean() + of_u, (p >= c).mean() - of_p) for c in np.quantile(p, np.linspace(0.0, 0.9, 46))]
+def class_prior(p: np.ndarray, u: np.ndarray, width: float = 1.5) -> float:
+    """The least ratio of the unlabelled to the positive scores' upper tails. Each share is moved by `width` standard errors, those of the unlabelled up and those of the positives down, so that a thin tail of few rows doesn't decide."""
+
+    def tail(scores, cut, way):
+        share = (scores >= cut).mean()
+        return share + way * width * np.sqrt(share * (1 - share) / len(scores))
+
+    tails = [(tail(u, c, 1), tail(p, c, -1)) for c in np.quantile(p, np.linspace(0.0, 0.9, 46))]
     return float(np.clip(min([a / b for a, b in tails if b > 0], default=0.99), 0.05, 0.99))
 
 
-def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None, decay: float = 1e-3, steps: int = 600) -> tuple[np.ndarray, float]:
-    """(weights, class prior) of a linear score under the non-negative risk; the last column is the constant."""
+def unseen_scores(positive: np.ndarray, unlabelled: np.ndarray, fold_p: np.ndarray, fold_u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scores of both groups, each row's by a model of positives against unlabelled rows of the other folds."""
+    of_p, of_u = np.zeros(len(positive)), np.zeros(len(unlabelled))
+    for f in range(FOLDS):
+        p, u = positive[fold_p != f], unlabelled[fold_u != f]
+        if len(p) and len(u):
+            y = np.repeat([1.0, 0.0], [len(p), len(u)])
+            b = logistic(np.vstack([p, u]), y, np.where(y == 1, 1 / len(p), 1 / len(u)))
+            of_p[fold_p == f], of_u[fold_u == f] = positive[fold_p == f] @ b, unlabelled[fold_u == f] @ b
+    return of_p, of_u
+
+
+def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None, folds: tuple[np.ndarray, np.ndarray] | None = None, decay: float = 1e-3, steps: int = 600) -> tuple[np.ndarray, float]:
+    """(weights, class prior) of a linear score under the non-negative risk; the last column is the constant. folds: each row's fold, one and the same for a row in both groups."""
     if prior is None:
-        x = np.vstack([positive, unlabelled])
-        y = np.repeat([1.0, 0.0], [len(positive), len(unlabelled)])
-        b = logistic(x, y, np.where(y == 1, 1 / len(positive), 1 / len(unlabelled)))
-        prior = class_prior(positive @ b, unlabelled @ b)
+        folds = folds or (np.arange(len(positive)) % FOLDS, np.arange(len(unlabelled)) % FOLDS)
+        prior = class_prior(*unseen_scores(positive, unlabelled, *folds))
 
     def gradient(b):
         zp, zu = positive @ b, unlabelled @ b
@@ -123,7 +138,8 @@ def learn(x: np.ndarray, y: np.ndarray, of_all: np.ndarray, calibrate: str, rate
     n = {"n_positive": int(positive.sum()), "n_unlabelled": int(of_all.sum())}
     if not positive.any():
         return n | {"centre": centre, "scale": scale, "w": np.zeros(z.shape[1]), "a": 1.0, "b": 0.0, "prior": 0.5}
-    w, prior = fit_pu(z[positive], z[of_all])
+    fold = np.arange(len(x)) % FOLDS  # rows come in order of their hashes
+    w, prior = fit_pu(z[positive], z[of_all], folds=(fold[positive], fold[of_all]))
     s, seen, a, b = z @ w, ~np.isnan(y), 1.0, 0.0
     if calibrate == "labels" and (y[seen] < 0.5).any():
         a, b = logistic(np.column_stack([s[seen], np.ones(seen.sum())]), (y[seen] >= 0.5).astype(float), np.where(y[seen] >= 0.5, 1 / rates[0], 1 / rates[1]), decay=0, steps=1500)

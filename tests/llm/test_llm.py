@@ -719,6 +719,36 @@ def test_non_negative_risk_has_no_better_neighbour():
     assert best < risk(np.zeros(3)) - 0.1
 
 
+def test_class_prior_of_few_positives_is_not_told_by_chance():
+    rng = np.random.default_rng(9)
+    draw = lambda n, at: np.column_stack([rng.normal(at, 1, (n, 1)), rng.normal(0, 1, (n, 39)), np.ones(n)])
+    for size, low, high in [(1, 0.7, 0.99), (16, 0.7, 0.9)]:  # 40 features, of which one tells; 0.8 is true
+        for _ in range(4):
+            p, u = draw(42 * size, 2), np.vstack([draw(100 * size, 2), draw(25 * size, -3)])
+            assert low <= quality_classifier.fit_pu(p, u)[1] <= high
+            y = np.repeat([1.0, 0.0], [len(p), len(u)])
+            seen = quality_classifier.logistic(np.vstack([p, u]), y, np.where(y == 1, 1 / len(p), 1 / len(u)))
+            assert size > 1 or quality_classifier.class_prior(p @ seen, u @ seen) < 0.5  # what scores of rows that were fitted on say
+    # rows that are in both groups are in one fold
+    x = np.vstack([draw(42, 2), draw(60, 2), draw(25, -3)])
+    fold = np.arange(len(x)) % quality_classifier.FOLDS
+    of_p, of_u = quality_classifier.unseen_scores(x[:42], x, fold[:42], fold)
+    assert np.allclose(of_p, of_u[:42])
+
+
+def test_quality_of_the_smallest_table_and_without_positives(spark):
+    read, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality_classifier.fit(read, labels)
+    share = labels.agg({"quality": "avg"}).first()[0]
+    assert abs(model["prior"] - share) < 0.15
+    got = {r["doc_id"]: r for r in quality_classifier.score(read, model).collect()}
+    held = [x["quality"] == got[x["doc_id"]]["predicted"] for x in labels.collect() if got[x["doc_id"]]["held_out"]]
+    assert sum(held) >= 32 and len(held) == 35
+    for none in (labels.limit(0), labels.filter("quality = 0"), labels.selectExpr("doc_id", "cast(null as int) as quality")):
+        rows = quality_classifier.score(read, quality_classifier.fit(read, none)).collect()
+        assert len(rows) == len(got) and all(r["score"] == 0.5 and r["predicted"] == 1 for r in rows)
+
+
 @pytest.mark.parametrize("calibrate", ["none", "labels"])
 def test_quality_of_rows_that_were_held_out(spark, calibrate):
     read = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
