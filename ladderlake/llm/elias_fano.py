@@ -120,12 +120,12 @@ class EliasFano:
         after[far] = self._select(self.ones, i[far] + 1, False)
         return ((at - i).astype(U64) << U64(self.l)) | self._low(i), ((after - i - 1).astype(U64) << U64(self.l)) | self._low(i + 1)
 
-    def find(self, x: np.ndarray, lo: np.ndarray | None = None, hi: np.ndarray | None = None) -> np.ndarray:
-        """Number of the value equal to x within [lo, hi), or -1: the successor of x is sought among the values with x's high part, a run of ones behind the zero of the part before."""
+    def find(self, x: np.ndarray) -> np.ndarray:
+        """Number of the value equal to x, or -1: the successor of x is sought among the values with x's high part, a run of ones behind the zero of the part before."""
         out = np.full(len(x), -1, np.int64)
         if not self.n or not len(x):
             return out
-        live = np.flatnonzero(x <= U64(self.u)) if lo is None else np.flatnonzero((lo < hi) & (x <= U64(self.u)))
+        live = np.flatnonzero(x <= U64(self.u))
         x = x[live]
         h = (x >> U64(self.l)).astype(np.int64)
         start = np.where(h > 0, self._select(self.zeros, np.maximum(h - 1, 0), True) + 1, 0)
@@ -137,8 +137,6 @@ class EliasFano:
         begin, end = start - h, start + length - h
         end[over] = self._select(self.zeros, h[over], True) - h[over]
         want = x & U64((1 << self.l) - 1)
-        if lo is not None:
-            begin, end = np.maximum(begin, lo[live]), np.minimum(end, hi[live])
         b, stop = begin, end
         todo = np.flatnonzero(b < end)
         lower, upper, sought = b[todo], end[todo], want[todo]

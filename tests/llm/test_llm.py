@@ -819,3 +819,15 @@ def test_movement_as_the_query_runs(spark):
     a, b = (sharding.shard(df, shards=n).select("doc_id", F.col("shard").alias(f"s{n}")) for n in (24, 25))
     moved, among_old = a.join(b, "doc_id").agg(F.count_if(F.expr("s24 <> s25")), F.count_if(F.expr("s24 <> s25 AND s25 < 24"))).first()
     assert moved / 20_000 < 0.09 and among_old / 20_000 < 0.05  # 0.04 is needed
+
+
+def test_ngram_lm_seeks_children_by_their_context(spark):
+    """A child's value names its context, so shards hold no pointers beside it; slices grow with the number of shards that each visits."""
+    info = ngram_lm.build(spark.createDataFrame([("a b c a b",), ("b c a",), (None,)], "text string"))
+    model = ngram_lm.Trie(info)
+    assert all(not any(k.startswith("p.") for k in arrays) for level in (2, 3) for arrays in model.level[level])
+    t = ngram_lm.Tokens(pa.array(["a b", "c c", "x a b c"]))
+    assert [x.tolist() for x in t.n[None]] == [[3, 3, 5]]
+    counts, _, p = ngram_lm.token_scores(model, t, 1)
+    assert counts.tolist() == [3, 3, 3, 2, 2, 3, 0, 3, 3, 2, 3] and np.isfinite(p).all()
+    assert [ngram_lm.grown(2, n) for n in (1, 255, 256, 512, 4096)] == [2, 2, 4, 8, 8]
