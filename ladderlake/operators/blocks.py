@@ -42,46 +42,43 @@ def _numbered(lines: DataFrame, key: list[str], begins: Column) -> DataFrame:
 
 
 def _merged(cut: DataFrame, key: list[str], min_lines: int) -> DataFrame:
-    """Segments of fewer than min_lines lines join the one before; what is still shorter than half of that goes, unless nothing would be left of the block."""
-    sizes = cut.groupBy(*key, "segment").agg(F.count("*").alias("n"))
-    whole = (F.row_number().over(W.partitionBy(*key).orderBy("segment")) == 1) | (F.col("n") >= min_lines)
-    sizes = sizes.withColumn("part", F.sum(whole.cast("long")).over(W.partitionBy(*key).orderBy("segment")))
-    sizes = sizes.withColumn("size", F.sum("n").over(W.partitionBy(*key, "part")))
-    some = F.max("size").over(W.partitionBy(*key)) >= max(1, min_lines // 2)
-    kept = sizes.withColumn("some", some).filter((F.col("size") >= max(1, min_lines // 2)) | ~F.col("some"))
+    """Segments of fewer than min_lines lines join the one before; what is still shorter than half of that goes, unless nothing would be left of the block. Windows over a key's lines, so no table of segments meets the lines in a join."""
+    of, least = W.partitionBy(*key), max(1, min_lines // 2)
+    first = F.row_number().over(W.partitionBy(*key, "segment").orderBy("ln")) == 1
+    whole = (F.col("segment") == F.col("_first")) | (F.col("_n") >= min_lines)
+    sized = cut.withColumn("_begins", first).withColumn("_n", F.count("*").over(W.partitionBy(*key, "segment"))).withColumn("_first", F.min("segment").over(of))
+    parts = sized.withColumn("part", F.sum((F.col("_begins") & whole).cast("long")).over(of.orderBy("ln")))
+    parts = parts.withColumn("_size", F.count("*").over(W.partitionBy(*key, "part"))).withColumn("_some", F.max("_size").over(of) >= least)
     # where nothing is long enough, the block stays as it was
-    return cut.join(kept.select(*key, "segment", F.when(F.col("some"), F.col("part")).otherwise(1).alias("part")), [*key, "segment"]).drop("segment")
+    kept = parts.filter((F.col("_size") >= least) | ~F.col("_some")).withColumn("part", F.when(F.col("_some"), F.col("part")).otherwise(1))
+    return kept.drop("segment", "_begins", "_n", "_first", "_size", "_some")
 
 
 def split_by_stage(lines: DataFrame, key: list[str], min_lines: int = 5, names: tuple[str, ...] = ("stage", "state")) -> DataFrame:
     """lines with `part`: a line `IF ... stage = ...` begins a new one. A block without such a line is one part."""
     marker = F.upper("line").rlike("|".join(rf"\bIF\b.*\b{n.upper()}\b\s*=\s*[\w.]+" for n in names))
-    marked = lines.withColumn("_marker", marker).withColumn("_some", F.max("_marker").over(W.partitionBy(*key)))
+    # a block without a marker is one segment, which _merged keeps as part 1
     first = F.row_number().over(W.partitionBy(*key).orderBy("ln")) == 1
-    cut = _numbered(marked.withColumn("_begins", first | F.col("_marker")), key, F.col("_begins")).drop("_begins", "_marker")
-    split = _merged(cut.filter("_some").drop("_some"), key, min_lines)
-    return split.unionByName(cut.filter("NOT _some").drop("_some", "segment").withColumn("part", F.lit(1).cast("long")))
+    return _merged(_numbered(lines.withColumn("_begins", first | F.coalesce(marker, F.lit(False))), key, F.col("_begins")).drop("_begins"), key, min_lines)
 
 
 def split_by_size(lines: DataFrame, key: list[str], min_lines: int, max_lines: int) -> DataFrame:
-    """lines with `part`: blocks of more than max_lines lines are cut at gaps once they have min_lines, and at max_lines, but nowhere inside a structure. A block is cut in one pass over its lines' numbers and depths."""
+    """lines with `part`: blocks of more than max_lines lines are cut at gaps once they have min_lines, and at max_lines, but nowhere inside a structure. A block is cut in one pass over its lines; one that isn't longer is one segment, which _merged keeps as part 1."""
 
     def cut_block(block: pa.Table) -> pa.Table:
         block = block.sort_by("ln")
         n, depth, last, segment, out = 0, 0, None, 0, []
+        long = block.num_rows > max_lines
         for ln, delta in zip(block.column("ln").to_pylist(), block.column("delta").to_pylist()):
-            if n == 0 or depth == 0 and (n >= max_lines or n >= min_lines and ln != last + 1):
+            if n == 0 or long and depth == 0 and (n >= max_lines or n >= min_lines and ln != last + 1):
                 n, segment = 0, segment + 1
             n, depth, last = n + 1, max(depth + delta, 0), ln
             out.append(segment)
         return block.drop_columns(["delta"]).append_column("segment", pa.array(out, pa.int64()))
 
-    long = lines.groupBy(*key).agg(F.count("*").alias("n_lines")).filter(F.col("n_lines") > max_lines).select(*key)
-    of = lines.join(long, key, "left_semi").select(*key, "ln", C.ctrl_delta(F.col("line")).alias("delta"))
+    of = lines.select(*key, "ln", "line", C.ctrl_delta(F.col("line")).alias("delta"))
     schema = StructType([*of.drop("delta").schema.fields, StructField("segment", LongType())])
-    cut = lines.select(*key, "ln", "line").join(of.groupBy(*key).applyInArrow(cut_block, schema), [*key, "ln"])
-    merged = _merged(cut, key, min_lines)
-    return merged.unionByName(lines.select(*key, "ln", "line").join(long, key, "left_anti").withColumn("part", F.lit(1).cast("long")))
+    return _merged(of.groupBy(*key).applyInArrow(cut_block, schema), key, min_lines)
 
 
 def meaningful(lines: DataFrame, key: list[str], min_lines: int = 10) -> DataFrame:
@@ -94,13 +91,14 @@ def meaningful(lines: DataFrame, key: list[str], min_lines: int = 10) -> DataFra
 
 def without_empty(lines: DataFrame, program: DataFrame, program_key: list[str], key: list[str]) -> DataFrame:
     """A block's lines less the heads and ENDs of IFs and loops that hold none of its lines with content. program: the lines of the whole program, where ENDs are sought."""
+    # joins by sort: a program's text is small in its file, its lines are not, so none of them is for a broadcast
     ends = structure_ends(program, program_key).filter("kind <> 'CASE'")
     here = lines.withColumn("_full", C.norm_line(F.col("line")) != "")
     full = here.filter("_full").groupBy(*key).agg(F.sort_array(F.collect_list("ln")).alias("full"))
-    heads = here.select(*key, "ln").join(ends, [*program_key, "ln"]).join(full, key, "left")
+    heads = here.select(*key, "ln").hint("merge").join(ends.hint("merge"), [*program_key, "ln"]).join(full.hint("merge"), key, "left")
     hollow = heads.filter(~F.coalesce(F.exists("full", lambda x: (x > F.col("ln")) & (x < F.col("end_ln"))), F.lit(False)))
     gone = hollow.select(*key, F.explode(F.array_distinct(F.array("ln", "end_ln"))).alias("ln")).distinct()
-    return here.drop("_full").join(gone, [*key, "ln"], "left_anti")
+    return here.drop("_full").join(gone.hint("merge"), [*key, "ln"], "left_anti")
 
 
 def rendered(lines: DataFrame, key: list[str]) -> DataFrame:

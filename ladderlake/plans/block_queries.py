@@ -9,6 +9,7 @@ from ..functions import prompts as T
 from ..functions import standard as S
 from ..operators import blocks as B
 from ..operators.structures import clamped_depth as clamped_depths
+from ..operators.tables import spread
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -32,7 +33,8 @@ def query(sql: str | None = None):
 
 
 def _staged(spark, sf_dir):
-    return B.lines_of(spark.sql(STAGED, part=spark.read.parquet(f"{sf_dir}/part.parquet")))
+    part = spread(spark.read.parquet(f"{sf_dir}/part.parquet").select(*KEY), *KEY)
+    return B.lines_of(spark.sql(STAGED, part=part))
 
 
 def _per_kind(kind: str) -> str:
