@@ -12,13 +12,6 @@ from pyspark.sql import functions as F
 from ..programs import dependence, graphical, syntax, text
 
 
-def _trees(code: str | None) -> list[dict]:
-    try:
-        return syntax.parse(code) if code else []
-    except syntax.SyntaxFault:
-        return []
-
-
 def _parsed(code: str | None) -> tuple[str, str | None, str | None]:
     if not code or not code.strip():
         return "empty", None, None
@@ -29,17 +22,20 @@ def _parsed(code: str | None) -> tuple[str, str | None, str | None]:
 
 
 def _names(code: str | None, of) -> list[str]:
-    return sorted({v for u in syntax.units_of(_trees(code)) for s in u["body"] for v in of(s)})
+    return sorted({v for u in syntax.units_of(syntax.trees(code)) for s in u["body"] for v in of(s)})
 
 
 def _diagram(code: str | None, language: str) -> str | None:
-    trees = _trees(code)
+    trees = syntax.trees(code)
     return graphical.diagram(trees, language)[0] if syntax.units_of(trees) else None
 
 
 def _batched(one):
+    """one, for a batch: equal texts of a batch are worked on once."""
+
     def batch(codes: pd.Series) -> pd.Series:
-        return pd.Series([one(c) for c in codes], dtype=object)
+        made = {c: one(c) for c in codes.unique()}
+        return pd.Series([made[c] for c in codes], dtype=object)
 
     return batch
 
@@ -66,7 +62,7 @@ class Instructions:
     """(unit, idx, op, dest, line) of a program's three-address code."""
 
     def eval(self, code: str) -> Iterator[tuple]:
-        for u in syntax.units_of(_trees(code)):
+        for u in syntax.units_of(syntax.trees(code)):
             for r in dependence.Code(u).rows:
                 yield u["name"], r["idx"], r["op"], r["dest"], r["line"]
 
@@ -75,7 +71,7 @@ class Dependences:
     """(unit, src_line, dst_line, kind) of the edges of a program's dependence graph."""
 
     def eval(self, code: str) -> Iterator[tuple]:
-        for u in syntax.units_of(_trees(code)):
+        for u in syntax.units_of(syntax.trees(code)):
             c = dependence.Code(u)
             for a, b, kind in dependence.pdg(c):
                 yield u["name"], c.rows[a]["line"], c.rows[b]["line"], kind
@@ -86,7 +82,7 @@ def register(spark: SparkSession) -> None:
     plain = {
         "st_read_vars": ("array<string>", lambda code: _names(code, dependence.reads)),
         "st_write_vars": ("array<string>", lambda code: _names(code, dependence.writes)),
-        "st_unparse": ("string", lambda code: text.unparse(t) if (t := _trees(code)) else None),
+        "st_unparse": ("string", lambda code: text.unparse(t) if (t := syntax.trees(code)) else None),
         "st_fbd_xml": ("string", lambda code: _diagram(code, "FBD")),
         "st_ld_xml": ("string", lambda code: _diagram(code, "LD")),
     }
@@ -94,7 +90,8 @@ def register(spark: SparkSession) -> None:
         spark.udf.register(name, F.pandas_udf(_batched(one), kind))
 
     def parsed(codes: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_parsed(c) for c in codes], columns=["status", "message", "ast"])
+        made = {c: _parsed(c) for c in codes.unique()}
+        return pd.DataFrame([made[c] for c in codes], columns=["status", "message", "ast"])
 
     spark.udf.register("st_parse", F.pandas_udf(parsed, "status string, message string, ast string"))
     for name, kind, schema in (("st_lines", Lines, "ln int, line string"), ("st_tokens", Tokens, "kind string, text string, line int, col int"), ("st_ir", Instructions, "unit string, idx int, op string, dest string, line int"), ("st_pdg", Dependences, "unit string, src_line int, dst_line int, kind string")):

@@ -1,11 +1,15 @@
 """Operators on a column of Structured Text, in Arrow batches. Each row is worked on by itself, so nothing is shuffled.
 
+Equal texts that a task meets among its last ones are worked on once. Tasks are those of the DataFrame: `tables.spread` deals out a
+small file of many short programs.
+
 All take a DataFrame with a text column `code`; `keep` names the columns that go along with each result row. A null or empty
 text has status `empty` in `parse` and gives no rows in the others; so does a text that doesn't parse.
 """
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Callable, Iterable, Iterator
 
@@ -18,6 +22,8 @@ from ..programs import dependence, graphical, rewrite, syntax, text
 
 #: Texts worked on before their rows are handed over, so that a batch of long texts isn't held with all its results.
 TEXTS_AT_ONCE = 64
+#: Results that a task keeps for equal texts to come, and the length of the texts whose results are kept.
+KEPT, KEPT_CHARS = 256, 4096
 
 
 def _flat(df: DataFrame, keep: list[str], fields: str, make: Callable[..., Iterable[tuple]], inputs: tuple[str, ...] = ("code",)) -> DataFrame:
@@ -30,14 +36,17 @@ def _flat(df: DataFrame, keep: list[str], fields: str, make: Callable[..., Itera
         raise ValueError(f"kept columns with names of results: {sorted(clash)}")
     schema = StructType([df.schema[k] for k in keep] + new.fields)
     arrow = to_arrow_schema(new)
+    by_text = len(inputs) == 1
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_rows = functools.lru_cache(KEPT)(lambda given: list(make(given)))
         for b in batches:
             for start in range(0, b.num_rows, TEXTS_AT_ONCE):
                 part = b.slice(start, TEXTS_AT_ONCE)
                 rows, source = [], []
                 for i, given in enumerate(zip(*(part.column(c).to_pylist() for c in inputs))):
-                    for r in make(*given):
+                    short = by_text and len(given[0] or "") <= KEPT_CHARS
+                    for r in kept_rows(given[0]) if short else make(*given):
                         rows.append(r)
                         source.append(i)
                 if rows:
@@ -48,13 +57,6 @@ def _flat(df: DataFrame, keep: list[str], fields: str, make: Callable[..., Itera
     return df.select(*dict.fromkeys([*keep, *inputs])).mapInArrow(work, schema)
 
 
-def _trees(code: str | None) -> list[dict]:
-    try:
-        return syntax.parse(code) if code else []
-    except syntax.SyntaxFault:
-        return []
-
-
 def parse(df: DataFrame, keep: list[str]) -> DataFrame:
     """status (success, fail, empty), message, n_units and ast (JSON; null unless success). Text after the last unit is a fault."""
 
@@ -91,7 +93,7 @@ def unparsed(df: DataFrame, keep: list[str]) -> DataFrame:
     """The text of each program's tree."""
 
     def make(code):
-        trees = _trees(code)
+        trees = syntax.trees(code)
         if trees:
             yield (text.unparse(trees),)
 
@@ -102,7 +104,7 @@ def symbols(df: DataFrame, keep: list[str]) -> DataFrame:
     """Declared variables of each unit."""
 
     def make(code):
-        for u in syntax.units_of(_trees(code)):
+        for u in syntax.units_of(syntax.trees(code)):
             for s in dependence.symbols(u):
                 yield u["name"], s["name"], s["storage"], s["type"], s["is_fb"], s["line"]
 
@@ -113,7 +115,7 @@ def undeclared(df: DataFrame, keep: list[str]) -> DataFrame:
     """Per unit, the names that are used without a declaration."""
 
     def make(code):
-        for u in syntax.units_of(_trees(code)):
+        for u in syntax.units_of(syntax.trees(code)):
             yield u["name"], dependence.undeclared(u)
 
     return _flat(df, keep, "unit string, undeclared array<string>", make)
@@ -123,7 +125,7 @@ def accesses(df: DataFrame, keep: list[str]) -> DataFrame:
     """Per statement, at all depths in order: what it and the statements in it read and write (names in upper case)."""
 
     def make(code):
-        for u in syntax.units_of(_trees(code)):
+        for u in syntax.units_of(syntax.trees(code)):
             for k, s in enumerate(rewrite.statements(u["body"])):
                 yield u["name"], k, s["line"], s["kind"], sorted(dependence.reads(s)), sorted(dependence.writes(s))
 
@@ -134,7 +136,7 @@ def instructions(df: DataFrame, keep: list[str]) -> DataFrame:
     """Three-address code with the flow: successors, and the basic block of each instruction."""
 
     def make(code):
-        for u in syntax.units_of(_trees(code)):
+        for u in syntax.units_of(syntax.trees(code)):
             c = dependence.Code(u)
             succ = c.successors()
             for r, after, b in zip(c.rows, succ, dependence.blocks(succ)):
@@ -147,7 +149,7 @@ def def_use(df: DataFrame, keep: list[str]) -> DataFrame:
     """Definitions that reach a use."""
 
     def make(code):
-        for u in syntax.units_of(_trees(code)):
+        for u in syntax.units_of(syntax.trees(code)):
             c = dependence.Code(u)
             for d, x, v in dependence.def_use(c):
                 yield u["name"], v, d, x, c.rows[d]["line"], c.rows[x]["line"]
@@ -159,7 +161,7 @@ def dependences(df: DataFrame, keep: list[str]) -> DataFrame:
     """Edges of the program dependence graph between instructions, with their lines."""
 
     def make(code):
-        for u in syntax.units_of(_trees(code)):
+        for u in syntax.units_of(syntax.trees(code)):
             c = dependence.Code(u)
             for a, b, kind in dependence.pdg(c):
                 yield u["name"], a, b, kind, c.rows[a]["line"], c.rows[b]["line"]
@@ -171,7 +173,7 @@ def slices(df: DataFrame, keep: list[str]) -> DataFrame:
     """Per unit and written variable: the lines that its value depends on, and these as a program that parses."""
 
     def make(code):
-        for u in syntax.units_of(_trees(code)):
+        for u in syntax.units_of(syntax.trees(code)):
             for s in dependence.slices(u):
                 yield u["name"], s["var"], s["lines"], text.unit(s["unit"])
 
@@ -182,7 +184,7 @@ def clusters(df: DataFrame, keep: list[str], share: float = 0.5) -> DataFrame:
     """Per unit: groups of slices that share statements."""
 
     def make(code):
-        for u in syntax.units_of(_trees(code)):
+        for u in syntax.units_of(syntax.trees(code)):
             for k, g in enumerate(dependence.cluster(dependence.slices(u), share)):
                 yield u["name"], k, g["vars"], g["lines"], g["n_stmts"]
 
@@ -193,12 +195,12 @@ def augment(df: DataFrame, key: str, keep: list[str], variants: int = 3, seed: i
     """Up to that many different variants of each program, none of them the program's own text. They depend on key and seed only."""
 
     def make(code, k):
-        trees = _trees(code)
+        trees = syntax.trees(code)
         if not syntax.units_of(trees):
             return
         seen = {code.strip(), text.unparse(trees)}
         for n in range(variants):
-            made = text.unparse(rewrite.variant(_trees(code), f"{seed}/{k}/{n}"))
+            made = text.unparse(rewrite.variant(syntax.trees(code), f"{seed}/{k}/{n}"))
             if made not in seen:
                 seen.add(made)
                 yield n, made
@@ -210,7 +212,7 @@ def diagrams(df: DataFrame, keep: list[str], language: str = "FBD") -> DataFrame
     """XML of each program in FBD or LD, how many top statements it draws, how many it can't, and faults of its structure."""
 
     def make(code):
-        trees = _trees(code)
+        trees = syntax.trees(code)
         if syntax.units_of(trees):
             xml, drawn, skipped = graphical.diagram(trees, language)
             yield xml, drawn, skipped, graphical.faults(xml)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import programs as P
+from ..operators.tables import spread
 
 PROGRAMS = """SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN concat_ws(chr(10), 'PROGRAM p', 'VAR a, b : INT; END_VAR', 'a := 1;', 'b := a + 2;', 'END_PROGRAM') WHEN 1 THEN concat_ws(chr(10), 'PROGRAM p', 'VAR a, b : INT; END_VAR', 'IF a > 1 THEN', 'b := a;', 'ELSE', 'b := 2;', 'END_IF;', 'END_PROGRAM') WHEN 2 THEN concat_ws(chr(10), 'PROGRAM p', 'VAR a, b : INT; END_VAR', 'WHILE a < 5 DO', 'a := a + b;', 'END_WHILE;', 'END_PROGRAM') ELSE concat_ws(chr(10), 'PROGRAM p', 'a = 1;', 'END_PROGRAM') END AS code FROM {part}"""
 QUERIES: dict = {}
@@ -27,7 +28,8 @@ def query(sql: str | None = None):
 
 
 def _programs(spark, sf_dir):
-    return spark.sql(PROGRAMS, part=spark.read.parquet(f"{sf_dir}/part.parquet"))
+    part = spread(spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey"), "p_partkey")
+    return spark.sql(PROGRAMS, part=part)
 
 
 def _joined(*columns: str):

@@ -9,7 +9,7 @@ from ..operators import cleaning
 from ..operators import programs as P
 from ..sources import records as R
 from .catalogue import D_STATUS, _code
-from .program_queries import PROGRAMS, _given, _programs
+from .program_queries import _given, _programs
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -75,9 +75,9 @@ def pdg_cache(spark, sf_dir):
 def sql_functions(spark, sf_dir):
     """What the registered functions give in SQL: reads, writes, lines, and jumps of the three-address code."""
     registered.register(spark)
-    programs = spark.sql(PROGRAMS, part=spark.read.parquet(f"{sf_dir}/part.parquet"))
+    programs = _programs(spark, sf_dir)
     sql = """SELECT p_partkey, st_parse(code).status AS status, array_join(st_read_vars(code), ',') AS rd, array_join(st_write_vars(code), ',') AS wr FROM {programs}"""
     lines = spark.sql("SELECT p_partkey, count(*) AS n_lines FROM {programs}, LATERAL st_lines(code) GROUP BY p_partkey", programs=programs)
     jumps = spark.sql("SELECT p_partkey, count(*) AS n_jumps FROM {programs}, LATERAL st_ir(code) i WHERE i.op IN ('branch', 'goto') GROUP BY p_partkey", programs=programs)
-    out = spark.sql(sql, programs=programs).join(lines, "p_partkey").join(jumps, "p_partkey", "left")
+    out = spark.sql(sql, programs=programs).join(lines.hint("merge"), "p_partkey").join(jumps.hint("merge"), "p_partkey", "left")
     return out.select("p_partkey", "status", "rd", "wr", "n_lines", F.coalesce("n_jumps", F.lit(0).cast("long")).alias("n_jumps"))
