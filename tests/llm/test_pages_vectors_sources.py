@@ -194,3 +194,10 @@ def test_divergence_is_that_of_plain_counts(spark):
     assert got == plain_divergence(docs)
     assert got == in_sql(source_divergence.SQL, documents=("doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR", docs))
     assert source_divergence.divergence(table.limit(0)).collect() == []
+
+
+def test_divergence_lowers_ascii_in_one_pass(spark):
+    docs = spark.createDataFrame([("l", "s", "AbC Éa abc İ \U00010400Z")], "lang string, source string, text string")
+    counts = source_divergence.counted(docs)
+    assert "replace(" not in counts._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["term"], r["n"], r["n_docs"]) for r in counts.collect()} == {("abc", 2, 1), ("Éa", 1, 1), ("İ", 1, 1), ("\U00010400z", 1, 1)}
