@@ -137,18 +137,19 @@ class EliasFano:
         begin, end = start - h, start + length - h
         end[over] = self._select(self.zeros, h[over], True) - h[over]
         want = x & U64((1 << self.l) - 1)
-        b, stop = begin, end
-        todo = np.flatnonzero(b < end)
-        lower, upper, sought = b[todo], end[todo], want[todo]
+        full = np.flatnonzero(begin < end)
+        live, begin, end, want = live[full], begin[full], end[full], want[full]
+        todo = np.flatnonzero(end - begin > 1)  # of a run of one, that is the only candidate
+        lower, upper, sought = begin[todo], end[todo], want[todo]
         while len(todo):
             mid = (lower + upper) >> 1
-            less = self._low(mid) < sought
-            lower, upper = np.where(less, mid + 1, lower), np.where(less, upper, mid)
-            on = lower < upper
+            above = self._low(mid) > sought
+            lower, upper = np.where(above, lower, mid), np.where(above, mid, upper)
+            on = upper - lower > 1
             if not on.all():
-                b[todo] = lower
+                begin[todo] = lower
+                on = np.flatnonzero(on)
                 todo, lower, upper, sought = todo[on], lower[on], upper[on], sought[on]
-        ok = np.flatnonzero(b < stop)
-        ok = ok[self._low(b[ok]) == want[ok]]
-        out[live[ok]] = b[ok]
+        ok = np.flatnonzero(self._low(begin) == want)
+        out[live[ok]] = begin[ok]
         return out

@@ -831,3 +831,25 @@ def test_ngram_lm_seeks_children_by_their_context(spark):
     counts, _, p = ngram_lm.token_scores(model, t, 1)
     assert counts.tolist() == [3, 3, 3, 2, 2, 3, 0, 3, 3, 2, 3] and np.isfinite(p).all()
     assert [ngram_lm.grown(2, n) for n in (1, 255, 256, 512, 4096)] == [2, 2, 4, 8, 8]
+
+
+def test_ngram_lm_numbers_keys_as_unique_does():
+    """Keys are sorted in one word with their places, where both fit, and fingerprints meet by hashing: neither sorts places."""
+    rng = np.random.default_rng(4)
+    for bits in (3, 20, 63):  # the last doesn't fit
+        key = rng.integers(0, 1 << bits, 5000, dtype=np.uint64)
+        for got in (ngram_lm.numbered(key, bits), ngram_lm.numbered_hashes(key)):
+            assert all(np.array_equal(a, b) for a, b in zip(got, np.unique(key, return_inverse=True)))
+        assert np.array_equal(ngram_lm.order_of(key, bits), np.argsort(key, kind="stable"))
+    assert [x.tolist() for x in ngram_lm.numbered(key[:0], 3)] == [[], []]
+
+
+def test_ngram_lm_cuts_words_of_parts_of_a_slice(monkeypatch):
+    texts = pa.array(["a b  A", None, "", "b " * 50, " c"])
+    whole = ngram_lm.Tokens(texts)
+    monkeypatch.setattr(ngram_lm, "CUT", 3)
+    parts = ngram_lm.Tokens(texts)
+    for name in ("h", "of", "prev", "first", "n"):
+        assert np.array_equal(getattr(whole, name), getattr(parts, name))
+    assert whole.n.tolist() == [4, 1, 1, 51, 2] and (whole.h[whole.prev[whole.first[:-1]]] == ngram_lm.END).all()
+    assert [ngram_lm.piece_of(n) for n in (1, 128, 256, 4096)] == [4 << 20, 4 << 20, 8 << 20, 8 << 20]
