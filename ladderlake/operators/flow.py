@@ -8,6 +8,7 @@ Sets are bits: a row (key, node, part, word, bits) holds 64 members of a node's
 out = gen | (in & ~kill) for all programs together: a round sends only the bits that are new over their edges; the last is that in
 which none is. Reaching definitions, post-dominators (on the reversed edges, as complements) and control dependence are three uses of it.
 Rounds grow with the longest way through a program, and each is written to the shared folder, so a lost executor costs one round.
+Joins are by sort: a side that is broadcast goes through the driver, anew in each round.
 
 Results of solved sets are tables in that folder. A program without instructions has no rows. Repeated (key, ip) aren't
 allowed, nor key columns that are named like the columns of a result.
@@ -61,12 +62,12 @@ def flow_facts(edges: DataFrame, gen: DataFrame, kill: DataFrame, key: list[str]
     edges = stored(edges.select(*key, "src", "dst"), f"{work}/edges")
     kill = stored(kill.select(*cell, F.col("bits").alias("killed")), f"{work}/kill")
     sent = stored(gen.select(*cell, "bits"), f"{work}/gen")
-    past = lambda df: df.join(kill, cell, "left").select(*cell, _less(F.col("bits"), F.col("killed")).alias("bits")).filter("bits <> 0")
+    past = lambda df: df.join(kill.hint("merge"), cell, "left").select(*cell, _less(F.col("bits"), F.col("killed")).alias("bits")).filter("bits <> 0")
     rounds: list[str] = []
     while True:
-        new = edges.join(sent.withColumnRenamed("node", "src"), [*key, "src"]).groupBy(*key, F.col("dst").alias("node"), "part", "word").agg(F.bit_or("bits").alias("bits"))
+        new = edges.join(sent.withColumnRenamed("node", "src").hint("merge"), [*key, "src"]).groupBy(*key, F.col("dst").alias("node"), "part", "word").agg(F.bit_or("bits").alias("bits"))
         if rounds:
-            seen = spark.read.parquet(*rounds).join(new.select(*cell), cell, "left_semi").select(*cell, F.lit(0).cast("long").alias("bits"), F.col("bits").alias("old"))
+            seen = spark.read.parquet(*rounds).join(new.select(*cell).hint("merge"), cell, "left_semi").select(*cell, F.lit(0).cast("long").alias("bits"), F.col("bits").alias("old"))
             both = new.withColumn("old", F.lit(0).cast("long")).unionByName(seen).groupBy(*cell).agg(F.bit_or("bits").alias("bits"), F.bit_or("old").alias("old"))
             new = both.select(*cell, _less(F.col("bits"), F.col("old")).alias("bits")).filter("bits <> 0")
         fresh = stored(new, f"{work}/round-{len(rounds)}")
@@ -89,8 +90,8 @@ def closure(edges: DataFrame, seeds: DataFrame, key: list[str], name: str) -> Da
     fresh = stored(seeds.select(*pair).distinct(), f"{work}/round-0")
     rounds = [f"{work}/round-0"]
     while True:
-        step = fresh.join(edges, [*key, "node"]).select(*key, name, F.col("dst").alias("node")).distinct()
-        fresh = stored(step.join(spark.read.parquet(*rounds), pair, "left_anti"), f"{work}/round-{len(rounds)}")
+        step = fresh.join(edges.hint("merge"), [*key, "node"]).select(*key, name, F.col("dst").alias("node")).distinct()
+        fresh = stored(step.join(spark.read.parquet(*rounds).hint("merge"), pair, "left_anti"), f"{work}/round-{len(rounds)}")
         if fresh.isEmpty():
             break
         rounds.append(f"{work}/round-{len(rounds)}")
@@ -105,21 +106,21 @@ def edges(instr: DataFrame, key: list[str]) -> DataFrame:
     wanted = F.when(F.col("op") == "branch", F.array("target", "other")).when(F.col("op") == "goto", F.array("target"))
     jumps = instr.filter("op IN ('branch', 'goto')").select(*key, F.col("ip").alias("src"), F.explode(wanted).alias("to"))
     found = F.when(F.col("dst").isNotNull(), F.col("dst")).otherwise(F.raise_error(F.concat(F.lit("unknown label: "), F.coalesce("to", F.lit("none")))).cast("long"))
-    jumps = jumps.join(labels, [*key, "to"], "left").select(*key, "src", found.alias("dst"))
+    jumps = jumps.join(labels.hint("merge"), [*key, "to"], "left").select(*key, "src", found.alias("dst"))
     after = instr.select(*key, (F.col("ip") - 1).alias("src"), F.col("ip").alias("dst"))
-    falls = instr.filter("op NOT IN ('branch', 'goto')").select(*key, F.col("ip").alias("src")).join(after, [*key, "src"])
+    falls = instr.filter("op NOT IN ('branch', 'goto')").select(*key, F.col("ip").alias("src")).join(after.hint("merge"), [*key, "src"])
     return jumps.distinct().unionByName(falls)
 
 
 def numbered_blocks(instr: DataFrame, flow: DataFrame, key: list[str]) -> DataFrame:
     """(key, ip, block): blocks from 0. One begins at the first instruction, where a jump goes and after each jump. The running count goes by spans of SPAN instructions, so no task counts through a whole program."""
     jumps = instr.filter("op IN ('branch', 'goto')").select(*key, F.col("ip").alias("src"))
-    leaders = flow.join(jumps, [*key, "src"], "left_semi").select(*key, F.col("dst").alias("ip")).unionByName(jumps.select(*key, (F.col("src") + 1).alias("ip"))).distinct().withColumn("leads", F.lit(1))
-    at = instr.select(*key, "ip").join(leaders, [*key, "ip"], "left").select(*key, "ip", F.when(F.col("ip") == 0, 0).otherwise(F.coalesce("leads", F.lit(0))).cast("long").alias("leads"), F.floor(F.col("ip") / SPAN).alias("span"))
+    leaders = flow.join(jumps.hint("merge"), [*key, "src"], "left_semi").select(*key, F.col("dst").alias("ip")).unionByName(jumps.select(*key, (F.col("src") + 1).alias("ip"))).distinct().withColumn("leads", F.lit(1))
+    at = instr.select(*key, "ip").join(leaders.hint("merge"), [*key, "ip"], "left").select(*key, "ip", F.when(F.col("ip") == 0, 0).otherwise(F.coalesce("leads", F.lit(0))).cast("long").alias("leads"), F.floor(F.col("ip") / SPAN).alias("span"))
     spans = at.groupBy(*key, "span").agg(F.sum("leads").alias("n"))
     before = spans.select(*key, "span", F.coalesce(F.sum("n").over(W.partitionBy(*key).orderBy("span").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     here = F.sum("leads").over(W.partitionBy(*key, "span").orderBy("ip"))
-    return at.withColumn("here", here).join(before, [*key, "span"]).select(*key, "ip", (F.col("here") + F.col("before")).alias("block"))
+    return at.withColumn("here", here).join(before.hint("merge"), [*key, "span"]).select(*key, "ip", (F.col("here") + F.col("before")).alias("block"))
 
 
 def blocks(instr: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -127,10 +128,10 @@ def blocks(instr: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
     flow = edges(instr, key)
     of = numbered_blocks(instr, flow, key)
     spans = of.groupBy(*key, "block").agg(F.min("ip").alias("first_ip"), F.max("ip").alias("last_ip"))
-    leaving = spans.select(*key, F.col("block").alias("src"), F.col("last_ip").alias("ip")).join(flow.select(*key, F.col("src").alias("ip"), "dst"), [*key, "ip"])
-    links = leaving.join(of.select(*key, F.col("ip").alias("dst"), F.col("block").alias("to")), [*key, "dst"]).select(*key, "src", F.col("to").alias("dst")).distinct()
+    leaving = spans.select(*key, F.col("block").alias("src"), F.col("last_ip").alias("ip")).join(flow.select(*key, F.col("src").alias("ip"), "dst").hint("merge"), [*key, "ip"])
+    links = leaving.join(of.select(*key, F.col("ip").alias("dst"), F.col("block").alias("to")).hint("merge"), [*key, "dst"]).select(*key, "src", F.col("to").alias("dst")).distinct()
     goes = links.select(*key, F.col("src").alias("block")).distinct().withColumn("goes", F.lit(True))
-    return spans.join(goes, [*key, "block"], "left").select(*key, "block", "first_ip", "last_ip", F.col("goes").isNull().alias("is_exit")), links
+    return spans.join(goes.hint("merge"), [*key, "block"], "left").select(*key, "block", "first_ip", "last_ip", F.col("goes").isNull().alias("is_exit")), links
 
 
 def definitions(instr: DataFrame, key: list[str]) -> DataFrame:
@@ -143,7 +144,7 @@ def gen_kill(instr: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
     defs = definitions(instr, key)
     gen = sets(defs, key, "ip", "ip", F.col("var"))
     every = gen.groupBy(*key, "part", "word").agg(F.bit_or("bits").alias("all"))
-    own = defs.select(*key, F.col("ip").alias("node"), F.col("var").alias("part")).join(every, [*key, "part"])
+    own = defs.select(*key, F.col("ip").alias("node"), F.col("var").alias("part")).join(every.hint("merge"), [*key, "part"])
     kill = own.select(*key, "node", "part", "word", F.when(F.col("word") == _word("node"), _less(F.col("all"), _bit("node"))).otherwise(F.col("all")).alias("bits")).filter("bits <> 0")
     return gen, kill
 
@@ -158,13 +159,13 @@ def def_use(instr: DataFrame, key: list[str], reach: DataFrame | None = None) ->
     """(key, var, def_ip, use_ip): each use with each definition that reaches it."""
     reach = reaching(instr, key) if reach is None else reach
     uses = instr.select(*key, F.col("ip").alias("node"), F.explode(F.array_distinct("uses")).alias("part"))
-    found = members(reach.join(uses, [*key, "node", "part"], "left_semi"), key, "def_ip")
+    found = members(reach.join(uses.hint("merge"), [*key, "node", "part"], "left_semi"), key, "def_ip")
     return found.select(*key, F.col("part").alias("var"), "def_ip", F.col("node").alias("use_ip"))
 
 
 def _backwards(instr: DataFrame, flow: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(edges, gen, kill) on the reversed edges, from EXIT through the ends: what a node's way to an end may miss, and (part `ends`) a mark that reaches all from where a way ends."""
-    last = instr.select(*key, F.col("ip").alias("src")).join(flow, [*key, "src"], "left_anti").select(*key, F.lit(EXIT).cast("long").alias("src"), F.col("src").alias("dst"))
+    last = instr.select(*key, F.col("ip").alias("src")).join(flow.hint("merge"), [*key, "src"], "left_anti").select(*key, F.lit(EXIT).cast("long").alias("src"), F.col("src").alias("dst"))
     back = flow.select(*key, F.col("dst").alias("src"), F.col("src").alias("dst")).unionByName(last)
     every = sets(instr.withColumn("node", F.lit(EXIT)), key, "node", "ip")
     mark = every.filter("word = 0").withColumn("part", F.lit("ends")).withColumn("bits", F.lit(1).cast("long"))
@@ -179,16 +180,16 @@ def postdominators(instr: DataFrame, key: list[str], facts: DataFrame | None = N
     lacks = facts.filter("part = ''").select(*key, "node", "word", F.col("bits").alias("gone"))
     ends = facts.filter("part = 'ends'").select(*key, "node", F.lit(True).alias("ends"))
     every = instr.groupBy(*key, _word("ip").alias("word")).agg(F.bit_or(_bit("ip")).alias("bits"))
-    each = instr.select(*key, F.col("ip").alias("node")).join(every, key)
+    each = instr.select(*key, F.col("ip").alias("node")).join(every.hint("merge"), key)
     mine = F.when(F.col("word") == _word("node"), _bit("node")).otherwise(F.lit(0).cast("long"))
-    left = each.join(lacks, [*key, "node", "word"], "left").select(*key, "node", F.lit("").alias("part"), "word", _less(_less(F.col("bits"), F.col("gone")), mine).alias("bits")).filter("bits <> 0")
-    return members(left, key, "by_ip").join(ends, [*key, "node"], "left").select(*key, F.col("node").alias("ip"), "by_ip", F.coalesce("ends", F.lit(False)).alias("ends"))
+    left = each.join(lacks.hint("merge"), [*key, "node", "word"], "left").select(*key, "node", F.lit("").alias("part"), "word", _less(_less(F.col("bits"), F.col("gone")), mine).alias("bits")).filter("bits <> 0")
+    return members(left, key, "by_ip").join(ends.hint("merge"), [*key, "node"], "left").select(*key, F.col("node").alias("ip"), "by_ip", F.coalesce("ends", F.lit(False)).alias("ends"))
 
 
 def nearest(post: DataFrame, key: list[str]) -> DataFrame:
     """post with `is_nearest`: whether by_ip is ip's parent in the tree of post-dominators. Those of an instruction from which a way ends are a chain, so its parent has one fewer."""
     depth = post.filter("ends").groupBy(*key, "ip").agg(F.count("*").alias("depth"))
-    up = post.join(depth, [*key, "ip"], "left").join(depth.select(*key, F.col("ip").alias("by_ip"), F.col("depth").alias("up")), [*key, "by_ip"], "left")
+    up = post.join(depth.hint("merge"), [*key, "ip"], "left").join(depth.select(*key, F.col("ip").alias("by_ip"), F.col("depth").alias("up")).hint("merge"), [*key, "by_ip"], "left")
     return up.select(*key, "ip", "by_ip", "ends", (F.col("ends") & (F.coalesce("up", F.lit(0)) == F.col("depth") - 1)).alias("is_nearest"))
 
 
@@ -197,9 +198,9 @@ def control_dependence(instr: DataFrame, key: list[str], flow: DataFrame | None
     flow = stored(edges(instr, key), work_folder(instr.sparkSession, "edges")) if flow is None else flow
     post = postdominators(instr, key, flow_facts(*_backwards(instr, flow, key), key)) if post is None else post
     branches = instr.filter("op = 'branch'").select(*key, "ip")
-    kill = sets(post.join(branches, [*key, "ip"], "left_semi"), key, "by_ip", "ip")
+    kill = sets(post.join(branches.hint("merge"), [*key, "ip"], "left_semi"), key, "by_ip", "ip")
     met = flow_facts(flow, sets(branches, key, "ip", "ip"), kill, key)
-    live = met.join(kill.withColumnRenamed("bits", "killed"), [*key, "node", "part", "word"], "left").select(*key, "node", "part", "word", _less(F.col("bits"), F.col("killed")).alias("bits"))
+    live = met.join(kill.withColumnRenamed("bits", "killed").hint("merge"), [*key, "node", "part", "word"], "left").select(*key, "node", "part", "word", _less(F.col("bits"), F.col("killed")).alias("bits"))
     return members(live, key, "src").select(*key, "src", F.col("node").alias("dst"))
 
 
@@ -224,4 +225,4 @@ def backward_slices(depends: DataFrame, seeds: DataFrame, key: list[str], name:
 def statements(slices: DataFrame, places: DataFrame, key: list[str]) -> DataFrame:
     """Slices with the places (key, node, statement) of their instructions, each statement once: (key, ..., statement)."""
     rest = [c for c in slices.columns if c not in (*key, "node")]
-    return slices.join(places, [*key, "node"]).select(*key, *rest, "statement").distinct()
+    return slices.join(places.hint("merge"), [*key, "node"]).select(*key, *rest, "statement").distinct()

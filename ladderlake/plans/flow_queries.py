@@ -52,7 +52,7 @@ def flow_edges(spark, sf_dir):
 def flow_blocks(spark, sf_dir):
     blocks, links = P.blocks(_instructions(spark, sf_dir), KEY)
     goes = links.groupBy("conv_id", F.col("src").alias("block")).agg(F.array_join(F.sort_array(F.collect_set("dst")), ",").alias("goes"))  # two at most
-    return blocks.join(goes, ["conv_id", "block"], "left").select("conv_id", "block", "first_ip", "last_ip", F.coalesce("goes", F.lit("")).alias("goes"))
+    return blocks.join(goes.hint("merge"), ["conv_id", "block"], "left").select("conv_id", "block", "first_ip", "last_ip", F.coalesce("goes", F.lit("")).alias("goes"))
 
 
 @query(sql="SELECT a.conv_id, a.ip, a.d AS var, b.ip AS kills FROM i a JOIN i b ON b.conv_id = a.conv_id AND b.d = a.d AND b.ip <> a.ip")
@@ -84,4 +84,4 @@ def flow_slices(spark, sf_dir):
     slices = P.backward_slices(P.dependences(instr, KEY), seeds, KEY, "var")
     places = instr.select("conv_id", F.col("ip").alias("node"), F.col("line").alias("statement"))
     lines = P.statements(slices, places, KEY).groupBy("conv_id", "var").agg(F.array_join(F.sort_array(F.collect_list("statement")), ",").alias("lines"))  # a program's lines
-    return slices.groupBy("conv_id", "var").agg(F.count("*").alias("n_instructions")).join(lines, ["conv_id", "var"])
+    return slices.groupBy("conv_id", "var").agg(F.count("*").alias("n_instructions")).join(lines.hint("merge"), ["conv_id", "var"])

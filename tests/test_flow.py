@@ -118,3 +118,13 @@ def test_missing_labels_fail_and_empty_tables_are_empty(spark):
     none = spark.createDataFrame([], SCHEMA)
     for f in (flow.edges, flow.def_use, flow.postdominators, flow.control_dependence, flow.dependences):
         assert f(none, ["k"]).collect() == []
+
+
+def test_no_round_sends_a_table_through_the_driver(spark, tmp_path):
+    """Every join is by sort, also those of small tables that the rounds would broadcast."""
+    rows = spark.createDataFrame(programs(5, [12, 9]), SCHEMA)
+    blocks, links = flow.blocks(rows, ["k"])
+    facts = flow.reaching(rows, ["k"])
+    for df in (flow.edges(rows, ["k"]), blocks, links, flow.gen_kill(rows, ["k"])[1], flow.def_use(rows, ["k"], facts), flow.nearest(flow.postdominators(rows, ["k"]), ["k"])):
+        df.collect()
+        assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
